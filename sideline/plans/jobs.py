@@ -16,7 +16,7 @@ from ..functions.dates import between_dates, parse_date
 from ..functions.rules import (INJURY_TYPE, PLAY_TYPE_REPORT, PLAY_TYPE_WINDOW, REGION_REPORT,
                                SEVERITY, classify)
 from ..functions.text import initial_last, text_of, title_text, to_number_or_null
-from ..operators.joins import (last_name_semi, lookup, pre_incident, pre_incident_counts,
+from ..operators.joins import (last_name_semi, lookup, pre_incident, pre_incident_counts,  # noqa: F401
                                restrict_to, semi)
 from ..operators.repair import drop_if_present, in_year, normalize_incidents, rename_if
 from ..operators.star import build_star, classify_incidents
