@@ -29,6 +29,11 @@ class RuleSet:
     default: str
     kind: str = "word"  # or "contains"
 
+    @property
+    def labels(self) -> tuple[str, ...]:
+        """Every label the rule table can produce (rules in order, then the default)."""
+        return tuple(dict.fromkeys([lab for lab, _ in self.rules] + [self.default]))
+
     def pattern(self, terms: Sequence[str]) -> str:
         return r"\b(" + "|".join(terms) + r")\b"
 
@@ -70,6 +75,46 @@ def classify(text: ColumnOrName, rs: RuleSet) -> Column:
     return expr.otherwise(rs.default) if expr is not None else F.lit(rs.default)
 
 
+def _rule_condition(t: Column, rs: RuleSet, terms: Sequence[str]) -> Column:
+    if rs.kind == "contains":
+        cond = None
+        for term in terms:
+            c = t.contains(term)
+            cond = c if cond is None else (cond | c)
+        return cond
+    return t.rlike(rs.pattern(terms))
+
+
+def has_label(text: ColumnOrName, rs: RuleSet, label: str) -> Column:
+    """Predicate ``classify(text, rs) == label`` for use in filters.
+
+    A filter pushed below the projection that builds the text gets the text
+    expression inlined into every rule condition, and filter code generation
+    does not share common subexpressions. Here the text is bound once to a
+    lambda variable (one evaluation per row) and only the rules up to
+    ``label`` are tested: "this rule matches and no earlier rule does".
+    """
+    labels = [lab for lab, _ in rs.rules]
+    if label != rs.default and label not in labels:
+        return F.lit(False)
+
+    def pred(x: Column) -> Column:
+        if label == rs.default:
+            out = F.lit(True)
+            for _, terms in rs.rules:
+                out = out & ~F.coalesce(_rule_condition(x, rs, terms), F.lit(False))
+            return out
+        out = None
+        for lab, terms in rs.rules:
+            c = F.coalesce(_rule_condition(x, rs, terms), F.lit(False))
+            if lab == label:
+                return c if out is None else (out & c)
+            out = ~c if out is None else (out & ~c)
+        return F.lit(False)
+
+    return F.exists(F.array(_c(text)), pred)
+
+
 # ---------------------------------------------------------------------------
 # The rule tables. Labels, terms and their order must stay
 # exactly as listed; the order is the evaluation order.

@@ -126,7 +126,7 @@ def pre_incident(activity: DataFrame, incidents: DataFrame, on: str | Sequence[s
 
 def pre_incident_counts(activity: DataFrame, incidents: DataFrame, on: str | Sequence[str],
                         activity_date: str, incident_date: str, by: str, days: int = 7,
-                        count_col: str = "n") -> DataFrame:
+                        count_col: str = "n", labels: Sequence[str] | None = None) -> DataFrame:
     """Pair counts of ``pre_incident`` grouped by the activity column ``by``, without
     materialising the pairs.
 
@@ -134,15 +134,34 @@ def pre_incident_counts(activity: DataFrame, incidents: DataFrame, on: str | Seq
     [activity rows with that label on that day] x [incidents whose window covers that day].
     Both sides are pre-aggregated (map-side partial aggregation) before the
     shuffle, so the join sees at most one row per (key, day[, label]).
+
+    With ``labels`` (the closed label set of a rule table) the activity side is
+    aggregated by (key, day) with one count per label: its hash partitioning
+    then already satisfies the join, saving a second shuffle of that side.
+    Labels outside ``labels`` must not occur (a rule table's labels + default).
     """
     keys = _keys(on)
     if days < 1:
         return activity.select(by).limit(0).withColumn(count_col, F.lit(0).cast("long"))
-    act = (activity.select(*keys, F.to_date(activity_date).alias("_day"), by)
-                   .groupBy(*keys, "_day", by).agg(F.count(F.lit(1)).alias("_n")))
     inc = incidents.select(*keys, F.to_date(incident_date).alias("_inc_day"))
     inc = inc.filter(F.col("_inc_day").isNotNull())
     cover = (_window_days(inc, "_inc_day", days)
              .groupBy(*keys, F.col("_win_day").alias("_day")).agg(F.count(F.lit(1)).alias("_m")))
-    return (act.join(cover, [*keys, "_day"], "inner")
-               .groupBy(by).agg(F.sum(F.col("_n") * F.col("_m")).alias(count_col)))
+    if labels is None:
+        act = (activity.select(*keys, F.to_date(activity_date).alias("_day"), by)
+                       .groupBy(*keys, "_day", by).agg(F.count(F.lit(1)).alias("_n")))
+        return (act.join(cover, [*keys, "_day"], "inner")
+                   .groupBy(by).agg(F.sum(F.col("_n") * F.col("_m")).alias(count_col)))
+    labels = list(dict.fromkeys(labels))
+    act = (activity.select(*keys, F.to_date(activity_date).alias("_day"), by)
+                   .groupBy(*keys, "_day")
+                   .agg(*[F.count_if(F.col(by) == F.lit(lab)).alias(f"_n{i}") for i, lab in enumerate(labels)]))
+    totals = (act.join(cover, [*keys, "_day"], "inner")
+                 .agg(*[F.sum(F.col(f"_n{i}") * F.col("_m")).alias(f"_s{i}") for i in range(len(labels))]))
+    stacked = ", ".join(f"{_sql_str(lab)}, _s{i}" for i, lab in enumerate(labels))
+    return (totals.selectExpr(f"stack({len(labels)}, {stacked}) AS ({by}, {count_col})")
+                  .filter(F.col(count_col) > 0))
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"

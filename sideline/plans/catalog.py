@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import INCIDENT_DATE_FORMATS, parse_date
 from ..functions.rules import (CATEGORY, INJURY_TYPE, PLAY_TYPE_REPORT, PLAY_TYPE_WINDOW,
-                               REGION_ETL, REGION_REPORT, SEVERITY, SEVERITY_ETL, classify)
+                               REGION_ETL, REGION_REPORT, SEVERITY, SEVERITY_ETL, classify,
+                               has_label)
 from ..functions.text import initial_last, last_token, text_of
 from ..operators.joins import last_name_semi, pre_incident
 from ..operators.repair import normalize_incidents, table_profile
@@ -446,7 +447,7 @@ SELECT gameId, period, playerName FROM act WHERE playerName IN (
   WHERE {sql_classify('lower(Notes)', SEVERITY)} = 'HIGH' AND Player_Name IS NOT NULL AND Player_Name <> '')""")
 def q_last_name_match(spark, sf_dir):
     i = sv.incidents(spark, sf_dir)
-    severe = i.filter(classify(F.lower("Notes"), SEVERITY) == "HIGH")
+    severe = i.filter(has_label(F.lower("Notes"), SEVERITY, "HIGH"))
     act = sv.activity(spark, sf_dir).select("gameId", "period", "playerName")
     return last_name_semi(act, "playerName", severe, "Player_Name")
 

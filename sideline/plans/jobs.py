@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import between_dates, parse_date
 from ..functions.rules import (INJURY_TYPE, PLAY_TYPE_REPORT, PLAY_TYPE_WINDOW, REGION_REPORT,
-                               SEVERITY, classify)
+                               SEVERITY, classify, has_label)
 from ..functions.text import initial_last, text_of, title_text, to_number_or_null
 from ..operators.joins import (last_name_semi, lookup, pre_incident, pre_incident_counts,  # noqa: F401
                                restrict_to, semi)
@@ -143,9 +143,9 @@ def severe_incidents(incidents: DataFrame) -> DataFrame:
     """Incidents with a player and date whose severity (Injury_Type + Notes) is HIGH."""
     inc = incidents.withColumn("injuryDate", parse_date("injuryDate") if
                                dict(incidents.dtypes).get("injuryDate") == "string" else F.col("injuryDate"))
-    inc = inc.withColumn("severity", classify(text_of("Injury_Type", "Notes"), SEVERITY))
     return (inc.na.drop(subset=["playerNameFormatted", "injuryDate"])
-               .filter(F.col("severity") == "HIGH"))
+               .filter(has_label(text_of("Injury_Type", "Notes"), SEVERITY, "HIGH"))
+               .withColumn("severity", F.lit("HIGH")))
 
 
 def play_events(activity: DataFrame) -> DataFrame:
@@ -155,19 +155,23 @@ def play_events(activity: DataFrame) -> DataFrame:
 
 
 def window_profile(incidents: DataFrame, activity: DataFrame, on: str, incident_date: str,
-                   activity_date: str, label: str, days: int = 7) -> DataFrame:
-    """(label, n, share, pct) over the (activity, incident) pairs of the pre-incident window."""
-    counts = pre_incident_counts(activity, incidents, on, activity_date, incident_date, label, days)
+                   activity_date: str, label: str, days: int = 7,
+                   labels: Sequence[str] | None = None) -> DataFrame:
+    """(label, n, share, pct) over the (activity, incident) pairs of the pre-incident window.
+    ``labels``: the closed label set, when known (saves a shuffle)."""
+    counts = pre_incident_counts(activity, incidents, on, activity_date, incident_date, label, days,
+                                 labels=labels)
     return share_of_counts(counts).orderBy(F.col("share").desc(), F.col(label))
 
 
 def window_vs_overall(incidents: DataFrame, activity: DataFrame, on: str, incident_date: str,
                       activity_date: str, label: str, days: int = 7,
-                      overall_name: str = "Season", window_name: str = "Week_Before_Injury") -> DataFrame:
+                      overall_name: str = "Season", window_name: str = "Week_Before_Injury",
+                      labels: Sequence[str] | None = None) -> DataFrame:
     """Label mix of all activity of the people with incidents vs their pre-incident mix,
     delta = window - overall, sorted by delta desc."""
     overall = share(semi(activity, incidents, on), label, pct_col=None)
-    window = window_profile(incidents, activity, on, incident_date, activity_date, label, days)
+    window = window_profile(incidents, activity, on, incident_date, activity_date, label, days, labels)
     cmp = compare_profiles(overall, window, label, "share", overall_name, window_name)
     return with_delta(cmp, window_name, overall_name, label)
 
@@ -184,7 +188,8 @@ def pre_incident_profile(incidents: DataFrame, activity: DataFrame, days: int =
     """
     sev = severe_incidents(_injury_dated(incidents)).select("playerNameFormatted", "injuryDate")
     ev = play_events(activity).select("playerNameFormatted", "gameDate", "play_type")
-    return window_profile(sev, ev, "playerNameFormatted", "injuryDate", "gameDate", "play_type", days)
+    return window_profile(sev, ev, "playerNameFormatted", "injuryDate", "gameDate", "play_type", days,
+                          PLAY_TYPE_WINDOW.labels)
 
 
 def pre_incident_events(incidents: DataFrame, activity: DataFrame, days: int = 7) -> DataFrame:
@@ -197,7 +202,8 @@ def season_vs_window(incidents: DataFrame, activity: DataFrame, days: int = 7) -
     """Season-long play mix of severe-incident players vs their pre-incident mix, with delta."""
     sev = severe_incidents(_injury_dated(incidents)).select("playerNameFormatted", "injuryDate")
     ev = play_events(activity).select("playerNameFormatted", "gameDate", "play_type")
-    return window_vs_overall(sev, ev, "playerNameFormatted", "injuryDate", "gameDate", "play_type", days)
+    return window_vs_overall(sev, ev, "playerNameFormatted", "injuryDate", "gameDate", "play_type", days,
+                             labels=PLAY_TYPE_WINDOW.labels)
 
 
 # --------------------------------------------------------------------------- J7
@@ -209,7 +215,7 @@ def yearly_report(incidents: DataFrame, activity: DataFrame, year: int = 2018, k
         inc = inc.withColumn("Date", parse_date("Date"))
     inc = inc.withColumn("severity", classify(F.lower("Notes"), SEVERITY))
     inc = inc.withColumn("region", classify(text_of("Injury_Type", "Notes"), REGION_REPORT))
-    severe = inc.filter(F.col("severity") == "HIGH")
+    severe = inc.filter(has_label(F.lower("Notes"), SEVERITY, "HIGH"))
     out = {
         "severity": freq(inc, "severity", dropna=False),
         "top_regions": freq(inc, "region", limit=k),

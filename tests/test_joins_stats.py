@@ -140,3 +140,15 @@ def test_dedup_first_is_partially_aggregated(spark):
 def test_by_month(spark):
     df = spark.createDataFrame([(D(2018, 1, 5),), (D(2018, 1, 31),), (D(2018, 3, 1),), (None,)], "d date")
     assert [tuple(r) for r in by_month(df, "d").collect()] == [(D(2018, 1, 1), 2), (D(2018, 3, 1), 1)]
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("pq"), day, st.sampled_from(["x", "y", "it's"])), max_size=40),
+       st.lists(st.tuples(st.sampled_from("pqr"), day), max_size=10))
+def test_counts_with_known_labels_equal_generic(spark, arows, irows):
+    a = acts(spark, [(p, k, d, l) for k, (p, d, l) in enumerate(arows)])
+    i = incs(spark, [(p, k, d) for k, (p, d) in enumerate(irows)])
+    generic = {r.label: r.n for r in pre_incident_counts(a, i, "pid", "a_day", "i_day", "label", 7).collect()}
+    known = {r.label: r.n for r in pre_incident_counts(a, i, "pid", "a_day", "i_day", "label", 7,
+                                                        labels=["x", "y", "it's", "z"]).collect()}
+    assert generic == known

@@ -104,3 +104,16 @@ def test_classifier_is_native(spark, rs):
     df = spark.createDataFrame([("x",)], "t string").select(classify("t", rs))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(st.sampled_from(VOCAB), max_size=8).map(" ".join)), min_size=1, max_size=10),
+       st.sampled_from(sorted(RULESETS)))
+def test_has_label_equals_classify(spark, texts, rs_name):
+    from sideline.functions.rules import has_label
+    rs = RULESETS[rs_name]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for label in [lab for lab, _ in rs.rules] + [rs.default, "NOPE"]:
+        got = sorted(r.i for r in df.filter(has_label("t", rs, label)).collect())
+        want = sorted(i for i, t in enumerate(texts) if python_first_match(t, rs) == label)
+        assert got == want, label
