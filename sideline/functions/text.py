@@ -27,7 +27,15 @@ def squeeze_ws(c: ColumnOrName) -> Column:
 
 # A run of cased letters, or a run of anything else. Title casing upper-cases the
 # first character of each cased run and lower-cases the rest; other runs pass through.
-_CASED_OR_NOT = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
+_CASED = r"\p{Lu}\p{Ll}\p{Lt}"
+_CASED_OR_NOT = rf"([{_CASED}]+|[^{_CASED}]+)"
+# Case-ignorable characters (Unicode Case_Ignorable): marks, format, modifier
+# letters/symbols and the word-internal punctuation below.
+_CASE_IGNORABLE = (r"\p{Mn}\p{Me}\p{Cf}\p{Lm}\p{Sk}'.:\u00B7\u0387\u05F4\u2018\u2019\u2024"
+                   r"\u2027\uFE13\uFE52\uFE55\uFF07\uFF0E\uFF1A")
+# A capital sigma inside a word that no cased letter follows (case-ignorables
+# skipped) lower-cases to the final form; elsewhere to the plain small sigma.
+_FINAL_SIGMA = rf"(?<=[{_CASED}])\u03A3(?![{_CASE_IGNORABLE}]*[{_CASED}])"
 
 
 def title_case(c: ColumnOrName) -> Column:
@@ -35,8 +43,10 @@ def title_case(c: ColumnOrName) -> Column:
 
     ``initcap`` alone only starts words after spaces ("3pt" stays "3pt", where
     title case gives "3Pt"), so the text is split into cased/uncased runs first.
+    Capital sigmas are resolved against the whole text before the split.
     """
-    runs = F.regexp_extract_all(_c(c), F.lit(_CASED_OR_NOT), 1)
+    sigma = F.translate(F.regexp_replace(_c(c), _FINAL_SIGMA, "\u03C2"), "\u03A3", "\u03C3")
+    runs = F.regexp_extract_all(sigma, F.lit(_CASED_OR_NOT), 1)
     return F.array_join(F.transform(runs, lambda r: F.initcap(r)), "")
 
 

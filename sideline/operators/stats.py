@@ -119,3 +119,11 @@ def count_summary(df: DataFrame, distinct_cols: Sequence[str]) -> DataFrame:
 
 def sorted_distinct(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct().orderBy(F.col(col).asc_nulls_first())
+
+
+def preview(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> DataFrame:
+    """First ``n`` rows under a total order (``order_by`` then the remaining columns,
+    NULLs first): a top-k, so only k rows per partition reach the final merge."""
+    keys = list(order_by or [])
+    keys += [c for c in df.columns if c not in keys]
+    return df.orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in keys]).limit(n)

@@ -262,6 +262,13 @@ def q_injury_type_freq(spark, sf_dir):
     return jobs.clean_summary(_clean(spark, sf_dir))["injury_types"]
 
 
+@register("clean_preview", _with(*_CLEAN_CTES) + """
+SELECT * FROM clean ORDER BY Player_Name ASC NULLS FIRST, Date ASC NULLS FIRST, Team ASC NULLS FIRST,
+  Notes ASC NULLS FIRST, Year ASC NULLS FIRST, Injury_Type ASC NULLS FIRST LIMIT 5""")
+def q_clean_preview(spark, sf_dir):
+    return jobs.clean_summary(_clean(spark, sf_dir))["preview"]
+
+
 @register("freq_with_null", _with(sv.INCIDENTS_SQL) + "SELECT Injury_Type, count(*) AS n FROM inc GROUP BY Injury_Type")
 def q_freq_with_null(spark, sf_dir):
     return freq(sv.incidents(spark, sf_dir), "Injury_Type", dropna=False)

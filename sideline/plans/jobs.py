@@ -21,7 +21,7 @@ from ..operators.joins import (last_name_semi, lookup, pre_incident, pre_inciden
 from ..operators.repair import drop_if_present, in_year, normalize_incidents, rename_if
 from ..operators.star import build_star, classify_incidents
 from ..operators.stats import (by_month, compare_profiles, count_summary, dedup_first, freq,
-                               share, share_of_counts, sorted_distinct, with_delta)
+                               preview, share, share_of_counts, sorted_distinct, with_delta)
 from ..session import stage
 from ..sources.readers import read_csv, require_columns
 from ..sources.sinks import StarPaths, write_csv, write_parquet
@@ -71,6 +71,7 @@ def clean_summary(clean: DataFrame, k: int = 10) -> dict[str, DataFrame]:
         "top_teams": freq(clean, "Team", limit=k),
         "per_year": freq(clean, "Year", order="key"),
         "injury_types": freq(clean, "Injury_Type"),
+        "preview": preview(clean, 5, ["Player_Name", "Date"]),
     }
 
 
