@@ -38,13 +38,15 @@ def semi(df: DataFrame, keys_df: DataFrame, left_on: str | Sequence[str],
          right_on: str | Sequence[str] | None = None) -> DataFrame:
     """Rows of ``df`` whose key appears in ``keys_df`` (SQL EXISTS). NULL keys never match.
 
-    No distinct is needed on ``keys_df``: a semi join emits each left row at most once.
+    The key side is deduplicated first: the distinct is aggregated partially in
+    every map task, so a key repeated on a third of the key rows is shuffled as
+    a handful of rows, and its hash partitioning is reused by the join.
     """
     lk = _keys(left_on)
     rk = _keys(right_on) if right_on is not None else lk
     if len(lk) != len(rk):
         raise ValueError("left_on and right_on must have the same length")
-    right = keys_df.select(*[F.col(r).alias(f"_rk{i}") for i, r in enumerate(rk)])
+    right = keys_df.select(*[F.col(r).alias(f"_rk{i}") for i, r in enumerate(rk)]).distinct()
     cond = None
     for i, l in enumerate(lk):
         c = df[l] == right[f"_rk{i}"]
@@ -86,7 +88,8 @@ def _window_days(incidents: DataFrame, incident_day: str, days: int) -> DataFram
 
 
 def pre_incident(activity: DataFrame, incidents: DataFrame, on: str | Sequence[str],
-                 activity_date: str, incident_date: str, days: int = 7) -> DataFrame:
+                 activity_date: str, incident_date: str, days: int = 7,
+                 bucket_days: int = 1) -> DataFrame:
     """Interval join: activity in the ``days`` days before each incident, same key(s).
 
     Predicate (day grain): ``incident_date - days <= activity_date < incident_date``;
@@ -94,36 +97,59 @@ def pre_incident(activity: DataFrame, incidents: DataFrame, on: str | Sequence[s
     pair, so an activity row before two incidents appears twice. ``window_start``
     and ``window_end`` (= incident_date - 1) are carried.
 
-    Plan: each incident is exploded into its ``days`` window days and the join is
-    an equi-join on (key, day) with no residual predicate. Keying on the day as
-    well spreads a hot key (one person with a third of all activity) over its
-    days; a hot (key, day) is split further by AQE's skew-join handling.
+    Plan: each incident is exploded into the ``bucket_days``-wide day buckets its
+    window touches and the join is an equi-join on (key, bucket). With the
+    default ``bucket_days=1`` the buckets are the window days themselves and no
+    residual predicate is needed. Keying on the day as well spreads a hot key
+    (one person with a third of all activity) over its days; a hot (key, day) is
+    split further by AQE's skew-join handling. For long windows a wider bucket
+    bounds the explosion to ``days / bucket_days + 1`` rows per incident, and
+    the exact window predicate is re-checked on the candidate pairs.
     Activity and incident columns other than the keys must not share names.
     """
     keys = _keys(on)
     clash = (set(activity.columns) & set(incidents.columns)) - set(keys)
     if clash:
         raise ValueError(f"activity and incidents share non-key columns {sorted(clash)}; rename first")
+    if bucket_days < 1:
+        raise ValueError("bucket_days must be >= 1")
     if days < 1:
         return (activity.join(incidents, keys, "inner").limit(0)
                 .withColumn("window_start", F.lit(None).cast("date"))
                 .withColumn("window_end", F.lit(None).cast("date")))
     inc = incidents.withColumn(incident_date, F.to_date(incident_date))
     inc = inc.filter(F.col(incident_date).isNotNull())
-    inc = _window_days(inc, incident_date, days)
+    inc = (inc.withColumn("window_start", F.date_sub(F.col(incident_date), days))
+              .withColumn("window_end", F.date_sub(F.col(incident_date), 1)))
+    if bucket_days == 1:
+        inc = inc.withColumn("_bucket", F.explode(F.sequence("window_start", "window_end")))
+        act_bucket = F.to_date(activity_date)
+    else:
+        inc = inc.withColumn("_bucket", F.explode(F.sequence(_bucket_of("window_start", bucket_days),
+                                                             _bucket_of("window_end", bucket_days))))
+        act_bucket = _bucket_of(F.to_date(activity_date), bucket_days)
     # Incident keys are renamed so both sides can come from one table (no self-join ambiguity).
     inc = inc.select(*[F.col(k).alias(f"_ik{i}") for i, k in enumerate(keys)],
                      *[c for c in incidents.columns if c not in keys],
-                     "window_start", "window_end", "_win_day")
-    act = activity.withColumn(activity_date, F.to_date(activity_date))
+                     "window_start", "window_end", "_bucket")
+    act = (activity.withColumn(activity_date, F.to_date(activity_date))
+                   .withColumn("_abucket", act_bucket))
     cond = [F.col(k) == F.col(f"_ik{i}") for i, k in enumerate(keys)]
-    cond.append(F.col(activity_date) == F.col("_win_day"))
+    cond.append(F.col("_abucket") == F.col("_bucket"))
+    if bucket_days > 1:
+        cond.append(F.col(activity_date) >= F.col("window_start"))
+        cond.append(F.col(activity_date) <= F.col("window_end"))
     joined = act.join(inc, cond, "inner")
     return joined.select(*activity.columns,
                          *[c for c in incidents.columns if c not in keys],
                          "window_start", "window_end")
 
 
+def _bucket_of(day, width: int):
+    d = F.col(day) if isinstance(day, str) else day
+    return F.floor(F.datediff(d, F.lit("1970-01-01").cast("date")) / F.lit(width)).cast("long")
+
+
 def pre_incident_counts(activity: DataFrame, incidents: DataFrame, on: str | Sequence[str],
                         activity_date: str, incident_date: str, by: str, days: int = 7,
                         count_col: str = "n", labels: Sequence[str] | None = None) -> DataFrame:

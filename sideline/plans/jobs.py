@@ -23,7 +23,7 @@ from ..operators.star import build_star, classify_incidents
 from ..operators.stats import (by_month, compare_profiles, count_summary, dedup_first, freq,
                                preview, share, share_of_counts, sorted_distinct, with_delta)
 from ..session import stage
-from ..sources.readers import read_csv, require_columns
+from ..sources.readers import read_clean_or_raw, read_csv, read_parquet, require_columns
 from ..sources.sinks import StarPaths, write_csv, write_parquet
 
 # Activity columns kept in the analysis-ready table.
@@ -235,3 +235,31 @@ def yearly_report(incidents: DataFrame, activity: DataFrame, year: int = 2018, k
     out["severe_group"] = group
     out["league_vs_group"] = compare_profiles(league, group, "play_type", "share", "League", "Severe_Group")
     return out
+
+
+# --------------------------------------------------------------------------- runners
+def window_analysis_job(spark: SparkSession, incidents_path: str, activity_path: str, out_prefix: str,
+                        days: int = 7) -> None:
+    """J5 + J6 over the Parquet outputs of the analysis-ready job."""
+    inc = read_parquet(spark, incidents_path)
+    act = read_parquet(spark, activity_path)
+    base = out_prefix.rstrip("/")
+    write_parquet(pre_incident_profile(inc, act, days), f"{base}/pre_incident_profile")
+    write_parquet(season_vs_window(inc, act, days), f"{base}/season_vs_window")
+
+
+def report_job(spark: SparkSession, clean_path: str, raw_path: str, activity_path: str,
+               out_prefix: str, year: int = 2018) -> dict[str, str]:
+    """Every report table written as Parquet under ``out_prefix``.
+
+    The incidents (cleaned file, else the raw file cleaned on the fly) feed
+    five tables, so they are staged once in the shared checkpoint folder.
+    """
+    inc = stage(read_clean_or_raw(spark, clean_path, raw_path), "report_incidents")
+    act = require_columns(read_csv(spark, activity_path), ["playerName"])
+    base = out_prefix.rstrip("/")
+    out = {}
+    for name, df in yearly_report(inc, act, year).items():
+        out[name] = f"{base}/{name}"
+        write_parquet(df, out[name])
+    return out

@@ -152,3 +152,22 @@ def test_counts_with_known_labels_equal_generic(spark, arows, irows):
     known = {r.label: r.n for r in pre_incident_counts(a, i, "pid", "a_day", "i_day", "label", 7,
                                                         labels=["x", "y", "it's", "z"]).collect()}
     assert generic == known
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("pq"), day, st.sampled_from("xy")), max_size=40),
+       st.lists(st.tuples(st.sampled_from("pqr"), day), max_size=10),
+       st.integers(1, 30), st.integers(2, 9))
+def test_bucketed_interval_join_equals_daily(spark, arows, irows, days, width):
+    a = acts(spark, [(p, k, d, l) for k, (p, d, l) in enumerate(arows)])
+    i = incs(spark, [(p, k, d) for k, (p, d) in enumerate(irows)])
+    daily = pre_incident(a, i, "pid", "a_day", "i_day", days)
+    bucketed = pre_incident(a, i, "pid", "a_day", "i_day", days, bucket_days=width)
+    assert sorted(map(tuple, daily.collect())) == sorted(map(tuple, bucketed.collect()))
+
+
+def test_semi_dedups_key_side_before_shuffle(spark):
+    ev = spark.createDataFrame([("a", 1)], "name string, g int")
+    keys = spark.createDataFrame([("a",)] * 5, "k string")
+    plan = semi(ev, keys, "name", "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan

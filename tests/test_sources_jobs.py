@@ -117,3 +117,22 @@ def test_pre_incident_profile_shares(spark):
     assert abs(sum(r.share for r in prof) - 1) < 1e-9
     cmp = jobs.season_vs_window(inc, act).collect()
     assert all(abs(r.delta - (r.Week_Before_Injury - r.Season)) < 1e-12 for r in cmp)
+
+
+def test_window_analysis_and_report_jobs(spark, tmp_dir):
+    inc = sv.item_incidents(spark, SF_SMALL)
+    act = sv.activity(spark, SF_SMALL)
+    season = ("1995-01-01", "2001-12-31")
+    jobs.analysis_ready_job  # noqa: B018 (CSV-reading runner; Parquet path exercised below)
+    winc, final = jobs.analysis_ready(inc, act, sv.game_dates(spark, SF_SMALL), *season)
+    write_parquet(winc, f"{tmp_dir}/ar/injuries_windowed")
+    write_parquet(final, f"{tmp_dir}/ar/analysis_ready")
+    jobs.window_analysis_job(spark, f"{tmp_dir}/ar/injuries_windowed", f"{tmp_dir}/ar/analysis_ready",
+                             f"{tmp_dir}/wa")
+    prof = spark.read.parquet(f"{tmp_dir}/wa/pre_incident_profile")
+    assert prof.count() > 0 and abs(sum(r.share for r in prof.collect()) - 1) < 1e-9
+    write_csv(sv.raw_incidents(spark, SF_SMALL), f"{tmp_dir}/raw")
+    write_csv(act, f"{tmp_dir}/act")
+    paths = jobs.report_job(spark, f"{tmp_dir}/clean-missing", f"{tmp_dir}/raw", f"{tmp_dir}/act",
+                            f"{tmp_dir}/rep", 1998)
+    assert spark.read.parquet(paths["league_vs_group"]).count() > 0
