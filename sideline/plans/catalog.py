@@ -47,7 +47,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return sv._table(spark, sf_dir, name)
 
 
 def _scratch(spark: SparkSession, name: str) -> str:

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 # Incident note phrases (NULL included), picked by o_orderkey % 15 + 1.
 NOTE_PHRASES = (
     "torn ACL in right knee",
@@ -69,8 +71,13 @@ def _pick(values, index: Column) -> Column:
     return F.element_at(_arr(values), (index % len(values) + 1).cast("int"))
 
 
+# Tables that carry the per-row work; the small dimension tables are broadcast as read.
+_SPREAD = {"orders", "lineitem", "events", "documents"}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in _SPREAD else df
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:

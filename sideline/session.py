@@ -67,3 +67,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{base}/sideline-stage/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan over at least ``min_partitions`` (default: the cluster's
+    default parallelism) when it arrives in fewer partitions.
+
+    Small inputs stored as one large row group are read by a single task, which
+    leaves every other core idle during CPU-heavy per-row work (text
+    classification, title casing). On large inputs the scan already has many
+    more partitions than cores and this is a no-op (no shuffle is added).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
