@@ -75,9 +75,9 @@ def _pick(values, index: Column) -> Column:
 _SPREAD = {"orders", "lineitem", "events", "documents"}
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in _SPREAD else df
+    return spread(df) if spread_rows and name in _SPREAD else df
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +142,8 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Play-by-play shape, one row per line item."""
     l = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
                                                  "l_quantity", "l_returnflag", "l_shipdate")
-    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    # orders is the build side of this join here, so it is read as is
+    o = _table(spark, sf_dir, "orders", spread_rows=False).select("o_orderkey", "o_custkey")
     c = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     j = l.join(o, l.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
     idx = F.col("l_orderkey") * 7 + F.col("l_linenumber")
