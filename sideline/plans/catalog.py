@@ -106,6 +106,23 @@ def q_pre_vs_all_delta(spark, sf_dir):
     return jobs.window_vs_overall(inc, act, "user_id", "incident_date", "activity_date", "event_type", DAYS)
 
 
+LONG_DAYS, LONG_BUCKET = 30, 7
+
+
+@register("pre_incident_pairs_30d", _with(
+    _EV_CTES[0], _EV_CTES[1],
+    f"""pairs AS (SELECT a.user_id, a.event_id, a.activity_date, a.event_type, i.incident_id, i.incident_date,
+                 i.incident_date - {LONG_DAYS} AS window_start, i.incident_date - 1 AS window_end
+          FROM a JOIN i ON a.user_id = i.user_id
+           AND a.activity_date >= i.incident_date - {LONG_DAYS} AND a.activity_date < i.incident_date)""")
+          + "SELECT * FROM pairs")
+def q_pre_incident_pairs_30d(spark, sf_dir):
+    """Long window through the bucketed plan (7-day buckets, exact re-check)."""
+    inc, act = _events_sides(spark, sf_dir)
+    return pre_incident(act, inc, "user_id", "activity_date", "incident_date", LONG_DAYS,
+                        bucket_days=LONG_BUCKET)
+
+
 # ============================================================== incidents x activity: J5 / J6
 def _j5_inputs(spark, sf_dir):
     inc = sv.incidents(spark, sf_dir).select(initial_last("Player_Name").alias("playerNameFormatted"),
@@ -504,6 +521,17 @@ def q_table_profile(spark, sf_dir):
     return table_profile(_t(spark, sf_dir, "customer"))
 
 
+@register("incident_profile", _with(sv.INCIDENTS_SQL) + """
+SELECT 1 AS position, 'incident_id' AS column_name, 'bigint' AS data_type, count(*) AS row_count, count(incident_id) AS non_null FROM inc
+UNION ALL SELECT 2, 'Player_Name', 'string', count(*), count(Player_Name) FROM inc
+UNION ALL SELECT 3, 'Team', 'string', count(*), count(Team) FROM inc
+UNION ALL SELECT 4, 'Date', 'date', count(*), count(Date) FROM inc
+UNION ALL SELECT 5, 'Injury_Type', 'string', count(*), count(Injury_Type) FROM inc
+UNION ALL SELECT 6, 'Notes', 'string', count(*), count(Notes) FROM inc""")
+def q_incident_profile(spark, sf_dir):
+    return table_profile(sv.incidents(spark, sf_dir))
+
+
 @register("decimal_to_double", """
 SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS o_totalprice, o_orderpriority FROM orders""")
 def q_decimal_to_double(spark, sf_dir):
