@@ -22,7 +22,7 @@ from ..operators.repair import drop_if_present, in_year, normalize_incidents, re
 from ..operators.star import build_star, classify_incidents
 from ..operators.stats import (by_month, compare_profiles, count_summary, dedup_first, freq,
                                preview, share, share_of_counts, sorted_distinct, with_delta)
-from ..session import stage
+from ..session import staged
 from ..sources.readers import read_clean_or_raw, read_csv, read_parquet, require_columns
 from ..sources.sinks import StarPaths, write_csv, write_parquet
 
@@ -93,12 +93,12 @@ def star_job(spark: SparkSession, raw_path: str, prefix: str, year: int = 2018)
     re-parsing and re-classifying the CSV five times.
     """
     raw = read_csv(spark, raw_path)
-    classified = stage(classify_incidents(normalize_incidents(raw)), "star_input")
-    tables = build_star(classified, year)
     paths = StarPaths(prefix)
-    for name in ("dim_player", "dim_team", "dim_injury", "dim_date"):
-        write_parquet(tables[name], paths[name])
-    write_parquet(tables["fact_injury"], paths.fact_injury, partitions=["Team", "Year"])
+    with staged(classify_incidents(normalize_incidents(raw)), "star_input") as classified:
+        tables = build_star(classified, year)
+        for name in ("dim_player", "dim_team", "dim_injury", "dim_date"):
+            write_parquet(tables[name], paths[name])
+        write_parquet(tables["fact_injury"], paths.fact_injury, partitions=["Team", "Year"])
     return paths
 
 
@@ -255,11 +255,11 @@ def report_job(spark: SparkSession, clean_path: str, raw_path: str, activity_pat
     The incidents (cleaned file, else the raw file cleaned on the fly) feed
     five tables, so they are staged once in the shared checkpoint folder.
     """
-    inc = stage(read_clean_or_raw(spark, clean_path, raw_path), "report_incidents")
     act = require_columns(read_csv(spark, activity_path), ["playerName"])
     base = out_prefix.rstrip("/")
     out = {}
-    for name, df in yearly_report(inc, act, year).items():
-        out[name] = f"{base}/{name}"
-        write_parquet(df, out[name])
+    with staged(read_clean_or_raw(spark, clean_path, raw_path), "report_incidents") as inc:
+        for name, df in yearly_report(inc, act, year).items():
+            out[name] = f"{base}/{name}"
+            write_parquet(df, out[name])
     return out

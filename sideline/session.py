@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,20 +57,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _stage_path(spark: SparkSession, name: str) -> str:
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/sideline-stage/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts lineage for inputs that several sinks consume; the written table
     survives executor loss (unlike cached blocks) and later reads prune
-    columns and push filters into the Parquet scan.
+    columns and push filters into the Parquet scan. See ``staged`` for a
+    version that removes the table afterwards.
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/sideline-stage/{name}-{uuid.uuid4().hex}"
+    path = _stage_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``stage`` for the duration of a block; the staged table is deleted on exit."""
+    spark = df.sparkSession
+    path = _stage_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a scan over at least ``min_partitions`` (default: the cluster's
     default parallelism) when it arrives in fewer partitions.

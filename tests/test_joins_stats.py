@@ -171,3 +171,11 @@ def test_semi_dedups_key_side_before_shuffle(spark):
     keys = spark.createDataFrame([("a",)] * 5, "k string")
     plan = semi(ev, keys, "name", "k")._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" in plan
+
+
+def test_bucketed_interval_join_plan_is_equi_join(spark):
+    a = acts(spark, [("p", 1, D(2018, 12, 8), "x")])
+    i = incs(spark, [("p", 1, D(2018, 12, 9))])
+    plan = pre_incident(a, i, "pid", "a_day", "i_day", 90, bucket_days=7)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

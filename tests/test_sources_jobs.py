@@ -136,3 +136,14 @@ def test_window_analysis_and_report_jobs(spark, tmp_dir):
     paths = jobs.report_job(spark, f"{tmp_dir}/clean-missing", f"{tmp_dir}/raw", f"{tmp_dir}/act",
                             f"{tmp_dir}/rep", 1998)
     assert spark.read.parquet(paths["league_vs_group"]).count() > 0
+
+
+def test_staged_table_removed_after_block(spark):
+    from sideline.session import staged
+    df = spark.range(10)
+    with staged(df, "t") as s:
+        path = s.inputFiles()[0].rsplit("/", 1)[0]
+        assert s.count() == 10
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    assert not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
