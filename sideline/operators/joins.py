@@ -150,11 +150,43 @@ def _bucket_of(day, width: int):
     return F.floor(F.datediff(d, F.lit("1970-01-01").cast("date")) / F.lit(width)).cast("long")
 
 
+def _day_counts(activity: DataFrame, keys: list[str], activity_date: str, by: str,
+                labels: Sequence[str] | None) -> DataFrame:
+    """Activity pre-aggregated per (key, day): long form (key, _day, by, _n), or with a
+    closed label set, wide form (key, _day, _n0.._nk) hash-partitioned by (key, day)."""
+    base = activity.select(*keys, F.to_date(activity_date).alias("_day"), by)
+    if labels is None:
+        return (base.filter(F.col(by).isNotNull())
+                    .groupBy(*keys, "_day", by).agg(F.count(F.lit(1)).alias("_n")))
+    return base.groupBy(*keys, "_day").agg(
+        *[F.count_if(F.col(by) == F.lit(lab)).alias(f"_n{i}") for i, lab in enumerate(labels)])
+
+
+def _window_cover(incidents: DataFrame, keys: list[str], incident_date: str, days: int) -> DataFrame:
+    """(key, _day, _m): how many incidents' windows cover each day."""
+    inc = incidents.select(*keys, F.to_date(incident_date).alias("_inc_day"))
+    inc = inc.filter(F.col("_inc_day").isNotNull())
+    return (_window_days(inc, "_inc_day", days)
+            .groupBy(*keys, F.col("_win_day").alias("_day")).agg(F.count(F.lit(1)).alias("_m")))
+
+
+def _label_totals(df: DataFrame, by: str, labels: Sequence[str] | None, count_col: str,
+                  weight: str | None = None) -> DataFrame:
+    """Per-label totals of day counts (optionally weighted by a cover count)."""
+    w = F.col(weight) if weight else F.lit(1)
+    if labels is None:
+        return df.groupBy(by).agg(F.sum(F.col("_n") * w).alias(count_col))
+    totals = df.agg(*[F.sum(F.col(f"_n{i}") * w).alias(f"_s{i}") for i in range(len(labels))])
+    stacked = ", ".join(f"{_sql_str(lab)}, _s{i}" for i, lab in enumerate(labels))
+    return (totals.selectExpr(f"stack({len(labels)}, {stacked}) AS ({by}, {count_col})")
+                  .filter(F.col(count_col) > 0))
+
+
 def pre_incident_counts(activity: DataFrame, incidents: DataFrame, on: str | Sequence[str],
                         activity_date: str, incident_date: str, by: str, days: int = 7,
                         count_col: str = "n", labels: Sequence[str] | None = None) -> DataFrame:
-    """Pair counts of ``pre_incident`` grouped by the activity column ``by``, without
-    materialising the pairs.
+    """Pair counts of ``pre_incident`` grouped by the activity column ``by`` (NULL
+    labels excluded), without materialising the pairs.
 
     count(by) over pairs = sum over (key, day) of
     [activity rows with that label on that day] x [incidents whose window covers that day].
@@ -169,24 +201,31 @@ def pre_incident_counts(activity: DataFrame, incidents: DataFrame, on: str | Seq
     keys = _keys(on)
     if days < 1:
         return activity.select(by).limit(0).withColumn(count_col, F.lit(0).cast("long"))
-    inc = incidents.select(*keys, F.to_date(incident_date).alias("_inc_day"))
-    inc = inc.filter(F.col("_inc_day").isNotNull())
-    cover = (_window_days(inc, "_inc_day", days)
-             .groupBy(*keys, F.col("_win_day").alias("_day")).agg(F.count(F.lit(1)).alias("_m")))
-    if labels is None:
-        act = (activity.select(*keys, F.to_date(activity_date).alias("_day"), by)
-                       .groupBy(*keys, "_day", by).agg(F.count(F.lit(1)).alias("_n")))
-        return (act.join(cover, [*keys, "_day"], "inner")
-                   .groupBy(by).agg(F.sum(F.col("_n") * F.col("_m")).alias(count_col)))
-    labels = list(dict.fromkeys(labels))
-    act = (activity.select(*keys, F.to_date(activity_date).alias("_day"), by)
-                   .groupBy(*keys, "_day")
-                   .agg(*[F.count_if(F.col(by) == F.lit(lab)).alias(f"_n{i}") for i, lab in enumerate(labels)]))
-    totals = (act.join(cover, [*keys, "_day"], "inner")
-                 .agg(*[F.sum(F.col(f"_n{i}") * F.col("_m")).alias(f"_s{i}") for i in range(len(labels))]))
-    stacked = ", ".join(f"{_sql_str(lab)}, _s{i}" for i, lab in enumerate(labels))
-    return (totals.selectExpr(f"stack({len(labels)}, {stacked}) AS ({by}, {count_col})")
-                  .filter(F.col(count_col) > 0))
+    labels = list(dict.fromkeys(labels)) if labels is not None else None
+    day_counts = _day_counts(activity, keys, activity_date, by, labels)
+    cover = _window_cover(incidents, keys, incident_date, days)
+    return _label_totals(day_counts.join(cover, [*keys, "_day"], "inner"), by, labels, count_col, "_m")
+
+
+def overall_and_window_counts(activity: DataFrame, incidents: DataFrame, on: str | Sequence[str],
+                              activity_date: str, incident_date: str, by: str, days: int = 7,
+                              count_col: str = "n", labels: Sequence[str] | None = None
+                              ) -> tuple[DataFrame, DataFrame]:
+    """(label counts over all activity of people with an incident,
+    label counts over the pre-incident window pairs), NULL labels excluded.
+
+    Both come from one pre-aggregated (key, day) activity table, so the activity
+    input is scanned and aggregated once (the exchange is reused by both branches).
+    """
+    keys = _keys(on)
+    labels = list(dict.fromkeys(labels)) if labels is not None else None
+    day_counts = _day_counts(activity, keys, activity_date, by, labels)
+    overall = _label_totals(semi(day_counts, incidents, keys), by, labels, count_col)
+    if days < 1:
+        return overall, overall.limit(0)
+    cover = _window_cover(incidents, keys, incident_date, days)
+    window = _label_totals(day_counts.join(cover, [*keys, "_day"], "inner"), by, labels, count_col, "_m")
+    return overall, window
 
 
 def _sql_str(s: str) -> str:

@@ -16,8 +16,8 @@ from ..functions.dates import between_dates, parse_date
 from ..functions.rules import (INJURY_TYPE, PLAY_TYPE_REPORT, PLAY_TYPE_WINDOW, REGION_REPORT,
                                SEVERITY, classify, has_label)
 from ..functions.text import initial_last, text_of, title_text, to_number_or_null
-from ..operators.joins import (last_name_semi, lookup, pre_incident, pre_incident_counts,  # noqa: F401
-                               restrict_to, semi)
+from ..operators.joins import (last_name_semi, lookup, overall_and_window_counts,  # noqa: F401
+                               pre_incident, pre_incident_counts, restrict_to, semi)
 from ..operators.repair import drop_if_present, in_year, normalize_incidents, rename_if
 from ..operators.star import build_star, classify_incidents
 from ..operators.stats import (by_month, compare_profiles, count_summary, dedup_first, freq,
@@ -171,8 +171,10 @@ def window_vs_overall(incidents: DataFrame, activity: DataFrame, on: str, incide
                       labels: Sequence[str] | None = None) -> DataFrame:
     """Label mix of all activity of the people with incidents vs their pre-incident mix,
     delta = window - overall, sorted by delta desc."""
-    overall = share(semi(activity, incidents, on), label, pct_col=None)
-    window = window_profile(incidents, activity, on, incident_date, activity_date, label, days, labels)
+    oc, wc = overall_and_window_counts(activity, incidents, on, activity_date, incident_date, label,
+                                       days, labels=labels)
+    overall = share_of_counts(oc, pct_col=None)
+    window = share_of_counts(wc, pct_col=None)
     cmp = compare_profiles(overall, window, label, "share", overall_name, window_name)
     return with_delta(cmp, window_name, overall_name, label)
 
@@ -229,8 +231,14 @@ def yearly_report(incidents: DataFrame, activity: DataFrame, year: int = 2018, k
     ev = (activity.filter(F.col("playerName").isNotNull())
                   .withColumn("play_type",
                               classify(text_of("description", "actionType", "subType"), PLAY_TYPE_REPORT)))
-    league = share(ev, "play_type", pct_col=None)
-    group = share(last_name_semi(ev, "playerName", severe, "Player_Name"), "play_type", pct_col=None)
+    # One pre-aggregate per (player, play type) feeds both mixes (exchange reused).
+    per_player = ev.groupBy("playerName", "play_type").agg(F.count(F.lit(1)).alias("_n"))
+    by_share = [F.col("share").desc(), F.col("play_type")]
+    league = share_of_counts(per_player.groupBy("play_type").agg(F.sum("_n").alias("n")),
+                             pct_col=None).orderBy(*by_share)
+    group_counts = (last_name_semi(per_player, "playerName", severe, "Player_Name")
+                    .groupBy("play_type").agg(F.sum("_n").alias("n")))
+    group = share_of_counts(group_counts, pct_col=None).orderBy(*by_share)
     out["league"] = league
     out["severe_group"] = group
     out["league_vs_group"] = compare_profiles(league, group, "play_type", "share", "League", "Severe_Group")
