@@ -79,6 +79,18 @@ def clean_job(spark: SparkSession, raw_path: str, out_path: str, **kw) -> None:
     write_csv(clean_incidents(read_csv(spark, raw_path), **kw), out_path)
 
 
+def clean_summary_job(spark: SparkSession, clean_path: str, out_prefix: str, k: int = 10) -> dict[str, str]:
+    """J2 over a cleaned incident file: every summary table written as Parquet."""
+    clean = read_csv(spark, clean_path)
+    base = out_prefix.rstrip("/")
+    out = {}
+    with staged(clean, "summary_input") as inc:
+        for name, df in clean_summary(inc, k).items():
+            out[name] = f"{base}/{name}"
+            write_parquet(df, out[name])
+    return out
+
+
 # --------------------------------------------------------------------------- J3
 def star_tables(raw: DataFrame, year: int = 2018) -> dict[str, DataFrame]:
     """Normalise, classify and model a raw incident table into the five star tables."""

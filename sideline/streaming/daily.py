@@ -30,18 +30,23 @@ def analysis_ready_stream(spark: SparkSession, activity_dir: str, incidents: Dat
                           game_dates: DataFrame, out_path: str, checkpoint: str | None = None,
                           start: str = SEASON_START, end: str = SEASON_END,
                           file_format: str = "csv",
-                          schema: T.StructType = ACTIVITY_SCHEMA) -> StreamingQuery:
+                          schema: T.StructType = ACTIVITY_SCHEMA,
+                          max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start one incremental run over new files in ``activity_dir``; returns the query.
 
     ``incidents`` (item-table shape) and ``game_dates`` are static DataFrames
     re-read at every micro-batch; ``checkpoint`` defaults to a folder under
-    the cluster's ``spark.checkpoint.dir``.
+    the cluster's ``spark.checkpoint.dir``. ``max_files_per_trigger`` bounds the
+    size of each micro-batch when a large backlog has arrived (the run still
+    drains everything available, batch by batch).
     """
     if checkpoint is None:
         checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sideline-stream/analysis_ready"
     reader = spark.readStream.schema(schema)
     if file_format == "csv":
         reader = reader.option("header", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.format(file_format).load(activity_dir)
     inc = windowed_incidents(incidents, start, end)
     act = restrict_to(stream.select(*ACTIVITY_COLUMNS), "playerNameI", inc, "playerNameFormatted")

@@ -179,3 +179,31 @@ def test_bucketed_interval_join_plan_is_equi_join(spark):
     plan = pre_incident(a, i, "pid", "a_day", "i_day", 90, bucket_days=7)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_hot_key_partition_is_split_by_aqe(spark):
+    """A third of all activity on one person and one day: AQE splits the hot join partition."""
+    rows = [("hot", k, D(2024, 1, 10), "x") for k in range(20000)]
+    rows += [(f"u{k % 200}", 100000 + k, D(2024, 1, 1) + dt.timedelta(days=k % 20), "y") for k in range(40000)]
+    a = acts(spark, rows)
+    i = incs(spark, [("hot", 1, D(2024, 1, 12))] + [(f"u{k}", 10 + k, D(2024, 1, 15)) for k in range(200)])
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = pre_incident(a, i, "pid", "a_day", "i_day", 7)
+        n = len(out.collect())  # runs this plan itself, so the final adaptive plan is inspectable
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    want = sum(1 for p, _, d, _ in rows if p == "hot") + \
+        sum(1 for p, _, d, _ in rows if p != "hot" and D(2024, 1, 8) <= d < D(2024, 1, 15))
+    assert n == want

@@ -147,3 +147,12 @@ def test_staged_table_removed_after_block(spark):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     assert not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def test_clean_then_summary_jobs(spark, tmp_dir):
+    write_csv(sv.raw_incidents(spark, SF_SMALL), f"{tmp_dir}/raw")
+    jobs.clean_job(spark, f"{tmp_dir}/raw", f"{tmp_dir}/clean")
+    paths = jobs.clean_summary_job(spark, f"{tmp_dir}/clean", f"{tmp_dir}/summary")
+    counts = spark.read.parquet(paths["counts"]).first()
+    assert counts.rows == jobs.clean_incidents(sv.raw_incidents(spark, SF_SMALL)).count()
+    assert spark.read.parquet(paths["top_players"]).count() == 10
