@@ -16,12 +16,12 @@ from ..functions.dates import between_dates, parse_date
 from ..functions.rules import (INJURY_TYPE, PLAY_TYPE_REPORT, PLAY_TYPE_WINDOW, REGION_REPORT,
                                SEVERITY, classify, has_label)
 from ..functions.text import initial_last, text_of, title_text, to_number_or_null
-from ..operators.joins import (last_name_semi, lookup, overall_and_window_counts,  # noqa: F401
-                               pre_incident, pre_incident_counts, restrict_to, semi)
+from ..operators.joins import (last_name_semi, lookup, overall_and_window_counts, pre_incident,
+                               pre_incident_counts, restrict_to)
 from ..operators.repair import drop_if_present, in_year, normalize_incidents, rename_if
 from ..operators.star import build_star, classify_incidents
 from ..operators.stats import (by_month, compare_profiles, count_summary, dedup_first, freq,
-                               preview, share, share_of_counts, sorted_distinct, with_delta)
+                               preview, share_of_counts, sorted_distinct, with_delta)
 from ..session import staged
 from ..sources.readers import read_clean_or_raw, read_csv, read_parquet, require_columns
 from ..sources.sinks import StarPaths, write_csv, write_parquet

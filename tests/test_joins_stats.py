@@ -207,3 +207,23 @@ def test_hot_key_partition_is_split_by_aqe(spark):
     want = sum(1 for p, _, d, _ in rows if p == "hot") + \
         sum(1 for p, _, d, _ in rows if p != "hot" and D(2024, 1, 8) <= d < D(2024, 1, 15))
     assert n == want
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([1, 2, None]),
+                          st.sampled_from(["x", "y", "z", None])), max_size=30))
+def test_dedup_first_property(spark, rows):
+    df = spark.createDataFrame(rows, "k string, d int, t string")
+    out = [tuple(r) for r in dedup_first(df, ["k", "d"], ["t"]).collect()]
+    keys = [(k, d) for k, d, _ in out]
+    assert len(keys) == len(set(keys)) == len({(k, d) for k, d, _ in rows})
+    for k, d, t in out:
+        group = [r[2] for r in rows if (r[0], r[1]) == (k, d)]
+        # first by t ascending with NULL first
+        want = None if None in group else min(group)
+        assert t == want
+
+
+def test_top_k_ties_break_by_label(spark):
+    df = spark.createDataFrame([(c,) for c in "ccbbaad"], "c string")
+    assert [tuple(r) for r in freq(df, "c", limit=2).collect()] == [("a", 2), ("b", 2)]

@@ -123,7 +123,6 @@ def test_window_analysis_and_report_jobs(spark, tmp_dir):
     inc = sv.item_incidents(spark, SF_SMALL)
     act = sv.activity(spark, SF_SMALL)
     season = ("1995-01-01", "2001-12-31")
-    jobs.analysis_ready_job  # noqa: B018 (CSV-reading runner; Parquet path exercised below)
     winc, final = jobs.analysis_ready(inc, act, sv.game_dates(spark, SF_SMALL), *season)
     write_parquet(winc, f"{tmp_dir}/ar/injuries_windowed")
     write_parquet(final, f"{tmp_dir}/ar/analysis_ready")
