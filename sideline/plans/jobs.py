@@ -18,12 +18,13 @@ from ..functions.rules import (INJURY_TYPE, PLAY_TYPE_REPORT, PLAY_TYPE_WINDOW,
 from ..functions.text import initial_last, text_of, title_text, to_number_or_null
 from ..operators.joins import (last_name_semi, lookup, overall_and_window_counts, pre_incident,
                                pre_incident_counts, restrict_to)
-from ..operators.repair import drop_if_present, in_year, normalize_incidents, rename_if
+from ..operators.repair import (derive_if_missing, drop_if_present, in_year, normalize_incidents,
+                               rename_if)
 from ..operators.star import build_star, classify_incidents
 from ..operators.stats import (by_month, compare_profiles, count_summary, dedup_first, freq,
                                preview, share_of_counts, sorted_distinct, with_delta)
 from ..session import staged
-from ..sources.readers import read_clean_or_raw, read_csv, read_parquet, require_columns
+from ..sources.readers import read_clean_or_raw, read_csv, read_items, read_parquet, require_columns
 from ..sources.sinks import StarPaths, write_csv, write_parquet
 
 # Activity columns kept in the analysis-ready table.
@@ -43,7 +44,8 @@ def clean_incidents(raw: DataFrame, null_text: str | None = None,
     drop Acquired; Relinquished -> Player_Name; strip + title-case Player_Name,
     Team, Notes; parse Date (bad -> NULL); Year from Date; drop rows without
     Player_Name or Team; keep the first row per (Player_Name, Date) by
-    ``order_by`` (default: the remaining columns); Injury_Type from the notes.
+    ``order_by`` (default: the remaining columns); Injury_Type from the notes
+    unless the input already carries one.
 
     ``null_text='nan'`` renders missing text as 'Nan' before the NULL filter,
     reproducing a pandas ``astype(str)`` pipeline; the default keeps NULL.
@@ -59,7 +61,7 @@ def clean_incidents(raw: DataFrame, null_text: str | None = None,
     df = df.withColumn("Year", F.year("Date").cast("int"))
     df = df.na.drop(how="any", subset=["Player_Name", "Team"])
     df = dedup_first(df, ["Player_Name", "Date"], order_by)
-    return df.withColumn("Injury_Type", classify(F.lower("Notes"), INJURY_TYPE))
+    return derive_if_missing(df, "Injury_Type", classify(F.lower("Notes"), INJURY_TYPE))
 
 
 def clean_summary(clean: DataFrame, k: int = 10) -> dict[str, DataFrame]:
@@ -143,9 +145,16 @@ def analysis_ready(incidents: DataFrame, activity: DataFrame, game_dates: DataFr
 
 
 def analysis_ready_job(spark: SparkSession, incidents_path: str, activity_path: str,
-                       game_dates_path: str, out_prefix: str, **kw) -> None:
-    inc, final = analysis_ready(read_csv(spark, incidents_path), read_csv(spark, activity_path),
-                                read_csv(spark, game_dates_path), **kw)
+                       game_dates_path: str, out_prefix: str, source: str = "csv", **kw) -> None:
+    """J4 runner. ``source='csv'`` reads CSV extracts (text columns);
+    ``source='items'`` reads the item-table exports directly (``read_items``)."""
+    if source == "csv":
+        read = lambda p: read_csv(spark, p)
+    elif source == "items":
+        read = lambda p: read_items(spark, p)
+    else:
+        raise ValueError(f"unknown source {source!r}")
+    inc, final = analysis_ready(read(incidents_path), read(activity_path), read(game_dates_path), **kw)
     base = out_prefix.rstrip("/")
     write_parquet(inc, f"{base}/injuries_windowed")
     write_parquet(final, f"{base}/analysis_ready")

@@ -155,3 +155,24 @@ def test_clean_then_summary_jobs(spark, tmp_dir):
     counts = spark.read.parquet(paths["counts"]).first()
     assert counts.rows == jobs.clean_incidents(sv.raw_incidents(spark, SF_SMALL)).count()
     assert spark.read.parquet(paths["top_players"]).count() == 10
+
+
+def test_analysis_ready_job_from_item_exports(spark, tmp_dir):
+    season = ("1995-01-01", "2001-12-31")
+    inc = sv.item_incidents(spark, SF_SMALL)
+    act = sv.activity(spark, SF_SMALL).select(*jobs.ACTIVITY_COLUMNS)
+    games = sv.game_dates(spark, SF_SMALL)
+    for name, df in (("inc", inc), ("act", act), ("games", games)):
+        item = F.struct(*[F.struct(F.col(c).alias("S")).alias(c) for c in df.columns]).alias("Item")
+        df.select(item).write.json(f"{tmp_dir}/{name}")
+    jobs.analysis_ready_job(spark, f"{tmp_dir}/inc", f"{tmp_dir}/act", f"{tmp_dir}/games", f"{tmp_dir}/out",
+                            source="items", start=season[0], end=season[1])
+    _, want = jobs.analysis_ready(inc, act, games, *season)
+    got = spark.read.parquet(f"{tmp_dir}/out/analysis_ready")
+    assert got.select(want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_clean_keeps_existing_injury_type(spark):
+    raw = spark.createDataFrame([("2018-01-02", "lal", "a b", "torn acl", "Given")],
+                                "Date string, Team string, Relinquished string, Notes string, Injury_Type string")
+    assert jobs.clean_incidents(raw).first().Injury_Type == "Given"
