@@ -2,7 +2,6 @@ import datetime as dt
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from sideline.operators.joins import (last_name_semi, lookup, pre_incident, pre_incident_counts,
                                       restrict_to, semi)
