@@ -12,6 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
 def freq(df: DataFrame, col: str, dropna: bool = True, order: str = "count",
@@ -97,6 +100,8 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | No
     ``row_number()`` over a key window: the aggregate is computed partially
     in every map task, so a key holding a third of all rows is reduced to one
     row per task before the shuffle instead of being sorted in one task.
+    A single fixed-width value column uses ``min`` with a NULL check instead
+    (a hash aggregate rather than a sort-based one).
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
@@ -105,6 +110,13 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | No
     order = [c for c in (order_by or []) if c not in keys]
     tail = [c for c in rest if c not in order]
     fields = order + tail
+    if len(fields) == 1 and isinstance(df.schema[fields[0]].dataType, _FIXED_WIDTH):
+        # One fixed-width value: min() with NULL first runs as a hash aggregate.
+        v = F.col(fields[0])
+        first = F.when(F.count_if(v.isNull()) > 0, F.lit(None).cast(df.schema[fields[0]].dataType)) \
+                 .otherwise(F.min(v))
+        picked = df.groupBy(*keys).agg(first.alias(fields[0]))
+        return picked.select(*df.columns)
     picked = (df.groupBy(*keys)
                 .agg(F.min(F.struct(*[F.col(c).alias(f"_f{i}") for i, c in enumerate(fields)])).alias("_first")))
     return picked.select(*[F.col(c) if c in keys else F.col(f"_first._f{fields.index(c)}").alias(c)

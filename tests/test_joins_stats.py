@@ -226,3 +226,12 @@ def test_dedup_first_property(spark, rows):
 def test_top_k_ties_break_by_label(spark):
     df = spark.createDataFrame([(c,) for c in "ccbbaad"], "c string")
     assert [tuple(r) for r in freq(df, "c", limit=2).collect()] == [("a", 2), ("b", 2)]
+
+
+def test_dedup_first_single_fixed_width_value(spark):
+    df = spark.createDataFrame([(1, D(2018, 1, 2)), (1, D(2018, 1, 1)), (2, None), (2, D(2018, 1, 5)), (3, D(2018, 2, 2))],
+                               "g int, d date")
+    out = dedup_first(df, ["g"])
+    assert {(r.g, r.d) for r in out.collect()} == {(1, D(2018, 1, 1)), (2, None), (3, D(2018, 2, 2))}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
