@@ -175,3 +175,15 @@ def test_clean_keeps_existing_injury_type(spark):
     raw = spark.createDataFrame([("2018-01-02", "lal", "a b", "torn acl", "Given")],
                                 "Date string, Team string, Relinquished string, Notes string, Injury_Type string")
     assert jobs.clean_incidents(raw).first().Injury_Type == "Given"
+
+
+def test_command_line_star_and_clean(spark, tmp_dir):
+    from sideline.__main__ import main
+    write_csv(sv.ragged_incidents(spark, SF_SMALL), f"{tmp_dir}/raw")
+    main(["star", "--raw-injuries", f"{tmp_dir}/raw", "--clean-prefix", f"{tmp_dir}/star/", "--year", "1998"])
+    assert spark.read.parquet(f"{tmp_dir}/star/fact_injury").count() == \
+        jobs.star_tables(sv.ragged_incidents(spark, SF_SMALL), 1998)["fact_injury"].count()
+    write_csv(sv.raw_incidents(spark, SF_SMALL), f"{tmp_dir}/raw2")
+    main(["clean", "--raw", f"{tmp_dir}/raw2", "--out", f"{tmp_dir}/clean"])
+    main(["summary", "--clean", f"{tmp_dir}/clean", "--out-prefix", f"{tmp_dir}/summary"])
+    assert spark.read.parquet(f"{tmp_dir}/summary/top_teams").count() == 10
