@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import last_token
-from .stats import dedup_first
+from .stats import dedup_first, stack_label_sums
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
@@ -171,20 +171,21 @@ def _window_cover(incidents: DataFrame, keys: list[str], incident_date: str, day
 
 
 def _label_totals(df: DataFrame, by: str, labels: Sequence[str] | None, count_col: str,
-                  weight: str | None = None) -> DataFrame:
-    """Per-label totals of day counts (optionally weighted by a cover count)."""
+                  weight: str | None = None, share_col: str | None = None) -> DataFrame:
+    """Per-label totals of day counts (optionally weighted by a cover count). With a
+    closed label set the totals are one aggregate row, and shares come from it
+    directly (``share_col``)."""
     w = F.col(weight) if weight else F.lit(1)
     if labels is None:
         return df.groupBy(by).agg(F.sum(F.col("_n") * w).alias(count_col))
     totals = df.agg(*[F.sum(F.col(f"_n{i}") * w).alias(f"_s{i}") for i in range(len(labels))])
-    stacked = ", ".join(f"{_sql_str(lab)}, _s{i}" for i, lab in enumerate(labels))
-    return (totals.selectExpr(f"stack({len(labels)}, {stacked}) AS ({by}, {count_col})")
-                  .filter(F.col(count_col) > 0))
+    return stack_label_sums(totals, labels, by, count_col, share_col)
 
 
 def pre_incident_counts(activity: DataFrame, incidents: DataFrame, on: str | Sequence[str],
                         activity_date: str, incident_date: str, by: str, days: int = 7,
-                        count_col: str = "n", labels: Sequence[str] | None = None) -> DataFrame:
+                        count_col: str = "n", labels: Sequence[str] | None = None,
+                        share_col: str | None = None) -> DataFrame:
     """Pair counts of ``pre_incident`` grouped by the activity column ``by`` (NULL
     labels excluded), without materialising the pairs.
 
@@ -196,7 +197,8 @@ def pre_incident_counts(activity: DataFrame, incidents: DataFrame, on: str | Seq
     With ``labels`` (the closed label set of a rule table) the activity side is
     aggregated by (key, day) with one count per label: its hash partitioning
     then already satisfies the join, saving a second shuffle of that side.
-    Labels outside ``labels`` must not occur (a rule table's labels + default).
+    Labels outside ``labels`` must not occur (a rule table's labels + default);
+    then ``share_col`` also adds each label's share of all pairs.
     """
     keys = _keys(on)
     if days < 1:
@@ -204,13 +206,14 @@ def pre_incident_counts(activity: DataFrame, incidents: DataFrame, on: str | Seq
     labels = list(dict.fromkeys(labels)) if labels is not None else None
     day_counts = _day_counts(activity, keys, activity_date, by, labels)
     cover = _window_cover(incidents, keys, incident_date, days)
-    return _label_totals(day_counts.join(cover, [*keys, "_day"], "inner"), by, labels, count_col, "_m")
+    return _label_totals(day_counts.join(cover, [*keys, "_day"], "inner"), by, labels, count_col, "_m",
+                         share_col if labels is not None else None)
 
 
 def overall_and_window_counts(activity: DataFrame, incidents: DataFrame, on: str | Sequence[str],
                               activity_date: str, incident_date: str, by: str, days: int = 7,
-                              count_col: str = "n", labels: Sequence[str] | None = None
-                              ) -> tuple[DataFrame, DataFrame]:
+                              count_col: str = "n", labels: Sequence[str] | None = None,
+                              share_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(label counts over all activity of people with an incident,
     label counts over the pre-incident window pairs), NULL labels excluded.
 
@@ -219,14 +222,12 @@ def overall_and_window_counts(activity: DataFrame, incidents: DataFrame, on: str
     """
     keys = _keys(on)
     labels = list(dict.fromkeys(labels)) if labels is not None else None
+    share_col = share_col if labels is not None else None
     day_counts = _day_counts(activity, keys, activity_date, by, labels)
-    overall = _label_totals(semi(day_counts, incidents, keys), by, labels, count_col)
+    overall = _label_totals(semi(day_counts, incidents, keys), by, labels, count_col, None, share_col)
     if days < 1:
         return overall, overall.limit(0)
     cover = _window_cover(incidents, keys, incident_date, days)
-    window = _label_totals(day_counts.join(cover, [*keys, "_day"], "inner"), by, labels, count_col, "_m")
+    window = _label_totals(day_counts.join(cover, [*keys, "_day"], "inner"), by, labels, count_col, "_m",
+                           share_col)
     return overall, window
-
-
-def _sql_str(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"

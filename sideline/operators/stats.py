@@ -56,6 +56,44 @@ def share_of_counts(counts: DataFrame, count_col: str = "n", share_col: str = "s
     return out
 
 
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def stack_label_sums(sums: DataFrame, labels: Sequence[str], by: str, count_col: str = "n",
+                     share_col: str | None = "share") -> DataFrame:
+    """Turn one row of per-label sums (columns ``_s0.._sk``, in ``labels`` order) into
+    (label, n[, share]) rows; labels with no rows are left out.
+
+    The total is the sum of the row's columns, so shares need no second pass or
+    subquery: the label set is closed, so the row is bounded by it.
+    """
+    sums = sums.select(*[F.coalesce(F.col(f"_s{i}"), F.lit(0)).cast("long").alias(f"_s{i}")
+                         for i in range(len(labels))])
+    total = None
+    for i in range(len(labels)):
+        total = F.col(f"_s{i}") if total is None else total + F.col(f"_s{i}")
+    sums = sums.withColumn("_t", total.cast("double"))
+    if share_col:
+        parts = ", ".join(f"{_sql_str(lab)}, _s{i}, CAST(_s{i} AS DOUBLE) / NULLIF(_t, 0)"
+                          for i, lab in enumerate(labels))
+        out = sums.selectExpr(f"stack({len(labels)}, {parts}) AS (`{by}`, `{count_col}`, `{share_col}`)")
+    else:
+        parts = ", ".join(f"{_sql_str(lab)}, _s{i}" for i, lab in enumerate(labels))
+        out = sums.selectExpr(f"stack({len(labels)}, {parts}) AS (`{by}`, `{count_col}`)")
+    return out.filter(F.col(count_col) > 0)
+
+
+def closed_label_shares(df: DataFrame, by: str, labels: Sequence[str], weight: str | None = None,
+                        count_col: str = "n", share_col: str = "share") -> DataFrame:
+    """(label, n, share) for a column whose values come from a closed label set
+    (e.g. a rule table's labels), in one global aggregate with per-label sums."""
+    w = F.col(weight) if weight else F.lit(1)
+    sums = df.agg(*[F.sum(F.when(F.col(by) == F.lit(lab), w).otherwise(F.lit(0))).alias(f"_s{i}")
+                    for i, lab in enumerate(labels)])
+    return stack_label_sums(sums, labels, by, count_col, share_col)
+
+
 def share(df: DataFrame, col: str, dropna: bool = True, count_col: str = "n",
           share_col: str = "share", pct_col: str | None = "pct") -> DataFrame:
     """(label, n, share, pct) with rows ordered by share desc, label asc."""

@@ -21,8 +21,9 @@ from ..operators.joins import (last_name_semi, lookup, overall_and_window_counts
 from ..operators.repair import (derive_if_missing, drop_if_present, in_year, normalize_incidents,
                                rename_if)
 from ..operators.star import build_star, classify_incidents
-from ..operators.stats import (by_month, compare_profiles, count_summary, dedup_first, freq,
-                               preview, share_of_counts, sorted_distinct, with_delta)
+from ..operators.stats import (as_percent, by_month, closed_label_shares, compare_profiles,
+                               count_summary, dedup_first, freq, preview, share_of_counts,
+                               sorted_distinct, with_delta)
 from ..session import staged
 from ..sources.readers import read_clean_or_raw, read_csv, read_items, read_parquet, require_columns
 from ..sources.sinks import StarPaths, write_csv, write_parquet
@@ -180,10 +181,15 @@ def window_profile(incidents: DataFrame, activity: DataFrame, on: str, incident_
                    activity_date: str, label: str, days: int = 7,
                    labels: Sequence[str] | None = None) -> DataFrame:
     """(label, n, share, pct) over the (activity, incident) pairs of the pre-incident window.
-    ``labels``: the closed label set, when known (saves a shuffle)."""
-    counts = pre_incident_counts(activity, incidents, on, activity_date, incident_date, label, days,
-                                 labels=labels)
-    return share_of_counts(counts).orderBy(F.col("share").desc(), F.col(label))
+    ``labels``: the closed label set, when known (saves a shuffle and the total's subquery)."""
+    if labels is not None:
+        shares = pre_incident_counts(activity, incidents, on, activity_date, incident_date, label, days,
+                                     labels=labels, share_col="share")
+        shares = shares.withColumn("pct", as_percent("share"))
+    else:
+        counts = pre_incident_counts(activity, incidents, on, activity_date, incident_date, label, days)
+        shares = share_of_counts(counts)
+    return shares.orderBy(F.col("share").desc(), F.col(label))
 
 
 def window_vs_overall(incidents: DataFrame, activity: DataFrame, on: str, incident_date: str,
@@ -193,9 +199,10 @@ def window_vs_overall(incidents: DataFrame, activity: DataFrame, on: str, incide
     """Label mix of all activity of the people with incidents vs their pre-incident mix,
     delta = window - overall, sorted by delta desc."""
     oc, wc = overall_and_window_counts(activity, incidents, on, activity_date, incident_date, label,
-                                       days, labels=labels)
-    overall = share_of_counts(oc, pct_col=None)
-    window = share_of_counts(wc, pct_col=None)
+                                       days, labels=labels, share_col="share")
+    if labels is None:
+        oc, wc = share_of_counts(oc, pct_col=None), share_of_counts(wc, pct_col=None)
+    overall, window = oc, wc
     cmp = compare_profiles(overall, window, label, "share", overall_name, window_name)
     return with_delta(cmp, window_name, overall_name, label)
 
@@ -252,14 +259,14 @@ def yearly_report(incidents: DataFrame, activity: DataFrame, year: int = 2018, k
     ev = (activity.filter(F.col("playerName").isNotNull())
                   .withColumn("play_type",
                               classify(text_of("description", "actionType", "subType"), PLAY_TYPE_REPORT)))
-    # One pre-aggregate per (player, play type) feeds both mixes (exchange reused).
+    # One pre-aggregate per (player, play type) feeds both mixes (exchange reused);
+    # play types are a closed label set, so each mix is one global aggregate.
     per_player = ev.groupBy("playerName", "play_type").agg(F.count(F.lit(1)).alias("_n"))
     by_share = [F.col("share").desc(), F.col("play_type")]
-    league = share_of_counts(per_player.groupBy("play_type").agg(F.sum("_n").alias("n")),
-                             pct_col=None).orderBy(*by_share)
-    group_counts = (last_name_semi(per_player, "playerName", severe, "Player_Name")
-                    .groupBy("play_type").agg(F.sum("_n").alias("n")))
-    group = share_of_counts(group_counts, pct_col=None).orderBy(*by_share)
+    labels = PLAY_TYPE_REPORT.labels
+    league = closed_label_shares(per_player, "play_type", labels, weight="_n").orderBy(*by_share)
+    group = closed_label_shares(last_name_semi(per_player, "playerName", severe, "Player_Name"),
+                                "play_type", labels, weight="_n").orderBy(*by_share)
     out["league"] = league
     out["severe_group"] = group
     out["league_vs_group"] = compare_profiles(league, group, "play_type", "share", "League", "Severe_Group")

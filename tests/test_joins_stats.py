@@ -235,3 +235,13 @@ def test_dedup_first_single_fixed_width_value(spark):
     assert {(r.g, r.d) for r in out.collect()} == {(1, D(2018, 1, 1)), (2, None), (3, D(2018, 2, 2))}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "HashAggregate" in plan
+
+
+def test_closed_label_shares_equal_share(spark):
+    from sideline.operators.stats import closed_label_shares
+    df = spark.createDataFrame([(c,) for c in "aabbbcx"], "c string")
+    got = {r.c: (r.n, r.share) for r in closed_label_shares(df, "c", ["a", "b", "c", "x", "unused"]).collect()}
+    want = {r.c: (r.n, r.share) for r in share(df, "c").collect()}
+    assert got == want
+    empty = spark.createDataFrame([], "c string")
+    assert closed_label_shares(empty, "c", ["a"]).count() == 0
