@@ -99,11 +99,13 @@ def test_classify_equals_python_rules(spark, texts, rs_name):
     assert got == [python_first_match(t, rs) for t in texts]
 
 
-@pytest.mark.parametrize("rs", [SEVERITY_ETL, REGION_ETL])
+@pytest.mark.parametrize("rs", [SEVERITY_ETL, REGION_ETL, PLAY_TYPE_WINDOW])
 def test_classifier_is_native(spark, rs):
-    df = spark.createDataFrame([("x",)], "t string").select(classify("t", rs))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    from sideline.functions.rules import has_label
+    base = spark.createDataFrame([("x",)], "t string")
+    for df in (base.select(classify("t", rs)), base.filter(has_label("t", rs, rs.rules[0][0]))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
 @settings(max_examples=25, deadline=None)
