@@ -56,3 +56,20 @@ def test_query_matches_oracle(spark, duck, name):
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])
     assert got[1] == want[1]
+
+
+@pytest.mark.parametrize("conf", [{"spark.sql.session.timeZone": "America/Los_Angeles"},
+                                  {"spark.sql.ansi.enabled": "false"}])
+def test_results_do_not_depend_on_session_settings(spark, duck, conf):
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for name in ("pre_incident_pairs", "dim_date", "clean_incidents", "league_vs_group", "parse_dates"):
+            df = E.queries()[name](spark, SF_SMALL)
+            got = _canon(df.columns, [tuple(r) for r in df.collect()])
+            res = duck.execute(E.oracle_sql()[name])
+            assert got == _canon([d[0] for d in res.description], res.fetchall()), name
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
