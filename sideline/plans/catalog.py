@@ -19,7 +19,7 @@ from ..functions.rules import (CATEGORY, INJURY_TYPE, PLAY_TYPE_REPORT, PLAY_TYP
 from ..functions.text import initial_last, last_token, text_of
 from ..operators.joins import last_name_semi, pre_incident
 from ..operators.repair import normalize_incidents, table_profile
-from ..operators.stats import freq
+from ..operators.stats import by_month, freq, share
 from ..session import ensure_checkpoint_dir
 from ..sources.readers import decimals_to_double, read_csv, read_items, read_parquet
 from ..sources.sinks import write_csv, write_parquet
@@ -123,6 +123,22 @@ def q_pre_incident_pairs_30d(spark, sf_dir):
                         bucket_days=LONG_BUCKET)
 
 
+@register("event_type_share", f"""
+SELECT event_type, n, share, {sql_pct('share')} AS pct FROM (
+  SELECT event_type, n, CAST(n AS DOUBLE) / CAST(sum(n) OVER () AS DOUBLE) AS share
+  FROM (SELECT event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY event_type))""")
+def q_event_type_share(spark, sf_dir):
+    """G8/G9 generic share (total from a scalar subquery) over the whole events table."""
+    return share(_t(spark, sf_dir, "events"), "event_type")
+
+
+@register("events_by_month", """
+SELECT CAST(date_trunc('month', CAST(ts AS DATE)) AS DATE) AS month, count(*) AS n
+FROM events WHERE ts IS NOT NULL GROUP BY 1""")
+def q_events_by_month(spark, sf_dir):
+    return by_month(_t(spark, sf_dir, "events").select(F.to_date("ts").alias("day")), "day")
+
+
 # ============================================================== incidents x activity: J5 / J6
 def _j5_inputs(spark, sf_dir):
     inc = sv.incidents(spark, sf_dir).select(initial_last("Player_Name").alias("playerNameFormatted"),
