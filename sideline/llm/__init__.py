@@ -3,3 +3,10 @@
 Nothing else in the package imports this subpackage. One module per operator; ``queries`` holds
 the thin registered queries.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers are sent with their code, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

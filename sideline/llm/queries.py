@@ -2,17 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_naming, mixing, sharding
+import public_tokenizers
+
+from . import block_naming, byte_bpe, ctph, license_scan, mixing, sanitise, sharding, simhash, token_counts, toxicity
 from .common import documents
 
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
+
+def op1_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    ranks = byte_bpe.read_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
+    encoded = byte_bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.decode(encoded, ranks).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_groups(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summary(license_scan.scan(documents(spark, sf_dir)))
+
+
+def held_out() -> Column:
+    """Rows that the classifier does not learn from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.train(documents(spark, sf_dir), labels.where(~held_out()))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.scores(documents(spark, sf_dir), toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op6_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise.find(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"] < 4)
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{sanitise.KINDS[kind]}")
+
+    counts = [count(kind) for kind in range(4)]
+    return found.select("doc_id", *counts, F.sha2(sanitise.as_text(base), 256).alias("base_sha256"),
+                        sanitise.as_text(F.col("spans")).alias("spans"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(documents(spark, sf_dir))
 
@@ -23,10 +72,28 @@ def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ctph.against_edits(documents(spark, sf_dir))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+                        "edited_fingerprint", "near_edited", "near_next")
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    ranks = byte_bpe.read_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
+    return token_counts.section_counts(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
 QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op2_mix": op2_mix,
+    "op3_simhash": op3_simhash,
+    "op4_license_scan": op4_license_scan,
+    "op5_toxicity": op5_toxicity,
+    "op6_sanitise": op6_sanitise,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_shard": op8_shard,
+    "op9_fingerprints": op9_fingerprints,
+    "op10_token_counts": op10_token_counts,
 }
 
 SQL = {
