@@ -1,7 +1,7 @@
 """Document fingerprints by context-triggered piecewise hashing.
 
-A rolling hash of the last seven bytes ends a chunk wherever it hits the trigger of the block size, so chunk
-boundaries depend on nearby bytes only and an edit changes few chunks. Each chunk gives one character of a
+A rolling hash of the last seven bytes ends a chunk wherever it hits the trigger of the block size (and
+after four blocks at the latest), so chunk boundaries depend on nearby bytes only and an edit changes few chunks. Each chunk gives one character of a
 signature. A fingerprint is ``block:signature:signature of twice the block``; the block size doubles from 3 until
 64 blocks cover the text. Fingerprints are compared by edit distance of the signatures that share a block size;
 sizes further apart than a factor of two are not comparable (likeness 0).
@@ -27,6 +27,8 @@ from .common import cut, table, text_of
 WINDOW = 7
 MIN_BLOCK = 3
 CHUNKS = 64
+#: A chunk ends after so many blocks at the latest: periodic texts hit no trigger, or one in each period.
+MAX_CHUNK = 4
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 #: Odd multipliers of the rolling hash, one per place in the window.
 PLACES = tuple((0x9E3779B1 * (2 * i + 1)) & 0xFFFFFFFF for i in range(WINDOW))
@@ -47,14 +49,15 @@ def _rolling(data: np.ndarray) -> np.ndarray:
 
 
 def _signature(raw: bytes, rolled: np.ndarray, block: int) -> str:
-    ends = np.flatnonzero(rolled % np.uint32(block) == block - 1) + 1
-    ends = ends.tolist()
+    ends = (np.flatnonzero(rolled % np.uint32(block) == block - 1) + 1).tolist()
     if not ends or ends[-1] != len(raw):
         ends.append(len(raw))
-    start, out = 0, []
+    start, out, most = 0, [], MAX_CHUNK * block
     for end in ends:
-        out.append(ALPHABET[xxhash.xxh32_intdigest(raw[start:end]) & 63])
-        start = end
+        while start < end:
+            stop = min(end, start + most)
+            out.append(ALPHABET[xxhash.xxh32_intdigest(raw[start:stop]) & 63])
+            start = stop
     return "".join(out)
 
 
