@@ -1,33 +1,57 @@
-"""Corpus pipeline: toxicity, exact dedup, SimHash near-dedup, mixing, byte-level BPE."""
+"""Corpus pipeline: toxicity, exact dedup, SimHash near-dedup, mixing, byte-level BPE.
+
+Each stage works on all rows that its predecessor kept. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sideline.llm import block_naming, mixing
+from sideline.llm import block_naming, mixing, queries, simhash, toxicity
+from sideline.llm.common import table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the classifier rejects go. It learns from the labelled rows of ``docs`` that are not held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~queries.held_out())
+    return toxicity.accepted(docs, toxicity.train(docs, labels))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays."""
+    """Of each group of equal texts the row with the largest doc_id stays."""
     return block_naming.drop_exact(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the row with the smallest doc_id stays."""
+    return simhash.keep_one(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows repeated or left out so that sources meet their target weights."""
     return mixing.sample(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of the mix."""
+    return queries.bpe_digests(docs)
+
+
 STAGES = [
+    ("toxicity", drop_toxic),
     ("exact dedup", exact_dedup),
+    ("SimHash near-dedup", near_dedup),
     ("mixing sources to target weights", mix_sources),
+    ("byte-level BPE encoding and decoding", encode),
 ]
 
-#: SimHash and the classifier have no SQL form.
+#: The classifier, XXH64 fingerprints and BPE have no SQL form; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each stage's rows are written to the shared folder for the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = table(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -143,7 +143,8 @@ def decoder(df: DataFrame, ranks: dict[bytes, int]):
     def decode(ids: pa.Array) -> pa.Array:
         piece = shared.value.__getitem__
         flat, ends = ids.values.to_numpy(zero_copy_only=False).tolist(), ids.offsets.to_pylist()
-        return pa.array([b"".join(map(piece, flat[a:b])) for a, b in zip(ends, ends[1:], strict=False)], pa.binary())
+        pieces = [b"".join(map(piece, flat[a:b])) for a, b in zip(ends, ends[1:], strict=False)]
+        return pa.array([p if ok else None for p, ok in zip(pieces, ids.is_valid().to_pylist(), strict=True)], pa.binary())
 
     return decode
 
@@ -159,7 +160,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``encoded`` with ``decoded`` (binary): the bytes of its ids. NULL ids decode to NULL."""
-    return encoded.withColumn("decoded", decoder(encoded, ranks)(F.col("ids")))
+    # the condition keeps Spark from chaining this function to the one that made the ids, which it would then run twice
+    ids = F.when(F.col("ids").isNotNull(), F.col("ids"))
+    return encoded.withColumn("decoded", decoder(encoded, ranks)(ids))
 
 
 def fold_words(word: Column, ranks: dict[bytes, int], buckets: int = 1 << 14) -> Column:

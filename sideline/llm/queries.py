@@ -13,15 +13,20 @@ from .common import documents
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
-def op1_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+def bpe_digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """doc_id, n_tokens and the digests of the ids and of what they decode to."""
     ranks = byte_bpe.read_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
-    encoded = byte_bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+    encoded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
     return byte_bpe.decode(encoded, ranks).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(documents(spark, sf_dir))
+
+
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 

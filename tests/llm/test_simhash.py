@@ -1,0 +1,105 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from helpers import odd_rows, prose, table
+
+from sideline.llm import simhash as S
+
+
+def brute_components(fps, bits=4):
+    fps = np.array(sorted(set(fps)), "uint64")
+    root = list(range(len(fps)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(fps)):
+        for j in np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= bits):
+            a, b = find(i), find(int(j))
+            root[max(a, b)] = min(a, b)
+    return {int(f): int(fps[find(i)]) for i, f in enumerate(fps)}
+
+
+def slow_fingerprint(text):
+    low = bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode())
+    words = [w for w in __import__("re").findall(rb"[^\x20\x09-\x0D]+", low)]
+    shingles = [b" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints(spark):
+    rng = random.Random(1)
+    texts = [t for _, t, _ in odd_rows()] + [prose(rng, n) for n in (1, 2, 3, 4, 5, 60)] + ["A b\x0bC\x1cd e", "É É é x y"]
+    for t in texts:
+        assert S.fingerprint(t or "") & (2**64 - 1) == slow_fingerprint(t)
+
+
+@pytest.mark.parametrize("task,chunk", [(4_000_000, 6_000_000), (20_000, 3_000), (2_000, 500)])
+def test_links_connect_all_within_the_radius(spark, monkeypatch, task, chunk):
+    # small bounds force leading bits, dense parts sent on, and splitting inside tasks
+    rng = random.Random(task)
+    fps = [rng.getrandbits(64) for _ in range(60)]
+    for f in fps[:12]:
+        for _ in range(8):  # chains and dense groups around some
+            f ^= sum(1 << b for b in rng.sample(range(64), rng.randint(1, 5)))
+            fps.append(f)
+    want = brute_components(fps)
+    monkeypatch.setattr(S, "CHUNK_VARIANTS", chunk)
+    signed = [(f - 2**64 if f >= 2**63 else f,) for f in set(fps)]
+    edges = S.links(spark.createDataFrame(signed, "fp bigint").repartition(3), 4, task).collect()
+    linked = brute_links([(r.a & (2**64 - 1), r.b & (2**64 - 1)) for r in edges], set(fps))
+    groups = {}
+    for f, r in want.items():
+        groups.setdefault(r, set()).add(f)
+    assert {frozenset(g) for g in groups.values()} == linked
+
+
+def brute_links(edges, nodes):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        root[find(a)] = find(b)
+    groups = {}
+    for n in nodes:
+        groups.setdefault(find(n), set()).add(n)
+    return {frozenset(g) for g in groups.values()}
+
+
+def test_components_of_chains_and_hubs(spark):
+    edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 300), (300, 120)]
+    got = {r.node: r.root for r in S.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {n: 0 for n in [*range(1, 41), *range(100, 140), 300]}
+    assert S.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_documents(spark):
+    rng = random.Random(9)
+    rows = odd_rows() + [(50, "   ", "a")]
+    for k in range(30):
+        words = prose(rng, 150).split()
+        rows.append((100 + 10 * k, " ".join(words), "a"))
+        words[-1] = "changed"
+        rows.append((99 - k if k % 2 else 1000 + k, " ".join(words), "a"))
+    fp = [slow_fingerprint(t) for _, t, _ in rows]
+    comp = brute_components(fp)
+    least = {}
+    for (i, _, _), f in zip(rows, fp, strict=True):
+        if i is not None:
+            least[comp[f]] = min(i, least.get(comp[f], i))
+    docs = table(spark, rows)
+    got = sorted([(r.doc_id, r.fp & (2**64 - 1), r.component_id) for r in S.near_groups(docs).collect()], key=str)
+    assert got == sorted([(i, f, least[comp[f]]) for (i, _, _), f in zip(rows, fp, strict=True)], key=str)
+    kept = S.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(least.values())
+    assert S.near_groups(table(spark, [])).count() == 0 and S.keep_one(table(spark, [])).count() == 0

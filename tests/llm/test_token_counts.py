@@ -1,0 +1,64 @@
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from helpers import odd_rows, table
+
+from sideline.llm import byte_bpe, queries
+from sideline.llm import token_counts as T
+
+RANKS = byte_bpe.read_ranks(public_tokenizers.path(queries.VOCABULARY))
+PATTERN = public_tokenizers.PATTERN
+
+
+@pytest.mark.parametrize("rule", T.RULES)
+def test_counts_equal_brute_force(spark, rule):
+    rng = random.Random(1)
+    texts = [t for _, t, _ in odd_rows()] + ["\n\n\na\n \n\n b\n", "one\ntwo", "a\n", "\n"]
+    texts += ["".join(rng.choices("ab é😀\n\n ", k=rng.randint(0, 80))) for _ in range(60)]
+    docs = table(spark, [(k, t, "s") for k, t in enumerate(texts)])
+    got = {}
+    for r in T.section_counts(docs, RANKS, PATTERN, rule).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    enc = tiktoken.Encoding("o", pat_str=PATTERN, mergeable_ranks=RANKS, special_tokens={})
+    for k, t in enumerate(texts):
+        t = t or ""
+        lines = t.splitlines(keepends=True) if t.isprintable() else [x for x in __import__("re").findall(r"[^\n]*\n|[^\n]+", t)]
+        lines = lines or [""]
+        owner = [i for i, line in enumerate(lines) for _ in line]
+        held, crossing, at = [0] * len(lines), [0] * len(lines), 0
+        raw = t.encode()
+        ids = enc.encode_ordinary(t)
+        for token in ids:
+            n = len(enc.decode_single_token_bytes(token))
+            first, last = len((raw[:at + 1]).decode(errors="ignore")), len(raw[:at + n].decode(errors="ignore"))
+            first = first - 1 if (raw[at] & 0xC0) != 0x80 and len(raw[:at].decode(errors="ignore")) != first else first
+            touched = owner[min(first, len(owner) - 1):max(last, first + 1)]
+            if rule == "start":
+                o = touched[0]
+            elif rule == "end":
+                o = touched[-1]
+            else:
+                o = max(sorted(set(touched)), key=touched.count)
+            held[o] += 1
+            crossing[o] += touched[0] != touched[-1]
+            at += n
+        rows = sorted(got[k], key=lambda r: r.section)
+        assert [r.n_tokens for r in rows] == held
+        assert [r.n_crossing for r in rows] == crossing
+        assert sum(held) == len(ids) == rows[0].doc_tokens
+        assert [t[r.start:r.end] for r in rows] == lines
+
+
+def test_rules_differ_where_a_token_crosses():
+    starts, ends, bounds = np.array([0, 3]), np.array([3, 8]), np.array([0, 4, 9])
+    assert [T.attribute(starts, ends, bounds, rule)[0].tolist() for rule in T.RULES] == [[2, 0], [1, 1], [1, 1]]
+    assert T.attribute(starts, ends, bounds)[1].tolist() == [1, 0]
+    with pytest.raises(ValueError):
+        T.attribute(starts, ends, bounds, "other")
+
+
+def test_empty_table(spark):
+    assert T.section_counts(table(spark, []), RANKS, PATTERN).count() == 0
