@@ -19,6 +19,8 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--raw", required=True)
     c.add_argument("--out", required=True)
     c.add_argument("--null-text", default=None, help="render missing text as this (e.g. 'nan') before cleaning")
+    c.add_argument("--date-format", action="append", default=None,
+                   help="accepted date format, in order (repeatable); ISO dates and date-times always are")
 
     s = sub.add_parser("summary", help="J2: cleaned incidents -> summary tables (Parquet)")
     s.add_argument("--clean", required=True)
@@ -26,6 +28,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--top", type=int, default=10)
 
     st = sub.add_parser("star", help="J3: raw incident CSV(s) -> star schema (Parquet)")
+    # These two option names are the interface users know.
     st.add_argument("--raw-injuries", required=True, help="raw incident CSV path, folder or glob")
     st.add_argument("--clean-prefix", required=True, help="output prefix for the five tables")
     st.add_argument("--year", type=int, default=2018)
@@ -52,12 +55,12 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--out-prefix", required=True)
     r.add_argument("--year", type=int, default=2018)
 
-    d = sub.add_parser("daily", help="incremental analysis-ready run over newly arrived activity files")
+    d = sub.add_parser("daily", help="land newly arrived activity files, then rebuild J4")
     d.add_argument("--activity-dir", required=True)
     d.add_argument("--incidents", required=True, help="incident CSV (item-table columns)")
     d.add_argument("--game-dates", required=True)
     d.add_argument("--out", required=True)
-    d.add_argument("--checkpoint", default=None, help="default: under spark.checkpoint.dir")
+    d.add_argument("--checkpoint", default=None, help="default: a folder under --out; keep it from run to run")
     d.add_argument("--start", default=jobs.SEASON_START)
     d.add_argument("--end", default=jobs.SEASON_END)
     d.add_argument("--max-files-per-trigger", type=int, default=None)
@@ -68,7 +71,8 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(app=f"sideline-{args.job}")
     if args.job == "clean":
-        jobs.clean_job(spark, args.raw, args.out, null_text=args.null_text)
+        formats = {"date_formats": args.date_format} if args.date_format else {}
+        jobs.clean_job(spark, args.raw, args.out, null_text=args.null_text, **formats)
     elif args.job == "summary":
         jobs.clean_summary_job(spark, args.clean, args.out_prefix, args.top)
     elif args.job == "star":
@@ -83,7 +87,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "daily":
         from .sources.readers import read_csv
         from .streaming.daily import run_daily
-        run_daily(spark, args.activity_dir, read_csv(spark, args.incidents), read_csv(spark, args.game_dates),
+        run_daily(spark, args.activity_dir, read_csv(spark, args.incidents, multi_line=True),
+                  read_csv(spark, args.game_dates),
                   args.out, args.checkpoint, args.start, args.end,
                   max_files_per_trigger=args.max_files_per_trigger)
 

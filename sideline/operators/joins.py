@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import last_token
-from .stats import dedup_first, stack_label_sums
+from .stats import closed, dedup_first, stack_label_sums
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
@@ -74,9 +74,13 @@ def last_name_semi(df: DataFrame, name_col: str, people: DataFrame, people_name_
 
     Namesakes over-match by design (same behaviour as matching on last names).
     """
-    keys = (people.filter(F.col(people_name_col).isNotNull() & (F.col(people_name_col) != ""))
-                  .select(last_token(people_name_col).alias("_last")))
-    return semi(df, keys, name_col, "_last")
+    return semi(df, last_names(people, people_name_col), name_col, "_last")
+
+
+def last_names(people: DataFrame, name_col: str) -> DataFrame:
+    """Distinct last tokens (``_last``) of the names; NULL and empty names have none."""
+    return (people.filter(F.col(name_col).isNotNull() & (F.col(name_col) != ""))
+                  .select(last_token(name_col).alias("_last")).distinct())
 
 
 def _window_days(incidents: DataFrame, incident_day: str, days: int) -> DataFrame:
@@ -158,7 +162,7 @@ def _day_counts(activity: DataFrame, keys: list[str], activity_date: str, by: st
     if labels is None:
         return (base.filter(F.col(by).isNotNull())
                     .groupBy(*keys, "_day", by).agg(F.count(F.lit(1)).alias("_n")))
-    return base.groupBy(*keys, "_day").agg(
+    return closed(base, by, labels).groupBy(*keys, "_day").agg(
         *[F.count_if(F.col(by) == F.lit(lab)).alias(f"_n{i}") for i, lab in enumerate(labels)])
 
 
@@ -197,8 +201,8 @@ def pre_incident_counts(activity: DataFrame, incidents: DataFrame, on: str | Seq
     With ``labels`` (the closed label set of a rule table) the activity side is
     aggregated by (key, day) with one count per label: its hash partitioning
     then already satisfies the join, saving a second shuffle of that side.
-    Labels outside ``labels`` must not occur (a rule table's labels + default);
-    then ``share_col`` also adds each label's share of all pairs.
+    A label outside ``labels`` (a rule table's labels + default) is an error;
+    ``share_col`` also adds each label's share of all pairs.
     """
     keys = _keys(on)
     if days < 1:
@@ -211,23 +215,18 @@ def pre_incident_counts(activity: DataFrame, incidents: DataFrame, on: str | Seq
 
 
 def overall_and_window_counts(activity: DataFrame, incidents: DataFrame, on: str | Sequence[str],
-                              activity_date: str, incident_date: str, by: str, days: int = 7,
-                              count_col: str = "n", labels: Sequence[str] | None = None,
-                              share_col: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(label counts over all activity of people with an incident,
-    label counts over the pre-incident window pairs), NULL labels excluded.
-
-    Both come from one pre-aggregated (key, day) activity table, so the activity
-    input is scanned and aggregated once (the exchange is reused by both branches).
+                              activity_date: str, incident_date: str, by: str, days: int = 7) -> DataFrame:
+    """(person and day counts) of the activity of people with an incident: key(s), ``_day``, ``by``,
+    ``_n`` (rows) and ``_m`` (how many incidents' windows cover the day; 0: none). NULL labels excluded.
+
+    ``sum(_n)`` per label is the mix over all their activity, ``sum(_n * _m)`` the mix over the
+    pre-incident window pairs: both from one pass over activity, which is pre-aggregated to
+    (key, day, label) before any shuffle of raw rows.
     """
     keys = _keys(on)
-    labels = list(dict.fromkeys(labels)) if labels is not None else None
-    share_col = share_col if labels is not None else None
-    day_counts = _day_counts(activity, keys, activity_date, by, labels)
-    overall = _label_totals(semi(day_counts, incidents, keys), by, labels, count_col, None, share_col)
+    day_counts = semi(_day_counts(activity, keys, activity_date, by, None), incidents, keys)
     if days < 1:
-        return overall, overall.limit(0)
+        return day_counts.withColumn("_m", F.lit(0).cast("long"))
     cover = _window_cover(incidents, keys, incident_date, days)
-    window = _label_totals(day_counts.join(cover, [*keys, "_day"], "inner"), by, labels, count_col, "_m",
-                           share_col)
-    return overall, window
+    return (day_counts.join(cover, [*keys, "_day"], "left")
+            .withColumn("_m", F.coalesce("_m", F.lit(0).cast("long"))))

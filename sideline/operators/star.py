@@ -2,8 +2,8 @@
 
 Every dimension key is a pure function of the fact row (SHA-256 of the
 member text, or the YYYYMMDD day key), so the fact computes its keys in-row
-instead of joining back to four dimensions: the same keys, no join shuffles.
-``fact_by_lookup`` keeps the join formulation as a test oracle.
+instead of joining back to four dimensions: the same keys, no join shuffles
+(the tests compare them with a join).
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from ..functions.text import text_of
 # Defaults of the injury dimension attributes.
 INJURY_DEFAULTS = {"injury_category": "OTHER", "injury_region": "OTHER", "injury_severity": "UNKNOWN"}
 
+# Columns of the fact table, in order.
 FACT_COLUMNS = ("fact_injury_key", "player_key", "team_key", "injury_key", "date_key",
                 "Player_Name", "Team", "injury_category", "injury_region", "injury_severity",
                 "Injury_Type", "Notes")
@@ -87,15 +88,6 @@ def fact_injury(df: DataFrame) -> DataFrame:
     return keyed.select(_fact_key().alias("fact_injury_key"), *FACT_COLUMNS[1:])
 
 
-def fact_by_lookup(df: DataFrame) -> DataFrame:
-    """Join formulation of ``fact_injury`` (left lookups into the four dimensions)."""
-    joined = (df.join(dim_player(df), "Player_Name", "left")
-                .join(dim_team(df), "Team", "left")
-                .join(dim_injury(df), list(INJURY_DEFAULTS), "left")
-                .join(dim_date(df).select("date_key", "Date"), "Date", "left"))
-    return joined.select(_fact_key().alias("fact_injury_key"), *FACT_COLUMNS[1:])
-
-
 def build_star(classified: DataFrame, year: int = 2018) -> dict[str, DataFrame]:
     """The five star-schema tables for one year; the fact carries a literal Year."""
     df = star_input(classified, year)

@@ -1,7 +1,8 @@
 """Counting, distribution and dedup operators.
 
-Every aggregate here is a hash aggregate with a map-side partial step, so a
-hot label or key is reduced inside each map task before the shuffle. Totals
+Every aggregate here has a map-side partial step, so a hot label or key is reduced
+inside each map task before the shuffle. All are hash aggregates except keep-first
+dedup over text columns (``dedup_first``), which Spark sorts. Totals
 for shares come from a scalar subquery over the (small) count table, never
 from a single-partition window or a driver round trip.
 """
@@ -84,13 +85,39 @@ def stack_label_sums(sums: DataFrame, labels: Sequence[str], by: str, count_col:
     return out.filter(F.col(count_col) > 0)
 
 
+def closed(df: DataFrame, by: str, labels: Sequence[str]) -> DataFrame:
+    """``df``, in which a label outside the closed set is an error (per-label sums would
+    silently leave it out of counts and shares). NULL labels pass and are not counted."""
+    stray = F.raise_error(F.concat(F.lit("label outside the closed set: "), F.col(by))).cast("string")
+    return df.withColumn(by, F.when(F.col(by).isNull() | F.col(by).isin(list(labels)), F.col(by)).otherwise(stray))
+
+
+def closed_label_mixes(df: DataFrame, by: str, labels: Sequence[str], weights: dict[str, Column]) -> DataFrame:
+    """Totals of several weightings of a closed-label column in one aggregate row, turned into
+    one row per label: (label, n and share of each weighting as ``n_<name>``, ``share_<name>``).
+
+    One pass gives every mix, and each is a projection of the result. The row is bounded by the
+    label set.
+    """
+    sums = [F.sum(F.when(F.col(by) == F.lit(lab), w)).alias(f"_{name}{i}")
+            for name, w in weights.items() for i, lab in enumerate(labels)]
+    row = closed(df, by, labels).agg(*sums)
+    at = lambda name, i: f"coalesce(_{name}{i}, 0L)"
+    totals = {name: "(" + " + ".join(at(name, i) for i in range(len(labels))) + ")" for name in weights}
+    parts = [", ".join([_sql_str(lab)] + [x for name in weights for x in (
+        at(name, i), f"coalesce(CAST({at(name, i)} AS DOUBLE) / NULLIF(CAST({totals[name]} AS DOUBLE), 0), 0D)")])
+        for i, lab in enumerate(labels)]
+    names = [f"`{by}`"] + [x for name in weights for x in (f"`n_{name}`", f"`share_{name}`")]
+    return row.selectExpr(f"stack({len(labels)}, {', '.join(parts)}) AS ({', '.join(names)})")
+
+
 def closed_label_shares(df: DataFrame, by: str, labels: Sequence[str], weight: str | None = None,
                         count_col: str = "n", share_col: str = "share") -> DataFrame:
     """(label, n, share) for a column whose values come from a closed label set
     (e.g. a rule table's labels), in one global aggregate with per-label sums."""
     w = F.col(weight) if weight else F.lit(1)
-    sums = df.agg(*[F.sum(F.when(F.col(by) == F.lit(lab), w).otherwise(F.lit(0))).alias(f"_s{i}")
-                    for i, lab in enumerate(labels)])
+    sums = closed(df, by, labels).agg(*[F.sum(F.when(F.col(by) == F.lit(lab), w).otherwise(F.lit(0))).alias(f"_s{i}")
+                                        for i, lab in enumerate(labels)])
     return stack_label_sums(sums, labels, by, count_col, share_col)
 
 

@@ -17,12 +17,15 @@ from ..functions.rules import (CATEGORY, INJURY_TYPE, PLAY_TYPE_REPORT, PLAY_TYP
                                REGION_ETL, REGION_REPORT, SEVERITY, SEVERITY_ETL, classify,
                                has_label)
 from ..functions.text import initial_last, last_token, text_of
-from ..operators.joins import last_name_semi, pre_incident
+from ..operators.joins import last_name_semi, lookup, pre_incident
 from ..operators.repair import normalize_incidents, table_profile
+from ..operators.star import FACT_COLUMNS, classify_incidents, dim_injury, star_input
 from ..operators.stats import by_month, freq, share
 from ..session import ensure_checkpoint_dir
-from ..sources.readers import decimals_to_double, read_csv, read_items, read_parquet
+from ..sources.readers import (decimals_to_double, read_clean_or_raw, read_csv, read_items, read_parquet,
+                               require_columns, require_path)
 from ..sources.sinks import write_csv, write_parquet
+from ..streaming.daily import run_daily
 from . import jobs
 from . import sample_views as sv
 from .sql_oracle import (sql_classify, sql_date_any, sql_initial_last, sql_last_token, sql_pct,
@@ -585,16 +588,139 @@ def q_parquet_partition_roundtrip(spark, sf_dir):
 
 
 @register("items_json", """
-SELECT CAST(s_suppkey AS DOUBLE) AS s_suppkey, s_name, CAST(s_nationkey AS DOUBLE) AS s_nationkey,
-       s_acctbal FROM supplier""")
+SELECT CAST(s_suppkey AS DOUBLE) AS s_suppkey, s_name, CAST(s_nationkey AS DOUBLE) AS s_nationkey, s_acctbal,
+       CAST('0.00000000000' || s_suppkey AS DOUBLE) AS tiny, CAST(s_suppkey || 'E30' AS DOUBLE) AS huge,
+       CAST('0.12345678901' || lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS DOUBLE) AS digits,
+       '[{"S":"' || s_name || '"},{"N":"' || s_nationkey || '"}]' AS list, '["a","' || s_name || '"]' AS names,
+       s_suppkey % 2 = 0 AS even
+FROM supplier""")
 def q_items_json(spark, sf_dir):
+    """Typed items: numbers of any size, a list, a set and a boolean."""
     s = _t(spark, sf_dir, "supplier")
+    key, tag = F.col("s_suppkey").cast("string"), lambda v, t: F.struct(v.alias(t))
+    element = lambda **kw: F.struct(*[kw.get(t, F.lit(None).cast("string")).alias(t) for t in ("S", "N")])
     item = F.struct(
-        F.struct(F.col("s_suppkey").cast("string").alias("N")).alias("s_suppkey"),
-        F.struct(F.col("s_name").alias("S")).alias("s_name"),
-        F.struct(F.col("s_nationkey").cast("string").alias("N")).alias("s_nationkey"),
-        F.struct(F.col("s_acctbal").cast("string").alias("N")).alias("s_acctbal"),
+        tag(key, "N").alias("s_suppkey"), tag(F.col("s_name"), "S").alias("s_name"),
+        tag(F.col("s_nationkey").cast("string"), "N").alias("s_nationkey"),
+        tag(F.col("s_acctbal").cast("string"), "N").alias("s_acctbal"),
+        tag(F.concat(F.lit("0.00000000000"), key), "N").alias("tiny"),
+        tag(F.concat(key, F.lit("E30")), "N").alias("huge"),
+        tag(F.concat(F.lit("0.12345678901"), F.lpad(key, 5, "0")), "N").alias("digits"),
+        tag(F.array(element(S=F.col("s_name")), element(N=F.col("s_nationkey").cast("string"))), "L").alias("list"),
+        tag(F.array(F.lit("a"), F.col("s_name")), "SS").alias("names"),
+        tag(F.col("s_suppkey") % 2 == 0, "BOOL").alias("even"),
     ).alias("Item")
     path = _scratch(spark, "items")
     s.select(item).write.mode("overwrite").json(path)
-    return read_items(spark, path)
+    return read_items(spark, path).select("s_suppkey", "s_name", "s_nationkey", "s_acctbal", "tiny", "huge", "digits",
+                                          "list", "names", "even")
+
+
+@register("csv_free_text_roundtrip", "SELECT doc_id, text, source FROM documents")
+def q_csv_free_text_roundtrip(spark, sf_dir):
+    """Whole free texts (quotes, commas, line breaks, outer blanks) through a CSV file and back."""
+    path = _scratch(spark, "csv-free")
+    write_csv(_t(spark, sf_dir, "documents").select("doc_id", "text", "source"), path)
+    return read_csv(spark, path, schema="doc_id BIGINT, text STRING, source STRING", multi_line=True)
+
+
+@register("clean_or_raw", _with(*_CLEAN_CTES) + "SELECT * FROM clean")
+def q_clean_or_raw(spark, sf_dir):
+    """No cleaned file: the raw file, cleaned."""
+    path = _scratch(spark, "raw")
+    write_csv(sv.raw_incidents(spark, sf_dir), path)
+    return read_clean_or_raw(spark, f"{path}-cleaned", path)
+
+
+@register("parquet_modes", "SELECT * FROM supplier UNION ALL SELECT * FROM supplier")
+def q_parquet_modes(spark, sf_dir):
+    """An un-partitioned write, replaced, then appended to."""
+    s, path = _t(spark, sf_dir, "supplier"), _scratch(spark, "parquet-modes")
+    write_parquet(s.limit(1), path)
+    write_parquet(s, path, mode="overwrite")
+    write_parquet(s, path, mode="append")
+    return read_parquet(spark, path)
+
+
+@register("required_input", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name FROM customer")
+def q_required_input(spark, sf_dir):
+    """A file that must be there, with columns that must be there."""
+    path = _scratch(spark, "required")
+    write_csv(_t(spark, sf_dir, "customer"), path)
+    return require_columns(require_path(spark, path), ["c_custkey", "c_name"]).select("c_custkey", "c_name")
+
+
+@register("star_job_fact", SQL["fact_injury"])
+def q_star_job_fact(spark, sf_dir):
+    """The star job from a raw file to tables under an output prefix; the fact read back from its folders."""
+    path = _scratch(spark, "star")
+    write_csv(sv.ragged_incidents(spark, sf_dir), f"{path}/raw")
+    paths = jobs.star_job(spark, f"{path}/raw", f"{path}/out/", YEAR)
+    fact = read_parquet(spark, paths.fact_injury)
+    return fact.select(*FACT_COLUMNS, F.col("Year").cast("int")).withColumn("Team", F.col("Team").cast("string"))
+
+
+@register("injury_lookup", _with(*_STAR_CTES, """dim AS (
+  SELECT DISTINCT injury_category, injury_region, injury_severity FROM s)""") + """
+SELECT s.Player_Name, s.Team, s.Date, sha256(concat_ws('|', dim.injury_category, dim.injury_region, dim.injury_severity)) AS injury_key
+FROM s LEFT JOIN dim ON s.injury_category = dim.injury_category AND s.injury_region = dim.injury_region
+                    AND s.injury_severity = dim.injury_severity""")
+def q_injury_lookup(spark, sf_dir):
+    """Left lookup on three keys."""
+    df = star_input(classify_incidents(normalize_incidents(sv.ragged_incidents(spark, sf_dir))), YEAR)
+    found = lookup(df, dim_injury(df), ["injury_category", "injury_region", "injury_severity"])
+    return found.select("Player_Name", "Team", "Date", "injury_key")
+
+
+@register("report_absent_columns", _with(*_REPORT_CTES[:-4], f"""evn AS (
+  SELECT {sql_classify("lower(coalesce(description, ''))", PLAY_TYPE_REPORT)} AS play_type
+  FROM act WHERE playerName IS NOT NULL)""", "nc AS (SELECT play_type, count(*) AS n FROM evn GROUP BY play_type)") + """
+SELECT play_type, n, CAST(n AS DOUBLE) / CAST(sum(n) OVER () AS DOUBLE) AS share FROM nc""")
+def q_report_absent_columns(spark, sf_dir):
+    """The report over activity that lacks two of its text columns, and incidents without Injury_Type."""
+    act = sv.activity(spark, sf_dir).drop("actionType", "subType")
+    return jobs.yearly_report(_clean(spark, sf_dir).drop("Injury_Type"), act, YEAR)["league"]
+
+
+@register("clean_incidents_timestamp", _with(*_CLEAN_CTES) + "SELECT * FROM clean")
+def q_clean_incidents_timestamp(spark, sf_dir):
+    """Dates that arrive as TIMESTAMP."""
+    raw = sv.raw_incidents(spark, sf_dir)
+    return jobs.clean_incidents(raw.withColumn("Date", F.to_timestamp(F.concat("Date", F.lit(" 13:14:15")))))
+
+
+@register("clean_incidents_us_dates", _with(*_CLEAN_CTES) + "SELECT * FROM clean")
+def q_clean_incidents_us_dates(spark, sf_dir):
+    """Dates written month first."""
+    raw = sv.raw_incidents(spark, sf_dir)
+    return jobs.clean_incidents(raw.withColumn("Date", F.date_format(F.to_date("Date"), "MM/dd/yyyy")))
+
+
+@register("pre_incident_profile_bad_dates", _with(
+    *_J5_CTES[:3],
+    f"""ev AS (SELECT playerNameFormatted, gameDate,
+               {sql_classify(sql_text_of('description', 'actionType'), PLAY_TYPE_WINDOW)} AS play_type
+         FROM act WHERE playerNameFormatted IS NOT NULL AND CAST(gameId AS BIGINT) % 5 <> 0)""",
+    f"""pairs AS (SELECT ev.* FROM ev JOIN sev ON ev.playerNameFormatted = sev.playerNameFormatted
+          AND ev.gameDate >= sev.injuryDate - {DAYS} AND ev.gameDate < sev.injuryDate)""",
+    *_J5_CTES[5:]) + f"SELECT play_type, n, share, {sql_pct('share')} AS pct FROM ws")
+def q_pre_incident_profile_bad_dates(spark, sf_dir):
+    """Game dates as text, a fifth of the games with an unreadable one."""
+    inc, act = _j5_inputs(spark, sf_dir)
+    bad = F.col("gameId").cast("bigint") % 5 == 0
+    act = act.withColumn("gameDate", F.when(bad, "n/a").otherwise(F.date_format("gameDate", "MM/dd/yyyy")))
+    return jobs.pre_incident_profile(inc, act, DAYS)
+
+
+@register("analysis_ready_incremental", SQL["analysis_ready"])
+def q_analysis_ready_incremental(spark, sf_dir):
+    """Two daily runs; incidents, game dates and half of the activity arrive with the second."""
+    base = _scratch(spark, "daily")
+    act = sv.activity(spark, sf_dir).select(*jobs.ACTIVITY_COLUMNS)
+    inc, games = sv.item_incidents(spark, sf_dir), sv.game_dates(spark, sf_dir)
+    early = F.col("gameId").cast("bigint") % 2 == 0
+    write_csv(act.filter(early), f"{base}/in/day1")
+    run_daily(spark, f"{base}/in/*", inc.filter("crc32(player_name) % 3 = 0"),
+              games.filter("crc32(GAMEID) % 2 = 0"), f"{base}/out", None, *SEASON)
+    write_csv(act.filter(~early), f"{base}/in/day2")
+    return run_daily(spark, f"{base}/in/*", inc, games, f"{base}/out", None, *SEASON)

@@ -11,18 +11,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.dates import between_dates, parse_date
+from ..functions.dates import INCIDENT_DATE_FORMATS, between_dates, parse_date
 from ..functions.rules import (INJURY_TYPE, PLAY_TYPE_REPORT, PLAY_TYPE_WINDOW, REGION_REPORT,
                                SEVERITY, classify, has_label)
 from ..functions.text import initial_last, text_of, title_text, to_number_or_null
-from ..operators.joins import (last_name_semi, lookup, overall_and_window_counts, pre_incident,
+from ..operators.joins import (last_names, lookup, overall_and_window_counts, pre_incident,
                                pre_incident_counts, restrict_to)
-from ..operators.repair import (derive_if_missing, drop_if_present, in_year, normalize_incidents,
-                               rename_if)
+from ..operators.repair import (derive_if_missing, drop_if_present, ensure_columns, in_year,
+                                normalize_incidents, rename_if)
 from ..operators.star import build_star, classify_incidents
-from ..operators.stats import (as_percent, by_month, closed_label_shares, compare_profiles,
-                               count_summary, dedup_first, freq, preview, share_of_counts,
+from ..operators.stats import (as_percent, by_month, closed_label_mixes, count_summary, dedup_first, freq, preview, share_of_counts,
                                sorted_distinct, with_delta)
 from ..session import staged
 from ..sources.readers import read_clean_or_raw, read_csv, read_items, read_parquet, require_columns
@@ -38,7 +38,7 @@ SEASON_START, SEASON_END = "2018-10-01", "2019-05-01"
 
 # --------------------------------------------------------------------------- J1 / J2
 def clean_incidents(raw: DataFrame, null_text: str | None = None,
-                    date_formats: Sequence[str] = ("yyyy-MM-dd",),
+                    date_formats: Sequence[str] = INCIDENT_DATE_FORMATS,
                     order_by: Sequence[str] | None = None) -> DataFrame:
     """Clean a raw incident table.
 
@@ -54,13 +54,14 @@ def clean_incidents(raw: DataFrame, null_text: str | None = None,
     df = drop_if_present(raw, "Acquired")
     df = rename_if(df, "Relinquished", "Player_Name")
     require_columns(df, ["Player_Name", "Team", "Notes", "Date"])
+    if null_text is None:  # title case is NULL only where the raw text is: test that, before the work
+        df = df.na.drop(how="any", subset=["Player_Name", "Team"])
     cols = {c: F.col(f"`{c}`") for c in df.columns}
     for c in ("Player_Name", "Team", "Notes"):
         cols[c] = title_text(c, null_text)
     cols["Date"] = parse_date("Date", date_formats)
     df = df.select(*[v.alias(k) for k, v in cols.items()])
     df = df.withColumn("Year", F.year("Date").cast("int"))
-    df = df.na.drop(how="any", subset=["Player_Name", "Team"])
     df = dedup_first(df, ["Player_Name", "Date"], order_by)
     return derive_if_missing(df, "Injury_Type", classify(F.lower("Notes"), INJURY_TYPE))
 
@@ -79,12 +80,13 @@ def clean_summary(clean: DataFrame, k: int = 10) -> dict[str, DataFrame]:
 
 
 def clean_job(spark: SparkSession, raw_path: str, out_path: str, **kw) -> None:
-    write_csv(clean_incidents(read_csv(spark, raw_path), **kw), out_path)
+    """Notes may hold line breaks; ``kw`` go to ``clean_incidents``."""
+    write_csv(clean_incidents(read_csv(spark, raw_path, multi_line=True), **kw), out_path)
 
 
 def clean_summary_job(spark: SparkSession, clean_path: str, out_prefix: str, k: int = 10) -> dict[str, str]:
     """J2 over a cleaned incident file: every summary table written as Parquet."""
-    clean = read_csv(spark, clean_path)
+    clean = read_csv(spark, clean_path, multi_line=True)
     base = out_prefix.rstrip("/")
     out = {}
     with staged(clean, "summary_input") as inc:
@@ -107,7 +109,7 @@ def star_job(spark: SparkSession, raw_path: str, prefix: str, year: int = 2018)
     checkpoint folder and re-read (columns pruned per sink) instead of
     re-parsing and re-classifying the CSV five times.
     """
-    raw = read_csv(spark, raw_path)
+    raw = read_csv(spark, raw_path, multi_line=True)
     paths = StarPaths(prefix)
     with staged(classify_incidents(normalize_incidents(raw)), "star_input") as classified:
         tables = build_star(classified, year)
@@ -121,8 +123,8 @@ def star_job(spark: SparkSession, raw_path: str, prefix: str, year: int = 2018)
 def windowed_incidents(incidents: DataFrame, start: str = SEASON_START, end: str = SEASON_END,
                        name_col: str = "player_name", date_col: str = "date") -> DataFrame:
     """Incidents with 'F. Last' names inside the closed date range [start, end]."""
-    d = parse_date(date_col)
-    return (incidents.select(initial_last(name_col).alias("playerNameFormatted"),
+    d = parse_date(date_col, INCIDENT_DATE_FORMATS)
+    return (ensure_columns(incidents, ["Injury_Type", "Notes"]).select(initial_last(name_col).alias("playerNameFormatted"),
                              "Team", "Notes", "Injury_Type", d.alias("date"))
                      .filter(between_dates("date", start, end)))
 
@@ -140,7 +142,7 @@ def analysis_ready(incidents: DataFrame, activity: DataFrame, game_dates: DataFr
     act = activity.select(*ACTIVITY_COLUMNS)
     act = restrict_to(act, "playerNameI", inc, "playerNameFormatted")
     games = game_dates.select(F.col("GAMEID").alias("gameId"),
-                              parse_date("gameDate").alias("gameDate"))
+                              parse_date("gameDate", INCIDENT_DATE_FORMATS).alias("gameDate"))
     final = lookup(act, games, "gameId", "left", dedup=dedup_games)
     return inc, final
 
@@ -150,12 +152,12 @@ def analysis_ready_job(spark: SparkSession, incidents_path: str, activity_path:
     """J4 runner. ``source='csv'`` reads CSV extracts (text columns);
     ``source='items'`` reads the item-table exports directly (``read_items``)."""
     if source == "csv":
-        read = lambda p: read_csv(spark, p)
+        read = lambda p, **kw: read_csv(spark, p, **kw)
     elif source == "items":
-        read = lambda p: read_items(spark, p)
+        read = lambda p, **kw: read_items(spark, p)
     else:
         raise ValueError(f"unknown source {source!r}")
-    inc, final = analysis_ready(read(incidents_path), read(activity_path), read(game_dates_path), **kw)
+    inc, final = analysis_ready(read(incidents_path, multi_line=True), read(activity_path), read(game_dates_path), **kw)
     base = out_prefix.rstrip("/")
     write_parquet(inc, f"{base}/injuries_windowed")
     write_parquet(final, f"{base}/analysis_ready")
@@ -164,16 +166,21 @@ def analysis_ready_job(spark: SparkSession, incidents_path: str, activity_path:
 # --------------------------------------------------------------------------- J5 / J6
 def severe_incidents(incidents: DataFrame) -> DataFrame:
     """Incidents with a player and date whose severity (Injury_Type + Notes) is HIGH."""
-    inc = incidents.withColumn("injuryDate", parse_date("injuryDate") if
-                               dict(incidents.dtypes).get("injuryDate") == "string" else F.col("injuryDate"))
+    inc = ensure_columns(incidents, ["Injury_Type", "Notes"])
+    if not isinstance(inc.schema["injuryDate"].dataType, T.DateType):
+        inc = inc.withColumn("injuryDate", parse_date("injuryDate", INCIDENT_DATE_FORMATS))
     return (inc.na.drop(subset=["playerNameFormatted", "injuryDate"])
                .filter(has_label(text_of("Injury_Type", "Notes"), SEVERITY, "HIGH"))
                .withColumn("severity", F.lit("HIGH")))
 
 
 def play_events(activity: DataFrame) -> DataFrame:
-    """Activity with a player and a game date, labelled by play type (description + actionType)."""
-    return (activity.na.drop(subset=["playerNameFormatted", "gameDate"])
+    """Activity with a player and a game date, labelled by play type (description + actionType).
+    Dates may be text; rows with unreadable ones are left out. Absent text columns count as empty."""
+    act = ensure_columns(activity, ["description", "actionType"])
+    if not isinstance(act.schema["gameDate"].dataType, T.DateType):
+        act = act.withColumn("gameDate", parse_date("gameDate", INCIDENT_DATE_FORMATS))
+    return (act.na.drop(subset=["playerNameFormatted", "gameDate"])
                     .withColumn("play_type", classify(text_of("description", "actionType"), PLAY_TYPE_WINDOW)))
 
 
@@ -198,15 +205,42 @@ def window_vs_overall(incidents: DataFrame, activity: DataFrame, on: str, incide
                       labels: Sequence[str] | None = None) -> DataFrame:
     """Label mix of all activity of the people with incidents vs their pre-incident mix,
     delta = window - overall, sorted by delta desc."""
-    oc, wc = overall_and_window_counts(activity, incidents, on, activity_date, incident_date, label,
-                                       days, labels=labels, share_col="share")
-    if labels is None:
-        oc, wc = share_of_counts(oc, pct_col=None), share_of_counts(wc, pct_col=None)
-    overall, window = oc, wc
-    cmp = compare_profiles(overall, window, label, "share", overall_name, window_name)
+    mixes = window_mixes(incidents, activity, on, incident_date, activity_date, label, days, labels)
+    return mixes_delta(mixes, label, overall_name, window_name)
+
+
+def window_mixes(incidents: DataFrame, activity: DataFrame, on: str, incident_date: str,
+                 activity_date: str, label: str, days: int = 7,
+                 labels: Sequence[str] | None = None) -> DataFrame:
+    """label, n_overall, share_overall, n_window, share_window, in one pass over activity. With a
+    closed label set (``labels``) shares come from one aggregate row; else the totals are a scalar
+    subquery over the label counts, whose exchange is reused."""
+    counted = overall_and_window_counts(activity, incidents, on, activity_date, incident_date, label, days)
+    weights = {"overall": F.col("_n"), "window": F.col("_n") * F.col("_m")}
+    if labels is not None:
+        return closed_label_mixes(counted, label, labels, weights)
+    counts = counted.groupBy(label).agg(*[F.sum(w).alias(f"n_{k}") for k, w in weights.items()])
+    totals = counts.select(F.struct(*[F.sum(f"n_{k}").cast("double").alias(k) for k in weights])).scalar()
+    share = lambda k: F.coalesce(F.try_divide(F.col(f"n_{k}").cast("double"), totals[k]), F.lit(0.0))
+    return counts.select(label, *[c for k in weights for c in (f"n_{k}", share(k).alias(f"share_{k}"))])
+
+
+def mixes_delta(mixes: DataFrame, label: str, overall_name: str = "Season",
+                window_name: str = "Week_Before_Injury") -> DataFrame:
+    """(label, overall share, window share, delta) of ``window_mixes``, sorted by delta desc. Pairs are
+    activity of the same people, so no label has window rows only."""
+    cmp = mixes.filter("n_overall > 0").select(label, F.col("share_overall").alias(overall_name),
+                                               F.col("share_window").alias(window_name))
     return with_delta(cmp, window_name, overall_name, label)
 
 
+def mixes_profile(mixes: DataFrame, label: str, which: str = "window") -> DataFrame:
+    """(label, n, share, pct) of one of the mixes, sorted by share desc."""
+    p = mixes.filter(F.col(f"n_{which}") > 0).select(label, F.col(f"n_{which}").alias("n"),
+                                                     F.col(f"share_{which}").alias("share"))
+    return p.withColumn("pct", as_percent("share")).orderBy(F.col("share").desc(), F.col(label))
+
+
 def _injury_dated(incidents: DataFrame) -> DataFrame:
     return incidents if "injuryDate" in incidents.columns else incidents.withColumnRenamed("date", "injuryDate")
 
@@ -229,24 +263,54 @@ def pre_incident_events(incidents: DataFrame, activity: DataFrame, days: int = 7
     return pre_incident(play_events(activity), sev, "playerNameFormatted", "gameDate", "injuryDate", days)
 
 
-def season_vs_window(incidents: DataFrame, activity: DataFrame, days: int = 7) -> DataFrame:
-    """Season-long play mix of severe-incident players vs their pre-incident mix, with delta."""
+def season_mixes(incidents: DataFrame, activity: DataFrame, days: int = 7) -> DataFrame:
+    """Season-long and pre-incident play counts and shares of severe-incident players (``window_mixes``)."""
     sev = severe_incidents(_injury_dated(incidents)).select("playerNameFormatted", "injuryDate")
     ev = play_events(activity).select("playerNameFormatted", "gameDate", "play_type")
-    return window_vs_overall(sev, ev, "playerNameFormatted", "injuryDate", "gameDate", "play_type", days,
-                             labels=PLAY_TYPE_WINDOW.labels)
+    return window_mixes(sev, ev, "playerNameFormatted", "injuryDate", "gameDate", "play_type", days,
+                        PLAY_TYPE_WINDOW.labels)
+
+
+def season_vs_window(incidents: DataFrame, activity: DataFrame, days: int = 7) -> DataFrame:
+    """Season-long play mix of severe-incident players vs their pre-incident mix, with delta."""
+    return mixes_delta(season_mixes(incidents, activity, days), "play_type")
 
 
 # --------------------------------------------------------------------------- J7
-def yearly_report(incidents: DataFrame, activity: DataFrame, year: int = 2018, k: int = 10) -> dict[str, DataFrame]:
-    """Severity / region report for one year and league vs severe-group play mix."""
-    inc = incidents.withColumn("Year", to_number_or_null("Year"))
-    inc = in_year(inc, year)
-    if dict(inc.dtypes).get("Date") == "string":
-        inc = inc.withColumn("Date", parse_date("Date"))
+def year_incidents(incidents: DataFrame, year: int = 2018) -> DataFrame:
+    """The year's incidents with their severity (from the notes) and region. Absent text columns count as empty."""
+    inc = ensure_columns(incidents, ["Injury_Type", "Notes"])
+    inc = in_year(inc.withColumn("Year", to_number_or_null("Year")), year)
+    if "Date" in inc.columns and not isinstance(inc.schema["Date"].dataType, T.DateType):
+        inc = inc.withColumn("Date", parse_date("Date", INCIDENT_DATE_FORMATS))
     inc = inc.withColumn("severity", classify(F.lower("Notes"), SEVERITY))
-    inc = inc.withColumn("region", classify(text_of("Injury_Type", "Notes"), REGION_REPORT))
-    severe = inc.filter(has_label(F.lower("Notes"), SEVERITY, "HIGH"))
+    return inc.withColumn("region", classify(text_of("Injury_Type", "Notes"), REGION_REPORT))
+
+
+def report_mixes(incidents: DataFrame, activity: DataFrame, year: int = 2018) -> DataFrame:
+    """play_type, n_league, share_league, n_group, share_group: the play mix of everyone, and of players whose
+    last name is that of a player with a severe incident, in one pass over activity.
+
+    Activity is counted per (player, play type); the distinct last names are joined to those counts
+    as a flag, and one aggregate row holds both mixes.
+    """
+    require_columns(activity, ["playerName"])
+    severe = year_incidents(incidents, year).filter(F.col("severity") == "HIGH")
+    act = ensure_columns(activity, ["description", "actionType", "subType"])
+    ev = (act.filter(F.col("playerName").isNotNull())
+             .withColumn("play_type", classify(text_of("description", "actionType", "subType"), PLAY_TYPE_REPORT)))
+    per_player = ev.groupBy("playerName", "play_type").agg(F.count(F.lit(1)).alias("_n"))
+    names = last_names(severe, "Player_Name").select(F.col("_last").alias("playerName"), F.lit(True).alias("_severe"))
+    return closed_label_mixes(per_player.join(names, "playerName", "left"), "play_type", PLAY_TYPE_REPORT.labels,
+                              {"league": F.col("_n"), "group": F.when(F.col("_severe"), F.col("_n"))})
+
+
+def yearly_report(incidents: DataFrame, activity: DataFrame, year: int = 2018, k: int = 10,
+                  mixes: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Severity / region report for one year and league vs severe-group play mix. ``mixes``: the kept result
+    of ``report_mixes``; without it each of the three mix tables reads the activity when it is used."""
+    inc = year_incidents(incidents, year)
+    severe = inc.filter(F.col("severity") == "HIGH")
     out = {
         "severity": freq(inc, "severity", dropna=False),
         "top_regions": freq(inc, "region", limit=k),
@@ -255,33 +319,26 @@ def yearly_report(incidents: DataFrame, activity: DataFrame, year: int = 2018, k
     }
     if "Team" in severe.columns:
         out["severe_by_team"] = freq(severe, "Team", limit=k)
-    require_columns(activity, ["playerName"])
-    ev = (activity.filter(F.col("playerName").isNotNull())
-                  .withColumn("play_type",
-                              classify(text_of("description", "actionType", "subType"), PLAY_TYPE_REPORT)))
-    # One pre-aggregate per (player, play type) feeds both mixes (exchange reused);
-    # play types are a closed label set, so each mix is one global aggregate.
-    per_player = ev.groupBy("playerName", "play_type").agg(F.count(F.lit(1)).alias("_n"))
-    by_share = [F.col("share").desc(), F.col("play_type")]
-    labels = PLAY_TYPE_REPORT.labels
-    league = closed_label_shares(per_player, "play_type", labels, weight="_n").orderBy(*by_share)
-    group = closed_label_shares(last_name_semi(per_player, "playerName", severe, "Player_Name"),
-                                "play_type", labels, weight="_n").orderBy(*by_share)
-    out["league"] = league
-    out["severe_group"] = group
-    out["league_vs_group"] = compare_profiles(league, group, "play_type", "share", "League", "Severe_Group")
+    mixes = report_mixes(incidents, activity, year) if mixes is None else mixes
+    out["league"] = mixes_profile(mixes, "play_type", "league").drop("pct")
+    out["severe_group"] = mixes_profile(mixes, "play_type", "group").drop("pct")
+    out["league_vs_group"] = (mixes.filter("n_league > 0")
+                              .select("play_type", F.col("share_league").alias("League"),
+                                      F.col("share_group").alias("Severe_Group"))
+                              .orderBy(F.col("League").desc(), "play_type"))
     return out
 
 
 # --------------------------------------------------------------------------- runners
 def window_analysis_job(spark: SparkSession, incidents_path: str, activity_path: str, out_prefix: str,
                         days: int = 7) -> None:
-    """J5 + J6 over the Parquet outputs of the analysis-ready job."""
+    """J5 + J6 over the Parquet outputs of the analysis-ready job, from one pass over activity."""
     inc = read_parquet(spark, incidents_path)
     act = read_parquet(spark, activity_path)
     base = out_prefix.rstrip("/")
-    write_parquet(pre_incident_profile(inc, act, days), f"{base}/pre_incident_profile")
-    write_parquet(season_vs_window(inc, act, days), f"{base}/season_vs_window")
+    with staged(season_mixes(inc, act, days), "window_mixes") as mixes:  # a row per play type
+        write_parquet(mixes_profile(mixes, "play_type"), f"{base}/pre_incident_profile")
+        write_parquet(mixes_delta(mixes, "play_type"), f"{base}/season_vs_window")
 
 
 def report_job(spark: SparkSession, clean_path: str, raw_path: str, activity_path: str,
@@ -289,13 +346,15 @@ def report_job(spark: SparkSession, clean_path: str, raw_path: str, activity_pat
     """Every report table written as Parquet under ``out_prefix``.
 
     The incidents (cleaned file, else the raw file cleaned on the fly) feed
-    five tables, so they are staged once in the shared checkpoint folder.
+    five tables, so they are staged once in the shared checkpoint folder; activity is read once,
+    for the staged play mixes (a row per play type).
     """
     act = require_columns(read_csv(spark, activity_path), ["playerName"])
     base = out_prefix.rstrip("/")
     out = {}
     with staged(read_clean_or_raw(spark, clean_path, raw_path), "report_incidents") as inc:
-        for name, df in yearly_report(inc, act, year).items():
-            out[name] = f"{base}/{name}"
-            write_parquet(df, out[name])
+        with staged(report_mixes(inc, act, year), "report_mixes") as mixes:
+            for name, df in yearly_report(inc, act, year, mixes=mixes).items():
+                out[name] = f"{base}/{name}"
+                write_parquet(df, out[name])
     return out

@@ -15,9 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import spread
-
-# Incident note phrases (NULL included), picked by o_orderkey % 15 + 1.
+# Incident note phrases (NULL included), picked by o_orderkey % 31 + 1. Every label
+# of the incident rule tables occurs.
 NOTE_PHRASES = (
     "torn ACL in right knee",
     "partial tear of left hamstring",
@@ -34,6 +33,22 @@ NOTE_PHRASES = (
     "left foot",
     "rest",
     None,
+    "stiff neck",
+    "sore elbow",
+    "right wrist sprain",
+    "bruised chest",
+    "hip pointer",
+    "quad contusion",
+    "tight calf",
+    "separated shoulder",
+    "surgery on thumb",
+    "inflammation in toe",
+    "achilles rupture",
+    "bruise on forearm",
+    "rotator cuff repair",
+    "skull fracture",
+    "groin strain",
+    "sternum bruise",
 )
 # Injury type texts, picked by o_orderkey % 7 + 1.
 TYPE_PHRASES = (None, "Fracture", None, "Grade 2", None, "Strain", None)
@@ -71,13 +86,8 @@ def _pick(values, index: Column) -> Column:
     return F.element_at(_arr(values), (index % len(values) + 1).cast("int"))
 
 
-# Tables that carry the per-row work; the small dimension tables are broadcast as read.
-_SPREAD = {"orders", "lineitem", "events", "documents"}
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows and name in _SPREAD else df
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,8 +152,7 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Play-by-play shape, one row per line item."""
     l = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
                                                  "l_quantity", "l_returnflag", "l_shipdate")
-    # orders is the build side of this join here, so it is read as is
-    o = _table(spark, sf_dir, "orders", spread_rows=False).select("o_orderkey", "o_custkey")
+    o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     j = l.join(o, l.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
     idx = F.col("l_orderkey") * 7 + F.col("l_linenumber")

@@ -1,13 +1,89 @@
 """SQL (DuckDB dialect) building blocks for the oracle twins of the registered queries.
 
-Only rule tables and phrase tables are shared with the Spark side (they are
-data); every operator is re-stated in SQL independently.
+Only phrase tables are shared with the Spark side; every operator, the rule tables
+included, is re-stated in SQL independently.
 """
 
 from __future__ import annotations
 
 from ..functions.rules import RuleSet
 
+# The rule tables once more, written out by hand from their definition as SQL
+# patterns (label, pattern; then the default label), so that a wrong term on either side shows.
+WORD_RULES = {
+    "severity_etl": ((
+        ("HIGH", r"surgery|repair|fracture|broken|rupture|torn|tear"),
+        ("MEDIUM", r"grade\s*2|grade\s*iii|partial tear|dislocation"),
+        ("LOW", r"sprain|strain|soreness|contusion|bruise|tightness"),
+    ), "UNKNOWN"),
+    "severity": ((
+        ("HIGH", r"surgery|surgical|repair|fracture|broken|rupture|torn|tear"),
+        ("MEDIUM", r"grade\s*2|grade\s*iii|partial tear|dislocation"),
+        ("LOW", r"sprain|strain|soreness|contusion|bruise|tightness"),
+    ), "UNKNOWN"),
+    "region_etl": ((
+        ("HEAD", r"concussion|head|skull"),
+        ("NECK", r"neck|cervical"),
+        ("SHOULDER", r"shoulder|rotator cuff|clavicle"),
+        ("ELBOW", r"elbow|ulna|humerus"),
+        ("WRIST", r"wrist|carpal"),
+        ("HAND", r"hand|thumb|finger|metacarp"),
+        ("CHEST", r"chest|rib|sternum"),
+        ("BACK", r"back|lumbar|spine"),
+        ("HIP", r"hip|pelvis"),
+        ("GROIN", r"groin|adductor"),
+        ("HAMSTRING", r"hamstring"),
+        ("QUAD", r"quad|quadricep"),
+        ("CALF", r"calf|achilles"),
+        ("KNEE", r"knee|acl|mcl|meniscus|patella"),
+        ("ANKLE", r"ankle"),
+        ("FOOT", r"foot|toe|plantar"),
+    ), "OTHER"),
+    "region_report": ((
+        ("HEAD", r"head|concussion|face|eye|nose|ear|jaw|mouth|tooth"),
+        ("NECK", r"neck"),
+        ("SHOULDER", r"shoulder|collarbone|clavicle"),
+        ("ELBOW", r"elbow"),
+        ("WRIST", r"wrist"),
+        ("HAND", r"hand|finger|thumb"),
+        ("CHEST", r"chest|rib|sternum"),
+        ("BACK", r"back|spine|spinal"),
+        ("HIP", r"hip"),
+        ("GROIN", r"groin"),
+        ("HAMSTRING", r"hamstring"),
+        ("QUAD", r"quad|quadricep"),
+        ("CALF", r"calf|achilles"),
+        ("KNEE", r"knee|acl|mcl|meniscus|patella"),
+        ("ANKLE", r"ankle"),
+        ("FOOT", r"foot|toe|plantar"),
+    ), "OTHER"),
+    "category": ((
+        ("CONCUSSION", r"concussion"),
+        ("FRACTURE", r"fracture|broken"),
+        ("SPRAIN_STRAIN", r"sprain|strain"),
+        ("TEAR_RUPTURE", r"tear|torn|rupture"),
+        ("CONTUSION", r"contusion|bruise"),
+    ), "OTHER"),
+}
+SUBSTRING_RULES = {
+    "injury_type": ((
+        ("Fracture", r"fracture"), ("Sprain", r"sprain"), ("Tear", r"tear"), ("Torn", r"torn"),
+        ("Strain", r"strain"), ("Break", r"break"), ("Contusion", r"contusion"), ("Surgery", r"surgery"),
+        ("Dislocation", r"dislocation"), ("Bruise", r"bruise"), ("Soreness", r"soreness"),
+        ("Procedure", r"procedure"), ("Inflammation", r"inflammation"), ("Rupture", r"rupture"),
+    ), "Other"),
+    "play_type_window": ((
+        ("DUNK", r"dunk"), ("LAYUP", r"layup"), ("DRIVE", r"drive"),
+        ("THREE_POINTER", r"3pt|3-pt|three point|3-point"), ("JUMP_SHOT", r"jump shot|jumper|pullup"),
+        ("REBOUND", r"rebound"), ("BLOCK", r"block"), ("FOUL", r"foul"),
+    ), "OTHER"),
+    "play_type_report": ((
+        ("DUNK", r"dunk"), ("LAYUP", r"layup"),
+        ("THREE_POINTER", r"3pt|3-pt|three point|3-point"), ("JUMP_SHOT", r"jump shot|jumper"),
+        ("REBOUND", r"rebound"), ("BLOCK", r"block"), ("FOUL", r"foul"),
+    ), "OTHER"),
+}
+
 # Word characters for a Unicode-aware word boundary (letters, decimal digits,
 # non-spacing marks, underscore). RE2's \b is ASCII-only, so whole-text rules
 # over non-ASCII prose are matched with explicit boundary classes instead.
@@ -15,19 +91,19 @@ _WORD = r"\pL\p{Nd}\p{Mn}_"
 
 
 def sql_classify(text: str, rs: RuleSet, unicode_words: bool = False) -> str:
+    """CASE expression of the rule table of that name (nothing else of ``rs`` is used)."""
+    words = rs.name in WORD_RULES
+    rules, default = WORD_RULES[rs.name] if words else SUBSTRING_RULES[rs.name]
     parts = []
-    for label, terms in rs.rules:
-        if rs.kind == "word":
-            alt = "|".join(terms)
-            if unicode_words:
-                pat = rf"(^|[^{_WORD}])({alt})([^{_WORD}]|$)"
-            else:
-                pat = rf"\b({alt})\b"
-            cond = f"regexp_matches({text}, '{pat}')"
+    for label, alt in rules:
+        if not words:
+            pat = f"({alt})"
+        elif unicode_words:
+            pat = rf"(^|[^{_WORD}])({alt})([^{_WORD}]|$)"
         else:
-            cond = " OR ".join(f"contains({text}, '{t}')" for t in terms)
-        parts.append(f"WHEN {cond} THEN '{label}'")
-    return f"(CASE {' '.join(parts)} ELSE '{rs.default}' END)"
+            pat = rf"\b({alt})\b"
+        parts.append(f"WHEN regexp_matches({text}, '{pat}') THEN '{label}'")
+    return f"(CASE {' '.join(parts)} ELSE '{default}' END)"
 
 
 def sql_text_of(*cols: str) -> str:

@@ -41,19 +41,20 @@ def build_session(master: str | None = None, app: str = "sideline",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """The shared folder named by the cluster in ``spark.checkpoint.dir``, as it is named
+    there (Spark adds a random sub-folder of its own, which no later process finds).
 
-    ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (local tests) is a scratch folder created and registered.
+    Where the setting is absent, a scratch folder is made if the master is local (tests,
+    one machine); on a cluster that would be a path on one machine, so it is an error.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="sideline-ckpt-")
-    sc.setCheckpointDir(conf_dir)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="sideline-ckpt-"))
     return sc.getCheckpointDir()
 
 
@@ -62,44 +63,21 @@ def _stage_path(spark: SparkSession, name: str) -> str:
     return f"{base}/sideline-stage/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back for the
+    duration of a block; the staged table is deleted on exit.
 
     Cuts lineage for inputs that several sinks consume; the written table
     survives executor loss (unlike cached blocks) and later reads prune
-    columns and push filters into the Parquet scan. See ``staged`` for a
-    version that removes the table afterwards.
+    columns and push filters into the Parquet scan.
     """
     spark = df.sparkSession
     path = _stage_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-@contextmanager
-def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
-    """``stage`` for the duration of a block; the staged table is deleted on exit."""
-    spark = df.sparkSession
-    path = _stage_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
     try:
         yield spark.read.parquet(path)
     finally:
         jvm = spark.sparkContext._jvm
         hpath = jvm.org.apache.hadoop.fs.Path(path)
         hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan over at least ``min_partitions`` (default: the cluster's
-    default parallelism) when it arrives in fewer partitions.
-
-    Small inputs stored as one large row group are read by a single task, which
-    leaves every other core idle during CPU-heavy per-row work (text
-    classification, title casing). On large inputs the scan already has many
-    more partitions than cores and this is a no-op (no shuffle is added).
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)

@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None,
-             infer: bool = False) -> DataFrame:
-    """CSV with a header. Without ``schema`` every column is a string unless
-    ``infer=True`` (inference costs an extra full pass over the input)."""
-    r = spark.read.option("header", True)
+             infer: bool = False, multi_line: bool = False) -> DataFrame:
+    """CSV with a header and doubled quotes. Without ``schema`` every column is a string
+    unless ``infer=True`` (inference costs an extra full pass over the input).
+
+    ``multi_line`` reads quoted values that hold line breaks (free-text notes). A file is
+    then one task, so it is meant for incident files; activity files are read without it.
+    """
+    r = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if schema is not None:
         r = r.schema(schema)
     elif infer:
@@ -55,14 +59,15 @@ def require_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def read_clean_or_raw(spark: SparkSession, clean_path: str, raw_path: str,
                       clean: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """The cleaned incidents if they exist, else the raw file run through the minimal clean."""
+    """The cleaned incidents if they exist, else the raw file run through the minimal clean.
+    Notes may hold line breaks."""
     try:
-        return read_csv(spark, clean_path)
+        return read_csv(spark, clean_path, multi_line=True)
     except AnalysisException as e:
         if not _is_missing_path(e):
             raise
     from ..plans.jobs import clean_incidents
-    raw = require_path(spark, raw_path)
+    raw = require_path(spark, raw_path, lambda p: read_csv(spark, p, multi_line=True))
     return (clean or clean_incidents)(raw)
 
 
@@ -75,8 +80,25 @@ def decimals_to_double(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
-# Attribute type tags of a typed item export, and their Spark types.
-ITEM_TYPE_TAGS = {"S": "string", "N": "decimal(38,10)", "BOOL": "boolean"}
+# Attribute type tags of a typed item export (text, number, boolean; then
+# the sets, list, map and binary).
+SCALAR_TAGS = ("S", "N", "BOOL")
+OTHER_TAGS = ("SS", "NS", "BS", "L", "M", "B")
+
+
+def _attribute(ref: Column, kind: T.DataType) -> Column:
+    """One item attribute: a number as DOUBLE straight from its text, a boolean as BOOLEAN,
+    anything else, or a mix of types, as text (sets, lists and maps as JSON)."""
+    fields = {t.name: t.dataType for t in kind.fields} if isinstance(kind, T.StructType) else {}
+    tags = [t for t in (*SCALAR_TAGS, *OTHER_TAGS) if t in fields]
+    if tags == ["N"]:
+        return ref.getField("N").cast("string").try_cast("double")
+    if tags == ["BOOL"]:
+        return ref.getField("BOOL").cast("boolean")
+    if not tags:
+        return F.lit(None).cast("string")
+    plain = lambda t: isinstance(fields[t], T.AtomicType)
+    return F.coalesce(*[ref.getField(t).cast("string") if plain(t) else F.to_json(ref.getField(t)) for t in tags])
 
 
 def read_items(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None) -> DataFrame:
@@ -85,26 +107,15 @@ def read_items(spark: SparkSession, path: str | Sequence[str], schema: T.StructT
     Two layouts are accepted: plain objects per line, or typed items
     ``{"Item": {"attr": {"S": "text"} | {"N": "1.5"} | {"BOOL": true} | {"NULL": true}}}``.
     Columns are the union of attributes over all items; an absent attribute is NULL.
-    Numbers become DOUBLE. The whole export is read (no single-page truncation).
+    Numbers become DOUBLE, sets, lists and maps JSON text. The whole export is read (no
+    single-page truncation).
     """
     r = spark.read.option("primitivesAsString", False)
     if schema is not None:
         r = r.schema(schema)
     df = r.json(path)
     if df.columns == ["Item"] and isinstance(df.schema["Item"].dataType, T.StructType):
-        cols = []
-        for attr in df.schema["Item"].dataType.fields:
-            tags = [t.name for t in attr.dataType.fields] if isinstance(attr.dataType, T.StructType) else []
-            typed = [t for t in tags if t in ITEM_TYPE_TAGS]
-            ref = F.col("Item").getField(attr.name)
-            if typed == ["N"]:
-                val = ref.getField("N").cast("string").try_cast(ITEM_TYPE_TAGS["N"])
-            elif typed == ["BOOL"]:
-                val = ref.getField("BOOL").cast("boolean")
-            elif typed:
-                val = F.coalesce(*[ref.getField(t).cast("string") for t in typed])
-            else:
-                val = F.lit(None).cast("string")
-            cols.append(val.alias(attr.name))
+        item = F.col("Item")
+        cols = [_attribute(item.getField(f.name), f.dataType).alias(f.name) for f in df.schema["Item"].dataType.fields]
         df = df.select(*cols)
     return decimals_to_double(df)

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header row (a folder of part files)."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV with a header row (a folder of part files). Quotes are doubled, as spreadsheets
+    and data-frame libraries write them, and outer blanks of a value are kept; read values
+    that hold line breaks back with ``read_csv(..., multi_line=True)``."""
+    (df.write.mode(mode).option("header", True).option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_parquet(df: DataFrame, path: str, partitions: Sequence[str] | None = None,
@@ -19,16 +22,11 @@ def write_parquet(df: DataFrame, path: str, partitions: Sequence[str] | None = N
     """Parquet, optionally Hive-partitioned by ``partitions`` (NULL values land in
     ``__HIVE_DEFAULT_PARTITION__`` and read back as NULL).
 
-    With ``balance`` a partitioned write is first range-partitioned on the
-    partition columns plus a hash of the row: each task then writes few
-    partition folders (few files), and a partition value holding a third of all
-    rows is still spread over many tasks instead of one.
+    With ``balance`` a partitioned write is first rebalanced on the partition columns:
+    rows of one folder meet in one task (few files), and AQE, which knows the sizes,
+    merges small tasks and splits those of a hot folder into several files.
     """
-    w = df
-    if partitions and balance:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        w = df.repartitionByRange(n, *[F.col(p) for p in partitions],
-                                  F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    w = df.hint("rebalance", *[F.col(p) for p in partitions]) if partitions and balance else df
     writer = w.write.mode(mode)
     if partitions:
         writer = writer.partitionBy(*partitions)

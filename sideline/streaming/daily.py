@@ -1,67 +1,61 @@
-"""The daily analysis-ready run as an incremental Structured Streaming query.
+"""The daily analysis-ready run: new activity files are landed, then J4 is rebuilt.
 
-Activity arrives as new files in a folder. Each run (``trigger(availableNow=True)``,
-started by any scheduler once a day) processes exactly the files not yet seen,
-restricts them to players with an incident in the season window (stream-static
-semi join), attaches one game date per game (stream-static left join) and
-appends to Parquet. The file-source offsets and the sink's commit log live in
-the checkpoint folder, so a rerun after a failure neither skips nor repeats
-files.
+Landing is a Structured Streaming query (``trigger(availableNow=True)``, started by any
+scheduler once a day): it appends the files not yet seen to one Parquet table, unfiltered.
+An incident or a game date may arrive days after the activity it belongs to, so what is
+analysis-ready is decided over all landed activity, by the batch job itself: a run's result
+equals J4 over everything that has arrived.
+
+The offsets and the sink's commit log live in a checkpoint folder beside the output, the
+same one in every process, so a rerun after a failure neither skips nor repeats files.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.dates import parse_date
-from ..operators.joins import restrict_to
-from ..operators.stats import dedup_first
-from ..plans.jobs import ACTIVITY_COLUMNS, SEASON_END, SEASON_START, windowed_incidents
-from ..session import ensure_checkpoint_dir
+from ..plans.jobs import ACTIVITY_COLUMNS, SEASON_END, SEASON_START, analysis_ready
+from ..sources.sinks import write_parquet
 
 # Activity file columns read as text.
 ACTIVITY_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ACTIVITY_COLUMNS])
 
 
-def analysis_ready_stream(spark: SparkSession, activity_dir: str, incidents: DataFrame,
-                          game_dates: DataFrame, out_path: str, checkpoint: str | None = None,
-                          start: str = SEASON_START, end: str = SEASON_END,
-                          file_format: str = "csv",
-                          schema: T.StructType = ACTIVITY_SCHEMA,
-                          max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start one incremental run over new files in ``activity_dir``; returns the query.
+def land_activity(spark: SparkSession, activity_dir: str, landed: str, checkpoint: str,
+                  file_format: str = "csv", schema: T.StructType = ACTIVITY_SCHEMA,
+                  max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start one pass that appends the new files of ``activity_dir`` to the ``landed`` table.
 
-    ``incidents`` (item-table shape) and ``game_dates`` are static DataFrames
-    re-read at every micro-batch; ``checkpoint`` defaults to a folder under
-    the cluster's ``spark.checkpoint.dir``. ``max_files_per_trigger`` bounds the
-    size of each micro-batch when a large backlog has arrived (the run still
-    drains everything available, batch by batch).
+    ``max_files_per_trigger`` bounds the size of each micro-batch when a large backlog has
+    arrived (the run still drains everything available, batch by batch).
     """
-    if checkpoint is None:
-        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sideline-stream/analysis_ready"
     reader = spark.readStream.schema(schema)
     if file_format == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("escape", '"')
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.format(file_format).load(activity_dir)
-    inc = windowed_incidents(incidents, start, end)
-    act = restrict_to(stream.select(*ACTIVITY_COLUMNS), "playerNameI", inc, "playerNameFormatted")
-    games = dedup_first(game_dates.select(F.col("GAMEID").alias("gameId"),
-                                          parse_date("gameDate").alias("gameDate")), ["gameId"])
-    final = act.join(games, "gameId", "left")
-    return (final.writeStream.format("parquet")
-                 .option("path", out_path)
-                 .option("checkpointLocation", checkpoint)
-                 .outputMode("append")
-                 .trigger(availableNow=True)
-                 .start())
-
-
-def run_daily(spark: SparkSession, *args, **kwargs) -> None:
-    """Run one incremental pass to completion."""
-    q = analysis_ready_stream(spark, *args, **kwargs)
-    q.awaitTermination()
+    return (stream.writeStream.format("parquet")
+                  .option("path", landed)
+                  .option("checkpointLocation", checkpoint)
+                  .outputMode("append")
+                  .trigger(availableNow=True)
+                  .start())
+
+
+def run_daily(spark: SparkSession, activity_dir: str, incidents: DataFrame, game_dates: DataFrame,
+              out_prefix: str, checkpoint: str | None = None, start: str = SEASON_START,
+              end: str = SEASON_END, **landing) -> DataFrame:
+    """Land what is new, then write ``injuries_windowed`` and ``analysis_ready`` under ``out_prefix``
+    from all landed activity; returns the latter. ``checkpoint`` defaults to a folder under
+    ``out_prefix``; it must stay the same from run to run."""
+    base = out_prefix.rstrip("/")
+    landed = f"{base}/activity"
+    land_activity(spark, activity_dir, landed, checkpoint or f"{base}/_landing", **landing).awaitTermination()
+    activity = spark.read.schema(landing.get("schema", ACTIVITY_SCHEMA)).parquet(landed)
+    windowed, final = analysis_ready(incidents, activity, game_dates, start, end)
+    write_parquet(windowed, f"{base}/injuries_windowed")
+    write_parquet(final, f"{base}/analysis_ready")
+    return spark.read.parquet(f"{base}/analysis_ready")

@@ -15,7 +15,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[*]", app="sideline-tests", shuffle_partitions=8,
-                      extra={"spark.driver.memory": "4g"})
+                      extra={"spark.driver.memory": "4g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="sideline-ckpt-")})
     yield s
     s.stop()
 

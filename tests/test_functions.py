@@ -47,7 +47,16 @@ def test_strip_point_zero_and_squeeze(spark):
 def test_parse_date_formats(spark):
     vals = ["2018-10-01", "10/13/2018", "13/10/2018", "junk", None, "2018-10-01 00:00:00"]
     got = one_col(spark, vals, lambda c: parse_date(c, INCIDENT_DATE_FORMATS))
-    assert got == [dt.date(2018, 10, 1), dt.date(2018, 10, 13), dt.date(2018, 10, 13), None, None, None]
+    assert got == [dt.date(2018, 10, 1), dt.date(2018, 10, 13), dt.date(2018, 10, 13), None, None, dt.date(2018, 10, 1)]
+
+
+def test_parse_date_reads_dates_and_times_whatever_the_formats(spark):
+    df = spark.sql("SELECT DATE'2018-10-02' AS d, TIMESTAMP'2018-10-02 13:14:15.5' AS t, '2018-10-02T01:02:03Z' AS iso, "
+                   "'10/02/2018' AS us, '2018' AS year")
+    for formats in (("yyyy-MM-dd",), ("MM/dd/yyyy",), INCIDENT_DATE_FORMATS):
+        got = df.select(*[parse_date(c, formats).alias(c) for c in df.columns]).first()
+        us = None if formats == ("yyyy-MM-dd",) else dt.date(2018, 10, 2)
+        assert tuple(got) == (*[dt.date(2018, 10, 2)] * 3, us, None)
 
 
 def test_date_key_and_day_of_week(spark):
