@@ -73,9 +73,14 @@ def fingerprint(text: str) -> str:
     return f"{block}:{_signature(raw, rolled, block)}:{_signature(raw, rolled, 2 * block)}"
 
 
-@arrow_udf("string")
-def fingerprint_of(texts: pa.Array) -> pa.Array:
-    return pa.array([None if t.as_py() is None else fingerprint(t.as_py()) for t in texts], pa.string())
+def fingerprint_of(text: Column) -> Column:
+    """The fingerprint of a text column; NULL stays NULL."""
+
+    @arrow_udf("string")
+    def ctph(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t.as_py() is None else fingerprint(t.as_py()) for t in texts], pa.string())
+
+    return ctph(text)
 
 
 def likeness(a: Column, b: Column) -> Column:
