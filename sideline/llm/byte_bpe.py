@@ -29,7 +29,7 @@ from pyspark.sql.functions import arrow_udf
 from .common import text_of
 
 #: Words a worker remembers; when full, the memo starts anew.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 #: Longer words are merged with a heap instead of by scanning.
 LONG_WORD = 64
 NO_RANK = 1 << 62
@@ -106,47 +106,30 @@ class Memo(dict):
         return ids
 
 
-_tools: dict[tuple, tuple] = {}  # of this worker: the splitter and memo of the vocabulary in use
+_tools: dict[tuple, tuple] = {}  # of this task: splitter, memo and pieces of the vocabulary in use
 
 
 def _tools_of(ranks: dict[bytes, int], pattern: str) -> tuple:
     key = (id(ranks), pattern)  # the memo holds on to ranks, so the id stays its own
     if key not in _tools:
         _tools.clear()
-        _tools[key] = (regex.compile(pattern).findall, Memo(ranks))
+        _tools[key] = (regex.compile(pattern).findall, Memo(ranks), {i: piece for piece, i in ranks.items()})
     return _tools[key]
 
 
-def encoder(df: DataFrame, ranks: dict[bytes, int], pattern: str):
-    """A function of a text column that gives ids (array of int); NULL texts give no ids."""
-    shared = df.sparkSession.sparkContext.broadcast(ranks)
+def _encoded(texts: pa.Array, ranks: dict[bytes, int], pattern: str) -> pa.ListArray:
+    split, memo, _ = _tools_of(ranks, pattern)
+    offsets, values = [0], [np.zeros(0, "int32")]
+    for t in texts:
+        values.append(np.fromiter(chain.from_iterable(map(memo.__getitem__, split(t.as_py() or ""))), "int32"))
+        offsets.append(offsets[-1] + len(values[-1]))
+    return pa.ListArray.from_arrays(pa.array(offsets, "int32"), pa.array(np.concatenate(values)))
 
-    @arrow_udf("array<int>")
-    def encode(texts: pa.Array) -> pa.Array:
-        split, memo = _tools_of(shared.value, pattern)
-        offsets, values = [0], []
-        for t in texts:
-            words = split(t.as_py() or "")
-            ids = np.fromiter(chain.from_iterable(map(memo.__getitem__, words)), "int32")
-            values.append(ids)
-            offsets.append(offsets[-1] + len(ids))
-        return pa.ListArray.from_arrays(pa.array(offsets, "int32"), pa.array(np.concatenate(values) if values else np.zeros(0, "int32")))
-
-    return encode
-
-
-def decoder(df: DataFrame, ranks: dict[bytes, int]):
-    """A function of a column of ids that gives their bytes, concatenated. An unknown id is an error."""
-    shared = df.sparkSession.sparkContext.broadcast({i: piece for piece, i in ranks.items()})
 
-    @arrow_udf("binary")
-    def decode(ids: pa.Array) -> pa.Array:
-        piece = shared.value.__getitem__
-        flat, ends = ids.values.to_numpy(zero_copy_only=False).tolist(), ids.offsets.to_pylist()
-        pieces = [b"".join(map(piece, flat[a:b])) for a, b in zip(ends, ends[1:], strict=False)]
-        return pa.array([p if ok else None for p, ok in zip(pieces, ids.is_valid().to_pylist(), strict=True)], pa.binary())
-
-    return decode
+def _decoded(ids: pa.ListArray, pieces: dict[int, bytes]) -> pa.Array:
+    flat, ends, piece = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy(), pieces.__getitem__
+    return pa.array([b"".join(map(piece, flat[ends[i]:ends[i + 1]].tolist())) if ok.as_py() else None
+                     for i, ok in enumerate(ids.is_valid())], pa.binary())
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
@@ -155,14 +138,40 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     NULL and empty texts have no ids; repeated rows repeat; an empty table gives no rows; a word of any length
     is encoded whole. No special tokens. Other columns of ``docs`` are not read.
     """
-    return docs.select("doc_id", encoder(docs, ranks, pattern)(text_of()).alias("ids"))
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+
+    @arrow_udf("array<int>")
+    def encoded(texts: pa.Array) -> pa.Array:
+        return _encoded(texts, shared.value, pattern)
+
+    return docs.select("doc_id", encoded(text_of()).alias("ids"))
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """``encoded`` with ``decoded`` (binary): the bytes of its ids. NULL ids decode to NULL."""
-    # the condition keeps Spark from chaining this function to the one that made the ids, which it would then run twice
-    ids = F.when(F.col("ids").isNotNull(), F.col("ids"))
-    return encoded.withColumn("decoded", decoder(encoded, ranks)(ids))
+    """``encoded`` with ``decoded`` (binary): the bytes of its ids, concatenated. NULL ids decode to NULL; an
+    unknown id is an error."""
+    shared = encoded.sparkSession.sparkContext.broadcast({i: piece for piece, i in ranks.items()})
+
+    @arrow_udf("binary")
+    def decoded(ids: pa.Array) -> pa.Array:
+        return _decoded(ids, shared.value)
+
+    return encoded.withColumn("decoded", decoded("ids"))
+
+
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """doc_id, ids, decoded: ``decode`` of ``encode`` in one worker per task. Apart, they take two workers, and
+    chained by Spark the encoder runs twice."""
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+
+    @arrow_udf("struct<ids array<int>, decoded binary>")
+    def both(texts: pa.Array) -> pa.Array:
+        ranks = shared.value
+        ids = _encoded(texts, ranks, pattern)
+        return pa.StructArray.from_arrays([ids, _decoded(ids, _tools_of(ranks, pattern)[2])], ["ids", "decoded"])
+
+    both_of = docs.select("doc_id", both(text_of()).alias("b"))
+    return both_of.select("doc_id", "b.ids", "b.decoded")
 
 
 def fold_words(word: Column, ranks: dict[bytes, int], buckets: int = 1 << 14) -> Column:

@@ -16,8 +16,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 def bpe_digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of what they decode to."""
     ranks = byte_bpe.read_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
-    encoded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return byte_bpe.decode(encoded, ranks).select(
+    return byte_bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

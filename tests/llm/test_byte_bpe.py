@@ -29,12 +29,12 @@ def some_texts():
 def test_ids_equal_the_oracle_and_decode_to_the_text(spark, oracle):
     texts = some_texts()
     docs = table(spark, [(k, t, "a") for k, t in enumerate(texts)])
-    got = B.decode(B.encode(docs, RANKS, PATTERN), RANKS).collect()
-    assert len(got) == len(texts)
-    for r in got:
-        t = texts[r.doc_id] or ""
-        assert r.ids == oracle.encode_ordinary(t)
-        assert bytes(r.decoded) == t.encode()
+    for got in (B.decode(B.encode(docs, RANKS, PATTERN), RANKS).collect(), B.round_trip(docs, RANKS, PATTERN).collect()):
+        assert len(got) == len(texts)
+        for r in got:
+            t = texts[r.doc_id] or ""
+            assert r.ids == oracle.encode_ordinary(t)
+            assert bytes(r.decoded) == t.encode()
 
 
 def test_long_words_fold_alike(oracle):
