@@ -26,7 +26,7 @@ KINDS = ("email", "ip", "card", "phone", "term")
 THRESHOLD = 0.9
 REMOVE = 0.999
 MIN_DOCS = 2
-#: Code points on each side of an entity in which words count as near it.
+#: Code points on each side of an entity in which words count as near it, as far as the next entity.
 NEAR = 40
 
 _E = "[A-Za-z0-9._%+-]"
@@ -49,21 +49,29 @@ def _found(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def _placed(text: Column, pattern: str, found: Column) -> Column:
-    """start, end and value of each match, from the lengths of the matches and of the pieces between them."""
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+def _placed(text: Column, pattern: str, found: Column, near: int = 0) -> Column:
+    """start, end and value of each match, from the lengths of the matches and of the pieces between them; with
+    ``near``, also up to ``near + 1`` code points of the pieces before and after it."""
+    fields = {"start": F.lit(0), "end": F.lit(0), "value": F.lit("")} | ({"before": F.lit(""), "after": F.lit("")} if near else {})
+    none = F.slice(F.array(F.struct(*[v.alias(k) for k, v in fields.items()])), 1, 0)
     zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["gap"])
         end = start + F.length(x["value"])
-        one = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.when(x["value"].isNull(), acc).otherwise(
-            F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out")))
+        made = {"start": start, "end": end, "value": x["value"]}
+        if near:
+            made |= {"before": F.right(x["gap"], F.lit(near + 1)), "after": F.left(x["next"], F.lit(near + 1))}
+        return F.when(x["value"].isNull(), acc).otherwise(F.struct(
+            end.alias("at"), F.concat(acc["out"], F.array(F.struct(*[v.alias(k) for k, v in made.items()]))).alias("out")))
 
-    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("value"))
-    zipped = F.transform(zipped, lambda x: F.struct(x["gap"].alias("gap"), x["value"].alias("value")))
-    return F.when(F.size(found) == 0, none).otherwise(F.aggregate(zipped, zero, step, lambda acc: acc["out"]))
+    def all_placed(gaps: Column) -> Column:
+        zipped = F.arrays_zip(gaps.alias("gap"), found.alias("value"), F.slice(gaps, 2, F.size(found)).alias("next"))
+        return F.aggregate(zipped, zero, step, lambda acc: acc["out"])
+
+    # the outer transform makes the pieces once
+    placed = F.transform(F.array(F.split(text, pattern, -1)), all_placed)[0]
+    return F.when(F.size(found) == 0, none).otherwise(placed)
 
 
 def _digits(value: Column) -> Column:
@@ -97,37 +105,40 @@ def spans_of(docs: DataFrame, near: int = NEAR) -> DataFrame:
     window) near them: one row per row."""
     d = docs.select("doc_id", text_of().alias("t"))
     d = d.withColumns({f"m_{k}": _found(F.col("t"), PATTERNS[k]) for k in PATTERNS})
-    d = d.withColumns({f"p_{k}": _placed(F.col("t"), PATTERNS[k], F.col(f"m_{k}")) for k in PATTERNS})
+    d = d.withColumns({f"p_{k}": _placed(F.col("t"), PATTERNS[k], F.col(f"m_{k}"), near) for k in PATTERNS})
 
     def entities(kind: str, number: int) -> Column:
         held = F.filter(f"p_{kind}", lambda x: _holds(kind, x["value"]))
-        return F.transform(held, lambda x: F.struct(x["start"].alias("start"), F.lit(number).alias("kind"), x["end"].alias("end"),
-                                                    _entity(kind, x["value"]).alias("entity")))
-
-    base = F.array_sort(F.concat(*[entities(k, i) for i, k in enumerate(PATTERNS)]))
-    d = d.select("doc_id", F.xxhash64("t").alias("tie"), "t", base.alias("base"))
-
-    # the text from `near` before to `near` after an entity; words cut at either edge are left out
-    def window(e: Column) -> Column:
-        start = F.greatest(e["start"] - near - 1, F.lit(0))
-        text = F.substring(F.col("t"), start + 1, e["end"] + near + 1 - start)
-        whole = F.concat(F.when(start > 0, F.regexp_replace(text, f"^{WORD}", "")).otherwise(text))
-        cut_left = F.length(text) - F.length(whole)
-        open_right = e["end"] + near + 1 < F.length("t")
-        whole = F.when(open_right, F.regexp_replace(whole, f"{WORD}$", "")).otherwise(whole)
-        return F.struct(e["entity"].alias("entity"), (start + cut_left).alias("at"), whole.alias("text"),
-                        F.xxhash64(whole).alias("window"))
-
-    def words(w: Column) -> Column:
-        placed = _placed(w["text"], WORD, _found(w["text"], WORD))
-        return F.transform(placed, lambda x: F.struct(w["entity"].alias("entity"), F.lower(x["value"]).alias("term"),
-                                                      (w["at"] + x["start"]).alias("start"), (w["at"] + x["end"]).alias("end"),
-                                                      w["window"].alias("window")))
-
-    near_words = F.flatten(F.transform(F.transform("base", window), words))
-    d = d.withColumn("words", F.when(F.size("base") > 0, near_words))
-    outside = F.filter("words", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
-    return d.select("doc_id", "tie", "base", outside.alias("words"))
+        return F.transform(held, lambda x: F.struct(
+            x["start"].alias("start"), F.lit(number).alias("kind"), x["end"].alias("end"),
+            _entity(kind, x["value"]).alias("entity"), x["before"].alias("before"), x["after"].alias("after")))
+
+    full = F.array_sort(F.concat(*[entities(k, i) for i, k in enumerate(PATTERNS)]))
+    d = d.select("doc_id", F.xxhash64("t").alias("tie"), full.alias("full"))
+
+    # the text on both sides up to the next entity; a word cut off at the far edge is left out
+    def sides(e: Column, i: Column) -> Column:
+        room = F.when(i > 0, e["start"] - F.try_element_at("full", i)["end"]).otherwise(near + 2)
+        left = F.when(room > near, F.when(F.length(e["before"]) > near, F.regexp_replace(e["before"], f"^{WORD}", ""))
+                      .otherwise(e["before"])).otherwise(F.right(e["before"], F.greatest(room, F.lit(0))))
+        free = F.coalesce(F.try_element_at("full", i + 2)["start"] - e["end"], F.lit(near + 2))
+        right = F.when(free > near, F.when(F.length(e["after"]) > near, F.regexp_replace(e["after"], f"{WORD}$", ""))
+                       .otherwise(e["after"])).otherwise(F.left(e["after"], F.greatest(free, F.lit(0))))
+        return F.struct(e["entity"].alias("entity"), e["start"].alias("start"), e["end"].alias("end"),
+                        left.alias("left"), right.alias("right"), F.xxhash64(left, right).alias("window"))
+
+    def words(e: Column) -> Column:
+        def of(text: Column, at: Column) -> Column:
+            return F.transform(_placed(text, WORD, _found(text, WORD)), lambda x: F.struct(
+                e["entity"].alias("entity"), F.lower(x["value"]).alias("term"), (at + x["start"]).alias("start"),
+                (at + x["end"]).alias("end"), e["window"].alias("window")))
+
+        return F.concat(of(e["left"], e["start"] - F.length(e["left"])), of(e["right"], e["end"]))
+
+    near_words = F.flatten(F.transform(F.transform("full", sides), words))
+    base = F.transform("full", lambda e: F.struct(e["start"].alias("start"), e["kind"].alias("kind"), e["end"].alias("end"),
+                                                  e["entity"].alias("entity")))
+    return d.select("doc_id", "tie", base.alias("base"), F.when(F.size("full") > 0, near_words).alias("words"))
 
 
 def word_documents(docs: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def test_edits_change_few_chunks():
     assert slow_likeness(C.fingerprint(" ".join(words)), C.fingerprint(" ".join(near))) > 0.9
     assert slow_likeness(C.fingerprint(" ".join(words)), C.fingerprint(prose(rng, 600))) < 0.4
     assert C.fingerprint("") == "3::"
-    assert len(C.fingerprint("ab" * 5000).split(":")[1]) >= 16
+    assert len(C.fingerprint("ab" * 5000).split(":")[1]) >= 10
 
 
 @pytest.mark.parametrize("range_docs", [2000, 7, 1])
