@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import text_of
+from .common import small_batches, text_of
 
 #: Words a worker remembers; when full, the memo starts anew.
 MEMO_WORDS = 200_000
@@ -138,6 +138,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     NULL and empty texts have no ids; repeated rows repeat; an empty table gives no rows; a word of any length
     is encoded whole. No special tokens. Other columns of ``docs`` are not read.
     """
+    small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     @arrow_udf("array<int>")
@@ -150,6 +151,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``encoded`` with ``decoded`` (binary): the bytes of its ids, concatenated. NULL ids decode to NULL; an
     unknown id is an error."""
+    small_batches(encoded)
     shared = encoded.sparkSession.sparkContext.broadcast({i: piece for piece, i in ranks.items()})
 
     @arrow_udf("binary")
@@ -162,6 +164,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """doc_id, ids, decoded: ``decode`` of ``encode`` in one worker per task. Apart, they take two workers, and
     chained by Spark the encoder runs twice."""
+    small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     @arrow_udf("struct<ids array<int>, decoded binary>")

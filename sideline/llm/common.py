@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of a batch of rows sent to a Python worker (one row at least).
+BATCH_BYTES = 8 << 20
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -54,6 +57,14 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> None:
+    """Bound what travels to Python workers at a time: Arrow batches of BATCH_BYTES instead of 64 MB, each of which
+    the JVM and the worker hold several times over. A session setting; it changes no result."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(df.sparkSession.conf.get(key).rstrip("b")) > BATCH_BYTES:
+        df.sparkSession.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import cut, table, text_of
+from .common import small_batches, table, text_of
 
 WINDOW = 7
 MIN_BLOCK = 3
@@ -130,6 +130,7 @@ def neighbours(docs: DataFrame, columns: dict[str, Column], range_docs: int = RA
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint: one row per row. NULL texts are empty; equal texts have equal fingerprints."""
+    small_batches(docs)
     return docs.select("doc_id", fingerprint_of(text_of()).alias("fingerprint"))
 
 
@@ -139,6 +140,7 @@ def against_edits(docs: DataFrame) -> DataFrame:
     ``edited`` is the text with its last n_chars // 4 code points replaced by the first as many (or all) of the
     next document's text. NULL texts are empty; an empty table gives no rows; other columns are not read.
     """
+    small_batches(docs)
     t = text_of()
     pairs = neighbours(docs, {"t": t, "fp": fingerprint_of(t)})
     n = F.length("t")

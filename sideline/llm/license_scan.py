@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import text_of
+from .common import small_batches, text_of
 
 #: Fixed values of the contract: phrase and label.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -182,6 +182,7 @@ def scan(docs: DataFrame, base=BASE, templates=TEMPLATES) -> DataFrame:
     Every accepted place is listed, in the order of its start. NULL and empty texts have no words; repeated rows
     repeat; an empty table gives no rows; other columns are not read.
     """
+    small_batches(docs)
     kind = pa.struct([("n_words", pa.int64()), ("places", pa.list_(pa.struct(
         [("label", pa.string()), ("base", pa.bool_()), ("start", pa.int64()), ("end", pa.int64())])))])
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import cut, free_name, table, text_of
+from .common import cut, free_name, small_batches, table, text_of
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -57,6 +57,7 @@ def fingerprint(text: str, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS):
     """A function of a text column that gives its fingerprint (bigint)."""
+    small_batches(docs)
 
     @arrow_udf("bigint")
     def simhash(texts: pa.Array) -> pa.Array:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import text_of
+from .common import small_batches, text_of
 
 RULES = ("start", "end", "most")
 
@@ -88,6 +88,7 @@ def section_counts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, rule:
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
+    small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     @arrow_udf("struct<bounds array<bigint>, tokens array<bigint>, crossing array<bigint>, total bigint>")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import text_of
+from .common import small_batches, text_of
 
 #: Bounds of the training sample.
 MAX_TOXIC = 4000
@@ -92,6 +92,7 @@ def sample(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_c
     order = F.xxhash64("doc_id")
     drawn = known.where("toxic = 1").orderBy(order, "doc_id").limit(max_toxic).unionByName(
         known.where("toxic = 0").orderBy(order, "doc_id").limit(max_clean))
+    small_batches(docs)
     # at most max_toxic + max_clean ids: a fixed bound, so the sample may be broadcast
     rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
 
@@ -173,6 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_cl
 
 def scorer(df: DataFrame, model: Model):
     """A function of a text column that gives its score; NULL texts are empty."""
+    small_batches(df)
     shared = df.sparkSession.sparkContext.broadcast((model.weights, model.intercept))  # of fixed size
 
     @arrow_udf("double")
