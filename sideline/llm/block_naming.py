@@ -100,10 +100,12 @@ def exact_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS, bucket_bits: i
     table gives no rows.
     """
     ident = identities(docs, block_chars, bucket_bits)
-    groups = ident.groupBy("n_blocks", "name").agg(F.max("doc_id").alias("keep_id"),
-                                                   F.sum("n_rows").alias("group_size"))
-    return (ident.join(groups, ["n_blocks", "name"])
-            .select("doc_id", "keep_id", "group_size", "text_sha256",
+    groups = ident.groupBy("n_blocks", "name").agg(F.max("doc_id").alias("keep_id"), F.sum("n_rows").alias("group_size"),
+                                                   F.count(F.lit(1)).alias("members"))
+    shared = table(groups.where("members > 1").drop("members"), "groups")  # written, so both sides of the join can be split
+    return (ident.join(shared, ["n_blocks", "name"], "left")
+            .select("doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+                    F.coalesce("group_size", "n_rows").alias("group_size"), "text_sha256",
                     F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_rows"))).alias("nth"))
             .select("doc_id", "keep_id", "group_size",
                     (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"), "text_sha256"))
