@@ -30,6 +30,9 @@ HEADLINE = [
     "analysis_ready",          # J4
     "league_vs_group",         # J7 comparison
     "document_labels",         # rule classifiers over whole documents
+    "star_job_fact",           # J3 as a job: CSV in, five tables written, the fact read back
+    "parquet_partition_roundtrip",  # A9 rebalanced partitioned write
+    "analysis_ready_incremental",   # daily run, two days: landing and J4 rebuild
 ]
 
 

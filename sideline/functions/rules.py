@@ -55,34 +55,26 @@ def classify(text: ColumnOrName, rs: RuleSet) -> Column:
     t = _c(text)
     expr = None
     for label, terms in rs.rules:
-        if rs.kind == "word":
-            cond = t.rlike(rs.pattern(terms))
-            probes = [literal_probe(term) for term in terms]
-            if all(probes):
-                guard = None
-                for p in dict.fromkeys(probes):
-                    g = t.contains(p)
-                    guard = g if guard is None else (guard | g)
-                cond = guard & cond
-        elif rs.kind == "contains":
-            cond = None
-            for term in terms:
-                c = t.contains(term)
-                cond = c if cond is None else (cond | c)
-        else:
-            raise ValueError(f"unknown rule kind {rs.kind!r}")
+        cond = _rule_condition(t, rs, terms)
         expr = F.when(cond, label) if expr is None else expr.when(cond, label)
     return expr.otherwise(rs.default) if expr is not None else F.lit(rs.default)
 
 
+def _any(conditions: Sequence[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out | c
+    return out
+
+
 def _rule_condition(t: Column, rs: RuleSet, terms: Sequence[str]) -> Column:
     if rs.kind == "contains":
-        cond = None
-        for term in terms:
-            c = t.contains(term)
-            cond = c if cond is None else (cond | c)
-        return cond
-    return t.rlike(rs.pattern(terms))
+        return _any([t.contains(term) for term in terms])
+    if rs.kind != "word":
+        raise ValueError(f"unknown rule kind {rs.kind!r}")
+    matched = t.rlike(rs.pattern(terms))
+    probes = [literal_probe(term) for term in terms]
+    return _any([t.contains(p) for p in dict.fromkeys(probes)]) & matched if all(probes) else matched
 
 
 def has_label(text: ColumnOrName, rs: RuleSet, label: str) -> Column:
@@ -92,7 +84,9 @@ def has_label(text: ColumnOrName, rs: RuleSet, label: str) -> Column:
     expression inlined into every rule condition, and filter code generation
     does not share common subexpressions. Here the text is bound once to a
     lambda variable (one evaluation per row) and only the rules up to
-    ``label`` are tested: "this rule matches and no earlier rule does".
+    ``label`` are tested, behind the same substring guards: "this rule matches and
+    no earlier rule does". A lambda is outside whole-stage codegen; the README has the
+    times of both forms.
     """
     labels = [lab for lab, _ in rs.rules]
     if label != rs.default and label not in labels:
