@@ -29,9 +29,11 @@ MAX_TOXIC = 4000
 MAX_CLEAN = 6000
 #: Features are hashed into this many places.
 PLACES = 1 << 20
-PREFIXES = (4, 5)
-MIN_DOCS = 4
+PREFIXES = (3, 4, 5, 6)
+MIN_DOCS = 3
 MIN_Z = 2.5
+#: Part of the corpus's log odds that is added to the intercept (the fit gives both classes the same weight).
+PRIOR_SHARE = 0.25
 MEMO_WORDS = 300_000
 
 #: Identity terms by kind; a term is swapped for the next one of its kind.
@@ -124,7 +126,7 @@ class _Rows:
         return np.bincount(self.at, weights=g[self.row], minlength=self.width)
 
 
-def fit(sampled: pa.Table, counts: dict[int, int], steps: int = 150, l2: float = 2e-4, swap_weight: float = 1.0) -> Model:
+def fit(sampled: pa.Table, counts: dict[int, int], steps: int = 150, l2: float = 1e-4, swap_weight: float = 1.0) -> Model:
     """The model of a sample. Without labelled rows all scores are 0; with one class alone they are its share."""
     sampled = sampled.sort_by([("toxic", "ascending")]) if sampled.num_rows else sampled
     weights = np.zeros(PLACES, "float32")
@@ -165,7 +167,7 @@ def fit(sampled: pa.Table, counts: dict[int, int], steps: int = 150, l2: float =
     weights[chosen] = w
     # the fit gives both classes the same weight; the corpus does not
     prior = np.log(max(counts.get(1, 0), 1) / max(counts.get(0, 0), 1))
-    return Model(weights, float(b + 0.5 * prior))
+    return Model(weights, float(b + PRIOR_SHARE * prior))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Model:
