@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -60,8 +61,10 @@ def table(df: DataFrame, name: str) -> DataFrame:
 def small_batches(df: DataFrame) -> None:
     """Bound what travels to Python workers at a time: Arrow batches of BATCH_BYTES instead of 64 MB, each of which
     the JVM and the worker hold several times over. A session setting; it changes no result."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(df.sparkSession.conf.get(key).rstrip("b")) > BATCH_BYTES:
+    key, units = "spark.sql.execution.arrow.maxBytesPerBatch", {"k": 10, "m": 20, "g": 30}
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]?).*", df.sparkSession.conf.get(key).lower()).groups()
+    now = int(number) << units.get(unit, 0)
+    if now <= 0 or now > BATCH_BYTES:
         df.sparkSession.conf.set(key, f"{BATCH_BYTES}b")
 
 

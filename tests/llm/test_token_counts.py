@@ -62,3 +62,13 @@ def test_rules_differ_where_a_token_crosses():
 
 def test_empty_table(spark):
     assert T.section_counts(table(spark, []), RANKS, PATTERN).count() == 0
+
+
+def test_batches_are_bounded(spark):
+    from sideline.llm.common import BATCH_BYTES, small_batches
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for value, want in (("64m", BATCH_BYTES), ("67108864b", BATCH_BYTES), ("1m", 1 << 20), ("4096k", 4 << 20)):
+        spark.conf.set(key, value)
+        small_batches(spark.range(1))
+        got = spark.conf.get(key)
+        assert got in (value, f"{want}b")
