@@ -179,5 +179,59 @@ WITH d AS (
   FROM p
 )
 SELECT doc_id, size, source_size, target, ((upto // 4294967296 - (upto - part) // 4294967296) * size)::BIGINT AS taken FROM e
+""",
+    # CRC-32 by bits; then the operator's steps: draw, cut, deal, subdivide twice, fill
+    "op8_shard": r"""
+WITH b AS (
+  SELECT DISTINCT coalesce(text, '') AS t FROM documents
+), c AS (
+  SELECT t, ('0x' || substr(md5(t), 1, 15))::BIGINT AS key, octet_length(encode(t)) + 1 AS size,
+         xor(list_reduce(list_transform(range(0, octet_length(encode(t))), lambda i: ('0x' || substr(hex(encode(t)), 2 * i + 1, 2))::BIGINT),
+                         lambda s, x: list_reduce(range(0, 8), lambda y, k: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END,
+                                                  xor(s, x)), 4294967295::BIGINT), 4294967295) AS crc
+  FROM b
+), r AS (
+  SELECT d.doc_id, c.size, c.crc, c.key,
+         c.key || '|' || coalesce(d.doc_id::VARCHAR, 'null') || '|' || c.size AS name,
+         row_number() OVER (ORDER BY c.key, d.doc_id NULLS FIRST) AS id
+  FROM documents d JOIN c ON coalesce(d.text, '') = c.t
+), n AS (
+  SELECT sum(size)::DOUBLE AS total, count(*) AS docs,
+         greatest(1024, ceil(count(*) / 1000000.0))::BIGINT AS ranges FROM r
+), drawn AS (
+  SELECT key, floor(size * (16 * ranges / total) + ('0x' || substr(md5('draw|' || name), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)::BIGINT AS times
+  FROM r, n
+), k AS (
+  SELECT list(key ORDER BY key) AS keys FROM (SELECT key, unnest(range(0, times)) FROM drawn)
+), cuts AS (
+  SELECT CASE WHEN len(keys) >= ranges THEN list_transform(range(1, ranges), lambda i: keys[(i * len(keys)) // ranges + 1])
+              ELSE coalesce(keys, []) END AS cuts FROM k, n
+), place AS (
+  SELECT r.*, len(list_filter(cuts, lambda x: x < key)) AS lo, len(list_filter(cuts, lambda x: x <= key)) AS hi FROM r, cuts
+), r0 AS (
+  SELECT *, CASE WHEN hi - lo >= 2 THEN lo + 1 + ('0x' || substr(md5('deal|' || name), 1, 13))::BIGINT % (hi - lo - 1) ELSE hi END AS rng FROM place
+), full0 AS (
+  SELECT rng, ceil(sum(size) / greatest(any_value(total) / any_value(ranges), 1.0))::BIGINT AS parts FROM r0, n GROUP BY rng
+  HAVING sum(size) > 2.0 * greatest(any_value(total) / any_value(ranges), 1.0)
+), r1 AS (
+  SELECT r0.*, coalesce(('0x' || substr(md5('part|' || key), 1, 13))::BIGINT % parts, 0) AS by_key FROM r0 LEFT JOIN full0 USING (rng)
+), full1 AS (
+  SELECT rng, by_key, ceil(sum(size) / greatest(any_value(total) / any_value(ranges), 1.0))::BIGINT AS parts FROM r1, n GROUP BY rng, by_key
+  HAVING sum(size) > 2.0 * greatest(any_value(total) / any_value(ranges), 1.0)
+), r2 AS (
+  SELECT r1.*, coalesce(('0x' || substr(md5('part|' || name), 1, 13))::BIGINT % parts, 0) AS by_doc FROM r1 LEFT JOIN full1 USING (rng, by_key)
+), held AS (
+  SELECT rng, by_key, by_doc, sum(size) AS held, count(*) AS members FROM r2 GROUP BY ALL
+), filled AS (
+  SELECT *, least(floor((coalesce(sum(held) OVER (ORDER BY rng, by_key, by_doc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + held / 2.0)
+                        * 8 / total)::INTEGER, 7) AS shard FROM held, n
+), started AS (
+  SELECT *, coalesce(sum(members) OVER (PARTITION BY shard ORDER BY rng, by_key, by_doc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first
+  FROM filled
+)
+SELECT r2.doc_id, r2.size::BIGINT AS size, r2.crc::BIGINT AS text_crc32, 'bytes' AS law, started.shard,
+       (started.first + row_number() OVER (PARTITION BY r2.rng, r2.by_key, r2.by_doc ORDER BY r2.key, r2.doc_id NULLS FIRST, r2.size, r2.crc) - 1)::BIGINT AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM r2 JOIN started USING (rng, by_key, by_doc)
 """,
 }

@@ -26,23 +26,29 @@ ROWS_PER_RANGE = 1_000_000
 OVERFULL = 2.0
 
 
-def _unit(*cols) -> Column:
-    """A number in [0, 1) from a hash of the columns."""
-    return F.shiftrightunsigned(F.xxhash64(*cols), 11).cast("double") / F.lit(float(2**53))
+def _number(of: Column, digits: int) -> Column:
+    """The first hexadecimal digits of an MD5 as a number (plain SQL can repeat it)."""
+    return F.conv(F.substring(F.md5(of.cast("binary")), 1, digits), 16, 10).cast("bigint")
+
+
+def _row_number(purpose: str) -> Column:
+    """A number below 2**52 from a row's doc_id, key and size, another one for each purpose."""
+    return _number(F.concat_ws("|", F.lit(purpose), "key", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "size"), 13)
 
 
 def sized(docs: DataFrame) -> DataFrame:
     """doc_id, size, crc, key of every row."""
     t = text_of()
     return docs.select("doc_id", (F.octet_length(t) + 1).cast("bigint").alias("size"),
-                       F.crc32(t.cast("binary")).alias("crc"), F.xxhash64(t).alias("key"))
+                       F.crc32(t.cast("binary")).alias("crc"), _number(t, 15).alias("key"))
 
 
 def splitters(rows: DataFrame, total: int, ranges: int, per_range: int = SAMPLES_PER_RANGE) -> list[int]:
     """At most ``ranges - 1`` boundaries: quantiles of about ``ranges * per_range`` keys, drawn with chances
     in proportion to size (a row larger than one share is drawn several times). Bounded by its parameters."""
     share = F.col("size") * F.lit(ranges * per_range / max(total, 1))
-    drawn = rows.select("key", F.floor(share + _unit("key", "doc_id", "size")).cast("int").alias("n")).where("n > 0")
+    chance = _row_number("draw") / F.lit(float(2**52))
+    drawn = rows.select("key", F.floor(share + chance).cast("int").alias("n")).where("n > 0")
     keys = drawn.select(F.explode(F.array_repeat("key", F.col("n"))).alias("key"))
     got = keys.agg(F.array_sort(F.collect_list("key")).alias("k"))
     n = F.size("k")
@@ -72,11 +78,11 @@ def ranged(rows: DataFrame, total: int, ranges: int) -> DataFrame:
     cuts = splitters(rows, total, ranges)
     # rows of a key that is drawn as a boundary c >= 2 times are dealt over the c - 1 ranges it fills
     r = rows.withColumn("hi", _bound(cuts, F.col("key"), True)).withColumn("lo", _bound(cuts, F.col("key"), False))
-    deal = F.col("lo") + 1 + F.pmod(F.xxhash64("doc_id", "key", "size"), F.col("hi") - F.col("lo") - 1).cast("int")
+    deal = F.col("lo") + 1 + F.pmod(_row_number("deal"), F.col("hi") - F.col("lo") - 1).cast("int")
     r = r.withColumn("range", F.when(F.col("hi") - F.col("lo") >= 2, deal).otherwise(F.col("hi"))).drop("hi", "lo")
     r = cut(r.withColumns({"by_key": F.lit(0), "by_doc": F.lit(0)}))
     mean = max(total / ranges, 1.0)
-    for name, hashed in (("by_key", F.xxhash64("key")), ("by_doc", F.xxhash64("doc_id", "key", "size"))):
+    for name, hashed in (("by_key", _number(F.concat_ws("|", F.lit("part"), "key"), 13)), ("by_doc", _row_number("part"))):
         full = (r.groupBy("range", "by_key").agg(F.sum("size").alias("held")).where(F.col("held") > OVERFULL * mean)
                 .select("range", "by_key", F.ceil(F.col("held") / mean).cast("int").alias("parts")))
         full = table(full, "overfull")  # at most ranges / OVERFULL rows
