@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -25,8 +26,8 @@ from pyspark.sql.functions import arrow_udf
 from .common import small_batches, text_of
 
 #: Bounds of the training sample.
-MAX_TOXIC = 4000
-MAX_CLEAN = 6000
+MAX_TOXIC = 3000
+MAX_CLEAN = 5000
 #: Features are hashed into this many places.
 PLACES = 1 << 20
 PREFIXES = (3, 4, 5, 6)
@@ -111,13 +112,23 @@ def sample(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_c
     return rows.select("toxic", features(text_of()).alias("f")).select("toxic", "f.at", "f.swapped").toArrow(), counts
 
 
+def _blocks(lists: pa.ChunkedArray, rows: int = 500):
+    """(first row, offsets, places) of a few rows at a time; the driver never holds all places as 64-bit numbers."""
+    for i in range(0, len(lists), rows):
+        some = lists.slice(i, rows).combine_chunks()
+        yield i, np.r_[0, np.cumsum(pa.compute.list_value_length(some).to_numpy(zero_copy_only=False))], some.flatten().to_numpy()
+
+
 class _Rows:
-    """A sparse 0/1 matrix."""
+    """A sparse 0/1 matrix of the chosen columns."""
 
-    def __init__(self, lists: pa.ListArray, columns: np.ndarray, width: int):
-        at = columns[lists.values.to_numpy(zero_copy_only=False)[lists.offsets[0].as_py():lists.offsets[-1].as_py()]]
-        row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-        self.row, self.at, self.n, self.width = row[at >= 0], at[at >= 0], len(lists), width
+    def __init__(self, lists: pa.ChunkedArray, columns: np.ndarray, width: int):
+        row, at = [np.zeros(0, "int32")], [np.zeros(0, "int32")]
+        for first, ends, places in _blocks(lists):
+            chosen = columns[places]
+            row.append((first + np.repeat(np.arange(len(ends) - 1, dtype="int32"), np.diff(ends)))[chosen >= 0].astype("int32"))
+            at.append(chosen[chosen >= 0])
+        self.row, self.at, self.n, self.width = np.concatenate(row), np.concatenate(at), len(lists), width
 
     def times(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights=w[self.at], minlength=self.n)
@@ -128,16 +139,15 @@ class _Rows:
 
 def fit(sampled: pa.Table, counts: dict[int, int], steps: int = 150, l2: float = 1e-4, swap_weight: float = 1.0) -> Model:
     """The model of a sample. Without labelled rows all scores are 0; with one class alone they are its share."""
-    sampled = sampled.sort_by([("toxic", "ascending")]) if sampled.num_rows else sampled
     weights = np.zeros(PLACES, "float32")
     y = sampled["toxic"].to_numpy().astype("float64")
     if len(np.unique(y)) < 2:
         share = counts.get(1, 0) / max(1, sum(counts.values()))
         return Model(weights, float(np.clip(np.log(max(share, 1e-13) / max(1 - share, 1e-13)), -30, 30)))
-    at = sampled["at"].combine_chunks()
-    flat, row = at.values.to_numpy(zero_copy_only=False), np.repeat(np.arange(len(y)), np.diff(at.offsets.to_numpy()))
-    in_toxic = np.bincount(flat, weights=y[row], minlength=PLACES)
-    in_all = np.bincount(flat, minlength=PLACES)
+    in_toxic, in_all = np.zeros(PLACES), np.zeros(PLACES)
+    for first, ends, places in _blocks(sampled["at"]):
+        in_all += np.bincount(places, minlength=PLACES)
+        in_toxic += np.bincount(places, weights=np.repeat(y[first:first + len(ends) - 1], np.diff(ends)), minlength=PLACES)
     n1, n0 = y.sum(), len(y) - y.sum()
     # features that stand out from the classes' difference by chance
     p1, p0 = (in_toxic + 0.5) / (n1 + 1), (in_all - in_toxic + 0.5) / (n0 + 1)
@@ -146,11 +156,11 @@ def fit(sampled: pa.Table, counts: dict[int, int], steps: int = 150, l2: float =
     identity = {i for term in SWAP for i in _features[term]}
     chosen = np.flatnonzero((in_all >= MIN_DOCS) & (np.abs(z) >= MIN_Z))
     chosen = np.union1d(chosen, [i for i in identity if in_all[i]]).astype("int64")
-    columns = np.full(PLACES, -1, "int64")
+    columns = np.full(PLACES, -1, "int32")
     columns[chosen] = np.arange(len(chosen))
-    x = _Rows(at, columns, len(chosen))
+    x = _Rows(sampled["at"], columns, len(chosen))
     named = sampled.filter(pa.compute.is_valid(sampled["swapped"]))
-    pairs = [(_Rows(named["at"].combine_chunks(), columns, len(chosen)), _Rows(named["swapped"].combine_chunks(), columns, len(chosen)))] if named.num_rows else []
+    pairs = [tuple(_Rows(named[c], columns, len(chosen)) for c in ("at", "swapped"))] if named.num_rows else []
     balance = np.where(y == 1, 0.5 / n1, 0.5 / n0)
     w, b = np.zeros(len(chosen)), 0.0
     m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
@@ -165,7 +175,6 @@ def fit(sampled: pa.Table, counts: dict[int, int], steps: int = 150, l2: float =
         step = 0.15 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
         w, b = w - step[:-1], b - step[-1]
     weights[chosen] = w
-    # the fit gives both classes the same weight; the corpus does not
     prior = np.log(max(counts.get(1, 0), 1) / max(counts.get(0, 0), 1))
     return Model(weights, float(b + PRIOR_SHARE * prior))
 
