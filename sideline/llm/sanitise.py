@@ -7,8 +7,8 @@ hold the word and n(t, e) that hold the word near the entity,
     PMI(t; e) = log2(n(t, e) * N / (n(t) * n(e))),   information of e = log2(N / n(e)),
 
 and the share PMI / information is how much of the entity the word gives away (1: the word never occurs without
-it). Words whose share exceeds the threshold, seen near the entity in at least ``MIN_DOCS``
-different surroundings, are spans too; in the sanitised text entities and such words are generalised to their kind, and words that give away nearly
+it). Words whose share reaches the threshold, seen near the entity in at least ``MIN_DOCS`` different texts, are spans
+too; in the sanitised text entities and such words are generalised to their kind, and words that give away nearly
 everything are removed.
 
 All is DataFrame code. Texts are not shuffled: positions come from the texts' own pieces between matches, counts
@@ -101,8 +101,8 @@ def _entity(kind: str, value: Column) -> Column:
 
 
 def spans_of(docs: DataFrame, near: int = NEAR) -> DataFrame:
-    """doc_id, tie, base (array of kind number, start, end, entity) and words (array of entity, term, start, end,
-    window) near them: one row per row."""
+    """doc_id, tie, base (array of kind number, start, end, entity) and words (array of entity, term, start, end)
+    near them: one row per row."""
     d = docs.select("doc_id", text_of().alias("t"))
     d = d.withColumns({f"m_{k}": _found(F.col("t"), PATTERNS[k]) for k in PATTERNS})
     d = d.withColumns({f"p_{k}": _placed(F.col("t"), PATTERNS[k], F.col(f"m_{k}"), near) for k in PATTERNS})
@@ -125,13 +125,13 @@ def spans_of(docs: DataFrame, near: int = NEAR) -> DataFrame:
         right = F.when(free > near, F.when(F.length(e["after"]) > near, F.regexp_replace(e["after"], f"{WORD}$", ""))
                        .otherwise(e["after"])).otherwise(F.left(e["after"], F.greatest(free, F.lit(0))))
         return F.struct(e["entity"].alias("entity"), e["start"].alias("start"), e["end"].alias("end"),
-                        left.alias("left"), right.alias("right"), F.xxhash64(left, right).alias("window"))
+                        left.alias("left"), right.alias("right"))
 
     def words(e: Column) -> Column:
         def of(text: Column, at: Column) -> Column:
             return F.transform(_placed(text, WORD, _found(text, WORD)), lambda x: F.struct(
                 e["entity"].alias("entity"), F.lower(x["value"]).alias("term"), (at + x["start"]).alias("start"),
-                (at + x["end"]).alias("end"), e["window"].alias("window")))
+                (at + x["end"]).alias("end")))
 
         return F.concat(of(e["left"], e["start"] - F.length(e["left"])), of(e["right"], e["end"]))
 
@@ -151,16 +151,19 @@ def word_documents(docs: DataFrame) -> DataFrame:
 def disclosures(spans: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, min_docs: int = MIN_DOCS) -> DataFrame:
     """entity, term, share: the words that give away an entity. ``spans``: the result of ``spans_of``, kept.
 
-    Copies of one passage are one piece of evidence: a word counts only if it is seen near the entity in
-    ``min_docs`` different surroundings. Rows that repeat a doc_id and text are one document near an entity.
+    Evidence is counted in different texts: copies of a whole text are one piece of evidence (all of them count as
+    documents), other repetitions are not set aside. A word counts only if it is seen near the entity in ``min_docs``
+    different texts; an entity that fewer texts hold gives away no words, as any word that is nowhere else would
+    have share 1 there.
     """
-    held = spans.select(F.explode(F.array_distinct("base.entity")).alias("entity"))
-    n_entity = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).where(F.col("n_e") >= min_docs)
+    held = spans.select("tie", F.explode(F.array_distinct("base.entity")).alias("entity"))
+    n_entity = (held.groupBy("entity", "tie").agg(F.count(F.lit(1)).alias("n"))
+                .groupBy("entity").agg(F.sum("n").alias("n_e"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_docs))
     near = spans.where("size(words) > 0").select("doc_id", "tie", F.explode("words").alias("w"))
-    pairs = (near.groupBy("doc_id", "tie", "w.entity", "w.term").agg(F.min("w.window").alias("window"))
-             .groupBy("entity", "term", "window").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("places"))
-             .where(F.col("places") >= min_docs))
+    pairs = (near.groupBy("doc_id", "tie", "w.entity", "w.term").agg(F.lit(1).alias("one"))
+             .groupBy("entity", "term", "tie").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("texts"))
+             .where(F.col("texts") >= min_docs).drop("texts"))
     total = docs.count()
     information = F.log2(F.lit(float(total)) / F.col("n_e"))
     pmi = F.log2(F.col("n_te") * float(total) / (F.col("n") * F.col("n_e")))

@@ -103,6 +103,19 @@ def test_sanitised_text(spark):
     assert got[9000] is None and got[None] == "call [PHONE] now" and got[0] == rows[0][1]
 
 
+def test_evidence_is_counted_in_different_texts(spark):
+    rng = random.Random(5)
+    footer = f"{prose(rng, 12)} zebrawing reach me at z.w@mail.example.com any time {prose(rng, 12)}"
+    rows = [(k, prose(rng, 30), "s") for k in range(200)]
+    rows += [(1000 + k, f"{prose(rng, 20)} {footer} {prose(rng, 20)}", "s") for k in range(4)]  # one footer, different texts
+    rows += [(2000 + k, "onlyhere solo@mail.example.com", "s") for k in range(4)]  # copies of a whole text
+    rows.append((3000, "singleword single@mail.example.com", "s"))  # an entity of one document
+    text = {i: t for i, t, _ in rows}
+    terms = {r.doc_id: {text[r.doc_id][s.start:s.end] for s in r.spans if s.kind == 4} for r in S.find(table(spark, rows)).collect()}
+    assert all("zebrawing" in terms[1000 + k] for k in range(4))
+    assert all(not terms[k] for k in (2000, 2001, 2002, 2003, 3000))
+
+
 def test_plan_is_native_and_empty_table(spark):
     plan = S.find(table(spark, odd_rows()))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", plan)
