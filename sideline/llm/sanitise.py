@@ -2,17 +2,17 @@
 
 Strict patterns find the base entities (e-mail addresses, IP addresses, card and phone numbers). A corpus-wide
 co-occurrence count then finds the words that reveal them: with N documents, n(e) that hold the entity, n(t) that
-hold the word and n(t, e) that hold the word near the entity,
+hold the word and n(t, e) that hold both, wherever they stand in the document,
 
     PMI(t; e) = log2(n(t, e) * N / (n(t) * n(e))),   information of e = log2(N / n(e)),
 
 and the share PMI / information is how much of the entity the word gives away (1: the word never occurs without
-it). Words whose share reaches the threshold, seen near the entity in at least ``MIN_DOCS`` different texts, are spans
-too; in the sanitised text entities and such words are generalised to their kind, and words that give away nearly
-everything are removed.
+it). Words whose share reaches the threshold, in at least ``MIN_DOCS`` different texts with the entity, are spans
+wherever they stand in any document; in the sanitised text entities and such words are generalised to their kind, and
+words that give away nearly everything are removed.
 
-All is DataFrame code. Texts are not shuffled: positions come from the texts' own pieces between matches, counts
-are partial aggregates, and only words near entities travel with their documents' ids.
+All is DataFrame code. Counts are partial aggregates; only documents with an entity that several texts hold have
+their words paired with it; texts move only where the words found are too many for Spark to broadcast.
 """
 
 from __future__ import annotations
@@ -20,14 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, free_name, text_of
+from .common import cut, free_name, table, text_of
 
 KINDS = ("email", "ip", "card", "phone", "term")
 THRESHOLD = 0.9
 REMOVE = 0.999
 MIN_DOCS = 2
-#: Code points on each side of an entity in which words count as near it, as far as the next entity.
-NEAR = 40
 
 _E = "[A-Za-z0-9._%+-]"
 #: Each pattern matches what the contract's does, leftmost and without overlaps. Possessive and anchored forms keep
@@ -39,41 +37,42 @@ PATTERNS = {
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,18}+(?![ -]?[0-9])",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-#: Words: ASCII letters and all characters beyond ASCII.
-_W = r"[A-Za-z\x{80}-\x{10FFFF}]"
-WORD = rf"{_W}++"
-NOT_WORD = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: Words: ASCII letters and digits and all characters beyond ASCII.
+WORD = r"[A-Za-z0-9\x{80}-\x{10FFFF}]++"
+NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def _found(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def _placed(text: Column, pattern: str, found: Column, near: int = 0) -> Column:
+def _placed(text: Column, pattern: str, found: Column, shares: Column | None = None) -> Column:
     """start, end and value of each match, from the lengths of the matches and of the pieces between them; with
-    ``near``, also up to ``near + 1`` code points of the pieces before and after it."""
-    fields = {"start": F.lit(0), "end": F.lit(0), "value": F.lit("")} | ({"before": F.lit(""), "after": F.lit("")} if near else {})
-    none = F.slice(F.array(F.struct(*[v.alias(k) for k, v in fields.items()])), 1, 0)
+    ``shares``, a map of words in lower case, only of those in it."""
+    none = F.slice(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("").alias("value"))), 1, 0)
     zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["gap"])
         end = start + F.length(x["value"])
-        made = {"start": start, "end": end, "value": x["value"]}
-        if near:
-            made |= {"before": F.right(x["gap"], F.lit(near + 1)), "after": F.left(x["next"], F.lit(near + 1))}
-        return F.when(x["value"].isNull(), acc).otherwise(F.struct(
-            end.alias("at"), F.concat(acc["out"], F.array(F.struct(*[v.alias(k) for k, v in made.items()]))).alias("out")))
+        out = F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))))
+        if shares is not None:
+            out = F.when(F.map_contains_key(shares, F.lower(x["value"])), out).otherwise(acc["out"])
+        return F.when(x["value"].isNull(), acc).otherwise(F.struct(end.alias("at"), out.alias("out")))
 
     def all_placed(gaps: Column) -> Column:
-        zipped = F.arrays_zip(gaps.alias("gap"), found.alias("value"), F.slice(gaps, 2, F.size(found)).alias("next"))
-        return F.aggregate(zipped, zero, step, lambda acc: acc["out"])
+        return F.aggregate(F.arrays_zip(gaps.alias("gap"), found.alias("value")), zero, step, lambda acc: acc["out"])
 
     # the outer transform makes the pieces once
     placed = F.transform(F.array(F.split(text, pattern, -1)), all_placed)[0]
     return F.when(F.size(found) == 0, none).otherwise(placed)
 
 
+def words_in(text: Column) -> Column:
+    """The different words in lower case, each lowered by itself (the empty one may be among them)."""
+    return F.array_distinct(F.transform(F.array_distinct(F.split(text, NOT_WORD)), F.lower))
+
+
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, r"[^0-9]", "")
 
@@ -100,51 +99,26 @@ def _entity(kind: str, value: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), F.lower(value) if kind == "email" else value if kind == "ip" else _digits(value))
 
 
-def spans_of(docs: DataFrame, near: int = NEAR) -> DataFrame:
-    """doc_id, tie, base (array of kind number, start, end, entity) and words (array of entity, term, start, end)
-    near them: one row per row."""
+def spans_of(docs: DataFrame) -> DataFrame:
+    """doc_id, tie, base (array of start, kind number, end, entity) and words (all different words of a text that holds
+    entities, else NULL): one row per row."""
     d = docs.select("doc_id", text_of().alias("t"))
     d = d.withColumns({f"m_{k}": _found(F.col("t"), PATTERNS[k]) for k in PATTERNS})
-    d = d.withColumns({f"p_{k}": _placed(F.col("t"), PATTERNS[k], F.col(f"m_{k}"), near) for k in PATTERNS})
+    d = d.withColumns({f"p_{k}": _placed(F.col("t"), PATTERNS[k], F.col(f"m_{k}")) for k in PATTERNS})
 
     def entities(kind: str, number: int) -> Column:
         held = F.filter(f"p_{kind}", lambda x: _holds(kind, x["value"]))
         return F.transform(held, lambda x: F.struct(
-            x["start"].alias("start"), F.lit(number).alias("kind"), x["end"].alias("end"),
-            _entity(kind, x["value"]).alias("entity"), x["before"].alias("before"), x["after"].alias("after")))
-
-    full = F.array_sort(F.concat(*[entities(k, i) for i, k in enumerate(PATTERNS)]))
-    d = d.select("doc_id", F.xxhash64("t").alias("tie"), full.alias("full"))
-
-    # the text on both sides up to the next entity; a word cut off at the far edge is left out
-    def sides(e: Column, i: Column) -> Column:
-        room = F.when(i > 0, e["start"] - F.try_element_at("full", i)["end"]).otherwise(near + 2)
-        left = F.when(room > near, F.when(F.length(e["before"]) > near, F.regexp_replace(e["before"], f"^{WORD}", ""))
-                      .otherwise(e["before"])).otherwise(F.right(e["before"], F.greatest(room, F.lit(0))))
-        free = F.coalesce(F.try_element_at("full", i + 2)["start"] - e["end"], F.lit(near + 2))
-        right = F.when(free > near, F.when(F.length(e["after"]) > near, F.regexp_replace(e["after"], f"{WORD}$", ""))
-                       .otherwise(e["after"])).otherwise(F.left(e["after"], F.greatest(free, F.lit(0))))
-        return F.struct(e["entity"].alias("entity"), e["start"].alias("start"), e["end"].alias("end"),
-                        left.alias("left"), right.alias("right"))
+            x["start"].alias("start"), F.lit(number).alias("kind"), x["end"].alias("end"), _entity(kind, x["value"]).alias("entity")))
 
-    def words(e: Column) -> Column:
-        def of(text: Column, at: Column) -> Column:
-            return F.transform(_placed(text, WORD, _found(text, WORD)), lambda x: F.struct(
-                e["entity"].alias("entity"), F.lower(x["value"]).alias("term"), (at + x["start"]).alias("start"),
-                (at + x["end"]).alias("end")))
-
-        return F.concat(of(e["left"], e["start"] - F.length(e["left"])), of(e["right"], e["end"]))
-
-    near_words = F.flatten(F.transform(F.transform("full", sides), words))
-    base = F.transform("full", lambda e: F.struct(e["start"].alias("start"), e["kind"].alias("kind"), e["end"].alias("end"),
-                                                  e["entity"].alias("entity")))
-    return d.select("doc_id", "tie", base.alias("base"), F.when(F.size("full") > 0, near_words).alias("words"))
+    base = F.array_sort(F.concat(*[entities(k, i) for i, k in enumerate(PATTERNS)]))
+    d = d.select("doc_id", F.xxhash64("t").alias("tie"), "t", base.alias("base"))
+    return d.select("doc_id", "tie", "base", F.when(F.size("base") > 0, words_in(F.col("t"))).alias("words"))
 
 
 def word_documents(docs: DataFrame) -> DataFrame:
     """term, n: in how many documents each word stands, over all documents."""
-    words = F.array_distinct(F.split(F.lower(text_of()), NOT_WORD))
-    return (docs.select(F.explode(words).alias("term")).where("term != ''").groupBy("term")
+    return (docs.select(F.explode(words_in(text_of())).alias("term")).where("term != ''").groupBy("term")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -152,43 +126,62 @@ def disclosures(spans: DataFrame, docs: DataFrame, threshold: float = THRESHOLD,
     """entity, term, share: the words that give away an entity. ``spans``: the result of ``spans_of``, kept.
 
     Evidence is counted in different texts: copies of a whole text are one piece of evidence (all of them count as
-    documents), other repetitions are not set aside. A word counts only if it is seen near the entity in ``min_docs``
-    different texts; an entity that fewer texts hold gives away no words, as any word that is nowhere else would
-    have share 1 there.
+    documents), other repetitions are not set aside. A word counts only if ``min_docs`` different texts hold it and
+    the entity; an entity that fewer texts hold gives away no words, as any word that is nowhere else would have
+    share 1 there. Words of the entity as it is written count like others.
     """
-    held = spans.select("tie", F.explode(F.array_distinct("base.entity")).alias("entity"))
-    n_entity = (held.groupBy("entity", "tie").agg(F.count(F.lit(1)).alias("n"))
-                .groupBy("entity").agg(F.sum("n").alias("n_e"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_docs))
-    near = spans.where("size(words) > 0").select("doc_id", "tie", F.explode("words").alias("w"))
-    pairs = (near.groupBy("doc_id", "tie", "w.entity", "w.term").agg(F.lit(1).alias("one"))
-             .groupBy("entity", "term", "tie").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("texts"))
-             .where(F.col("texts") >= min_docs).drop("texts"))
-    total = docs.count()
-    information = F.log2(F.lit(float(total)) / F.col("n_e"))
-    pmi = F.log2(F.col("n_te") * float(total) / (F.col("n") * F.col("n_e")))
-    return (cut(pairs).join(word_documents(docs), "term").join(n_entity, "entity")
-            .where(information > 0).select("entity", "term", (pmi / information).alias("share"))
-            .where(F.col("share") >= threshold))
-
-
-def find(docs: DataFrame, threshold: float = THRESHOLD, min_docs: int = MIN_DOCS, near: int = NEAR) -> DataFrame:
+    total = float(docs.count())
+    information = F.log2(F.lit(total) / F.col("n_e"))
+    held = (spans.select("tie", F.explode(F.array_distinct("base.entity")).alias("entity"))
+            .groupBy("entity", "tie").agg(F.count(F.lit(1)).alias("copies")))
+    n_entity = (held.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count(F.lit(1)).alias("texts"))
+                .where(F.col("texts") >= min_docs).drop("texts"))
+    held = table(held.join(n_entity, "entity").where(information > 0), "held")
+    words = (spans.join(held.select("tie").distinct(), "tie", "left_semi")
+             .select("tie", F.explode("words").alias("term")).distinct())
+    # a word in more documents than this cannot reach the threshold, as n(t, e) is n(e) at most
+    enough = F.log2("n") <= F.log2(F.lit(total)) - threshold * information + 1e-9
+    pairs = (words.join(word_documents(docs).where(F.col("n") >= min_docs), "term").join(held, "tie").where(enough)
+             .groupBy("entity", "term", "n", "n_e").agg(F.sum("copies").alias("n_te"), F.count(F.lit(1)).alias("texts"))
+             .where(F.col("texts") >= min_docs))
+    pmi = F.log2(F.col("n_te") * total / (F.col("n") * F.col("n_e")))
+    return pairs.select("entity", "term", (pmi / information).alias("share")).where(F.col("share") >= threshold)
+
+
+def term_spans(docs: DataFrame, flagged: DataFrame) -> DataFrame:
+    """doc_id, tie, terms: array of (start, kind number, end, share) of all places of the flagged words (term, share)
+    in all documents; documents without any are left out, repeated rows are one.
+
+    ``flagged`` and the documents' words found in it are written tables, so Spark broadcasts them where they are small
+    and otherwise shuffles the words, and the texts once."""
+    d = docs.select("doc_id", text_of().alias("t")).withColumn("tie", F.xxhash64("t"))
+    hits = (d.select("doc_id", "tie", F.explode(words_in(F.col("t"))).alias("term")).join(flagged, "term")
+            .groupBy("doc_id", "tie").agg(F.map_from_entries(F.collect_set(F.struct("term", "share"))).alias("shares")))
+    hits = table(hits, "hits").withColumnsRenamed({"doc_id": "_doc_id", "tie": "_tie"})
+    d = d.join(hits, d["doc_id"].eqNullSafe(F.col("_doc_id")) & (d["tie"] == F.col("_tie")))
+    placed = _placed(F.col("t"), WORD, _found(F.col("t"), WORD), F.col("shares"))
+    terms = F.transform(placed, lambda x: F.struct(
+        x["start"].alias("start"), F.lit(4).alias("kind"), x["end"].alias("end"),
+        F.try_element_at("shares", F.lower(x["value"])).alias("share")))
+    return d.select("doc_id", "tie", terms.alias("terms")).dropDuplicates(["doc_id", "tie"])
+
+
+def find(docs: DataFrame, threshold: float = THRESHOLD, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, tie, spans: array of (start, kind number, end, share) by start and kind, one row per row.
 
-    Positions are code points, end exclusive; kinds are numbered as in KINDS; share is NULL for entities. NULL and
-    empty texts have no spans; repeated rows have the same spans and count as documents each; an empty table gives
-    no rows; other columns are not read.
+    Positions are code points, end exclusive; kinds are numbered as in KINDS; share is NULL for entities, and the
+    largest over entities for words; words that overlap an entity are left to it. NULL and empty texts have no spans;
+    repeated rows have the same spans and count as documents each; an empty table gives no rows; other columns are
+    not read.
     """
-    spans = cut(spans_of(docs, near))
-    flagged = disclosures(spans, docs, threshold, min_docs)
-    words = spans.where("size(words) > 0").select("doc_id", "tie", F.explode("words").alias("w")).select("doc_id", "tie", "w.*")
-    terms = (words.join(flagged, ["entity", "term"]).groupBy("doc_id", "tie", "start", "end").agg(F.max("share").alias("share"))
-             .groupBy("doc_id", "tie").agg(F.collect_list(F.struct("start", F.lit(4).alias("kind"), "end", "share")).alias("terms")))
-    terms = terms.withColumnsRenamed({"doc_id": "_doc_id", "tie": "_tie"})
+    spans = cut(spans_of(docs))
+    flagged = table(disclosures(spans, docs, threshold, min_docs).groupBy("term").agg(F.max("share").alias("share")), "flagged")
+    terms = term_spans(docs, flagged).withColumnsRenamed({"doc_id": "_doc_id", "tie": "_tie"})
+    kind = "array<struct<start:int,kind:int,end:int,share:double>>"
     base = F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["kind"].alias("kind"), b["end"].alias("end"),
                                                   F.lit(None).cast("double").alias("share")))
-    kind = "array<struct<start:int,kind:int,end:int,share:double>>"
-    both = F.array_sort(F.concat(base.cast(kind), F.coalesce(F.col("terms").cast(kind), F.array().cast(kind))))
+    apart = F.filter("terms", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    both = F.array_sort(F.concat(base.cast(kind), F.coalesce(apart.cast(kind), F.array().cast(kind))))
     return (spans.select("doc_id", "tie", "base")
             .join(terms, spans["doc_id"].eqNullSafe(F.col("_doc_id")) & (spans["tie"] == F.col("_tie")), "left")
             .select("doc_id", "tie", both.alias("spans")))
@@ -200,13 +193,13 @@ def as_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def sanitised(docs: DataFrame, threshold: float = THRESHOLD, min_docs: int = MIN_DOCS, near: int = NEAR,
+def sanitised(docs: DataFrame, threshold: float = THRESHOLD, min_docs: int = MIN_DOCS,
               remove: float = REMOVE) -> DataFrame:
     """``docs`` with entities and revealing words in the text generalised to ``[KIND]``; words whose share is at
     least ``remove`` are removed. Of overlapping spans the one that starts first (then the longest kind number
     listed first) stands. Same columns; a NULL text stays NULL."""
     key, tie, spans = (free_name(docs, c) for c in ("_key", "_tie", "_spans"))
-    found = find(docs, threshold, min_docs, near).where("size(spans) > 0").select(
+    found = find(docs, threshold, min_docs).where("size(spans) > 0").select(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias(key), F.col("tie").alias(tie), F.col("spans").alias(spans)).distinct()
     rows = (docs.withColumn(key, F.coalesce(docs["doc_id"].cast("string"), F.lit("null")))
             .withColumn(tie, F.xxhash64(text_of())).join(found, [key, tie], "left"))

@@ -116,6 +116,25 @@ def test_evidence_is_counted_in_different_texts(spark):
     assert all(not terms[k] for k in (2000, 2001, 2002, 2003, 3000))
 
 
+def test_words_count_and_are_found_in_whole_documents(spark):
+    rng = random.Random(6)
+    rows = [(k, prose(rng, 30), "s") for k in range(200)]
+    far = " ".join(prose(rng, 1) for _ in range(60))  # the name and the number always stand far from the address
+    rows += [(1000 + k, f"{prose(rng, 9)} Zebrawing AC4417X {far} to z.w@mail.example.com {prose(rng, 9)} zebrawing", "s") for k in range(12)]
+    rows += [(2000, f"{prose(rng, 9)} ZEBRAWING called", "s"), (None, "no address, zebrawing", "s"), (None, "no address, zebrawing", "s")]
+    rows += [(3000 + k, f"ézebra@x.org zebra {prose(rng, 9)}", "s") for k in range(2)]
+    text = {i: t for i, t, _ in rows}
+    found = {}
+    for r in S.find(table(spark, rows), 0.8).collect():
+        found.setdefault(r.doc_id, []).append([(s.kind, text[r.doc_id][s.start:s.end]) for s in r.spans])
+    for k in range(12):
+        words = [w for kind, w in found[1000 + k][0] if kind == 4]
+        assert {"Zebrawing", "AC4417X", "zebrawing"} <= set(words) and "z" not in words
+    assert (4, "ZEBRAWING") in found[2000][0]
+    assert found[None] == [[(4, "zebrawing")]] * 2
+    assert (0, "zebra@x.org") in found[3000][0] and (4, "zebra") in found[3000][0] and (4, "ézebra") not in found[3000][0]
+
+
 def test_plan_is_native_and_empty_table(spark):
     plan = S.find(table(spark, odd_rows()))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", plan)
