@@ -19,20 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from . import license_texts
 from .common import small_batches, text_of
 
 #: Fixed values of the contract: phrase and label.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Notices and permission texts in common use: label and markup.
+#: Short notices, then whole license texts (to their last condition and disclaimer): label and markup.
 TEMPLATES = (
     ("mit-notice", "<<var;match=licensed|released|distributed|available|provided>> under<<beginOptional>> the terms of<<endOptional>> "
                    "the MIT License"),
-    ("mit-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-                 "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
-                 "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
-                 "copies of the Software<<beginOptional>>, and to permit persons to whom the Software is furnished to do so"
-                 "<<endOptional>>"),
     ("apache-2.0", "<<var;match=licensed|released|distributed|available|provided>> under<<beginOptional>> the terms of<<endOptional>> "
                    "the Apache License<<beginOptional>> (the \"License\")<<endOptional>>, Version 2.0"),
     ("gpl-2.0", "under<<beginOptional>> the terms of<<endOptional>> the<<beginOptional>> GNU<<endOptional>> General Public License"
@@ -47,12 +43,16 @@ TEMPLATES = (
                      "<<var;match=CC BY-SA|Attribution-ShareAlike>> 4.0"),
     ("cc-by-nc-4.0", "licensed under<<beginOptional>> a<<endOptional>><<beginOptional>> Creative Commons<<endOptional>> "
                      "<<var;match=CC BY-NC|Attribution-NonCommercial>> 4.0"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted"
-            "<<beginOptional>> (subject to the limitations in the disclaimer below)<<endOptional>> provided that the following "
-            "conditions are met"),
-    ("isc", "Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose "
-            "with or without fee is hereby granted"),
     ("all-rights-reserved", "copyright<<beginOptional>> (c)<<endOptional>><<var;words=6>> all rights reserved"),
+    ("mit-text", license_texts.MIT),
+    ("bsd-2-clause", license_texts.BSD_2),
+    ("bsd-3-clause", license_texts.BSD_3),
+    ("bsd-4-clause", license_texts.BSD_4),
+    ("bsd-3-clause-clear", license_texts.BSD_3_CLEAR),
+    ("isc", license_texts.ISC),
+    ("apache-2.0-text", license_texts.APACHE_2_0),
+    ("gpl-2.0-text", license_texts.GPL_2_0),
+    ("gpl-3.0-text", license_texts.GPL_3_0),
 )
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))

@@ -52,3 +52,36 @@ def test_base_columns_equal_brute_force(spark):
         assert set(r.base_labels.split(",")) <= set(r.labels.split(","))
         assert 0 <= r.score <= 1
     assert L.scan(table(spark, [])).count() == 0
+
+
+def filled(markup):
+    """A text that a template accepts: first choices, names of three words, optional words left out."""
+    plain = re.sub(r"<<beginOptional>>.*?<<endOptional>>", "", markup, flags=re.S)
+    plain = re.sub(r"<<var;match=([^|>]*)[^>]*>>", r"\1", plain)
+    return re.sub(r"<<var;words=\d+>>", "Some Name Inc", plain)
+
+
+WHOLE = {"mit-text": "NONINFRINGEMENT", "bsd-2-clause": "ADVISED", "bsd-3-clause": "endorse", "bsd-4-clause": "advertising",
+         "bsd-3-clause-clear": "PATENT", "isc": "TORTIOUS", "apache-2.0-text": "indemnify", "gpl-2.0-text": "INACCURATE", "gpl-3.0-text": "INACCURATE"}
+
+
+@pytest.mark.parametrize("label", WHOLE)
+def test_whole_texts_to_their_last_clause(label):
+    text = filled(dict(L.TEMPLATES)[label])
+    texts = set(WHOLE) & labels(f"Name, 2020. {text} and more")
+    assert texts == {label}
+    late = WHOLE[label]
+    assert late in text
+    words = text.split()
+    for changed in (text.replace(late, f"not {late}"), text.replace(late, ""), " ".join(words[:-1]),
+                    " ".join(words[:30]), " ".join(words[:-20] + ["for", "good", "not", "evil"] + words[-20:])):
+        assert not set(WHOLE) & labels(changed)
+
+
+def test_openings_alone_are_no_license():
+    assert labels("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+                  "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the "
+                  "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software") == set()
+    assert labels("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+                  "following conditions are met: ask first") == set()
+    assert labels("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted") == set()
