@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import block_naming, byte_bpe, ctph, license_scan, mixing, sanitise, sharding, simhash, token_counts, toxicity
+from . import block_naming, byte_bpe, ctph, lexical, license_scan, mixing, sanitise, sharding, simhash, token_counts, toxicity
 from .common import documents
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -87,6 +87,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None =
     return token_counts.section_counts(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_mix": op2_mix,
@@ -98,6 +102,7 @@ QUERIES = {
     "op8_shard": op8_shard,
     "op9_fingerprints": op9_fingerprints,
     "op10_token_counts": op10_token_counts,
+    "op13_lexical": op13_lexical,
 }
 
 SQL = {
@@ -233,5 +238,31 @@ SELECT r2.doc_id, r2.size::BIGINT AS size, r2.crc::BIGINT AS text_crc32, 'bytes'
        (started.first + row_number() OVER (PARTITION BY r2.rng, r2.by_key, r2.by_doc ORDER BY r2.key, r2.doc_id NULLS FIRST, r2.size, r2.crc) - 1)::BIGINT AS slot,
        CAST(NULL AS INTEGER) AS grown_shard
 FROM r2 JOIN started USING (rng, by_key, by_doc)
+""",
+    # every document scored for every item, without strata or bounds
+    "op13_lexical": r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL
+), n AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY ALL
+), s AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n
+), m AS (
+  SELECT doc_id, 100 - 25 + (25 * n * docs) // terms AS m FROM n, s
+), w AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, s GROUP BY term
+), scores AS (
+  SELECT q.item_id, tf.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY ALL
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
 """,
 }
