@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import block_naming, byte_bpe, ctph, lexical, license_scan, mixing, sanitise, sharding, simhash, token_counts, toxicity
+from . import block_naming, byte_bpe, ctph, lexical, license_scan, mixing, prefix_trie, sanitise, sharding, simhash, token_counts, toxicity
 from .common import documents
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -87,6 +87,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None =
     return token_counts.section_counts(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -102,6 +106,7 @@ QUERIES = {
     "op8_shard": op8_shard,
     "op9_fingerprints": op9_fingerprints,
     "op10_token_counts": op10_token_counts,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_lexical": op13_lexical,
 }
 
@@ -238,6 +243,38 @@ SELECT r2.doc_id, r2.size::BIGINT AS size, r2.crc::BIGINT AS text_crc32, 'bytes'
        (started.first + row_number() OVER (PARTITION BY r2.rng, r2.by_key, r2.by_doc ORDER BY r2.key, r2.doc_id NULLS FIRST, r2.size, r2.crc) - 1)::BIGINT AS slot,
        CAST(NULL AS INTEGER) AS grown_shard
 FROM r2 JOIN started USING (rng, by_key, by_doc)
+""",
+    # every prefix of every conversation spelled out; CRC-32 by bits
+    "op12_prefix_trie": """
+WITH t AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, '')) AS turns,
+         xor(list_reduce(list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i::INTEGER, 1))::BIGINT),
+                         lambda s, x: list_reduce(range(0, 8), lambda y, k: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END,
+                                                  xor(s, x)), 4294967295::BIGINT), 4294967295) % 9 AS h
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), r AS (
+  SELECT t.conv_id, list_concat(coalesce(lead.turns, [])[1:t.h], t.turns[t.h + 1:]) AS seq
+  FROM t LEFT JOIN t AS lead ON lead.conv_id = t.conv_id - t.conv_id % 5
+), p AS (
+  SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS depth FROM r
+), n AS (
+  SELECT depth, seq[1:depth] AS node, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = len(seq)), '')) AS ends_sha256
+  FROM p GROUP BY ALL
+), c AS (
+  SELECT depth - 1 AS depth, node[1:depth - 1] AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL
+), o AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN n.depth > 0 THEN (n_convs - 1) * octet_length(encode(n.node[n.depth].text)) ELSE 0 END AS saving
+  FROM n LEFT JOIN c ON c.depth = n.depth AND c.node = n.node
+), a AS (
+  SELECT *, unnest(range(0, depth + 1)) AS above FROM o
+), s AS (
+  SELECT above AS depth, node[1:above] AS node, sum((n_children = 0)::BIGINT) AS n_leaves, sum(saving) AS saved_tokens FROM a GROUP BY ALL
+)
+SELECT o.conv_id, o.depth, up.conv_id AS parent_conv_id, o.n_convs, o.n_children, s.n_leaves::BIGINT AS n_leaves,
+       s.saved_tokens::BIGINT AS saved_tokens, o.ends_sha256
+FROM o JOIN s ON s.depth = o.depth AND s.node = o.node LEFT JOIN n AS up ON up.depth = o.depth - 1 AND up.node = o.node[1:o.depth - 1]
 """,
     # every document scored for every item, without strata or bounds
     "op13_lexical": r"""
