@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import block_naming, byte_bpe, ctph, lexical, license_scan, mixing, prefix_trie, sanitise, sharding, simhash, token_counts, toxicity
+from . import (block_naming, byte_bpe, ctph, lexical, license_scan, minhash, mixing, prefix_trie, sanitise, sharding, simhash, token_counts,
+               toxicity)
 from .common import documents
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -87,6 +88,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None =
     return token_counts.section_counts(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(documents(spark, sf_dir))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -106,6 +111,7 @@ QUERIES = {
     "op8_shard": op8_shard,
     "op9_fingerprints": op9_fingerprints,
     "op10_token_counts": op10_token_counts,
+    "op11_minhash": op11_minhash,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_lexical": op13_lexical,
 }
