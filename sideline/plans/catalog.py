@@ -575,6 +575,36 @@ def q_csv_text_roundtrip(spark, sf_dir):
     return read_csv(spark, path)
 
 
+def _write_ragged(spark, sf_dir, path):
+    """Customers in three groups of CSV files: usual order, reversed with a column more, one column less."""
+    c = _t(spark, sf_dir, "customer")
+    part = lambda i: c.filter(F.col("c_custkey") % 3 == i)
+    write_csv(part(0), f"{path}/a")
+    write_csv(part(1).withColumn("c_note", F.concat(F.lit("note "), F.col("c_name"))).select("c_note", *reversed(c.columns)), f"{path}/b")
+    write_csv(part(2).select("c_name", "c_custkey", "c_mktsegment", "c_nationkey"), f"{path}/c")
+    return f"{path}/*"
+
+
+_RAGGED_SQL = """
+SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 3 < 2 THEN c_acctbal END AS c_acctbal, c_mktsegment,
+       CASE WHEN c_custkey % 3 = 1 THEN 'note ' || c_name END AS c_note
+FROM customer"""
+
+
+@register("csv_ragged_files", _RAGGED_SQL)
+def q_csv_ragged_files(spark, sf_dir):
+    """Files of several headers read by name under a schema."""
+    path = _write_ragged(spark, sf_dir, _scratch(spark, "csv-ragged"))
+    return read_csv(spark, path, required=["c_custkey", "c_name"], schema="c_custkey BIGINT, c_name STRING, c_nationkey INT, "
+                    "c_acctbal DOUBLE, c_mktsegment STRING, c_note STRING")
+
+
+@register("csv_ragged_inferred", _RAGGED_SQL.replace("SELECT c_custkey,", "SELECT CAST(c_custkey AS INTEGER) AS c_custkey,"))
+def q_csv_ragged_inferred(spark, sf_dir):
+    """The same files, types inferred over all of them."""
+    return read_csv(spark, _write_ragged(spark, sf_dir, _scratch(spark, "csv-inferred")), infer=True)
+
+
 @register("parquet_partition_roundtrip", """
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS yr FROM orders""")
 def q_parquet_partition_roundtrip(spark, sf_dir):
@@ -714,7 +744,8 @@ def q_pre_incident_profile_bad_dates(spark, sf_dir):
 
 @register("analysis_ready_incremental", SQL["analysis_ready"])
 def q_analysis_ready_incremental(spark, sf_dir):
-    """Two daily runs; incidents, game dates and half of the activity arrive with the second."""
+    """Two daily runs; incidents, game dates and half of the activity arrive with the second, whose files have their
+    columns in another order and one more."""
     base = _scratch(spark, "daily")
     act = sv.activity(spark, sf_dir).select(*jobs.ACTIVITY_COLUMNS)
     inc, games = sv.item_incidents(spark, sf_dir), sv.game_dates(spark, sf_dir)
@@ -722,5 +753,5 @@ def q_analysis_ready_incremental(spark, sf_dir):
     write_csv(act.filter(early), f"{base}/in/day1")
     run_daily(spark, f"{base}/in/*", inc.filter("crc32(player_name) % 3 = 0"),
               games.filter("crc32(GAMEID) % 2 = 0"), f"{base}/out", None, *SEASON)
-    write_csv(act.filter(~early), f"{base}/in/day2")
+    write_csv(act.filter(~early).select(F.col("clock").alias("wall_clock"), *reversed(act.columns)), f"{base}/in/day2")
     return run_daily(spark, f"{base}/in/*", inc, games, f"{base}/out", None, *SEASON)

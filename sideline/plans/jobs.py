@@ -79,14 +79,16 @@ def clean_summary(clean: DataFrame, k: int = 10) -> dict[str, DataFrame]:
     }
 
 
-def clean_job(spark: SparkSession, raw_path: str, out_path: str, **kw) -> None:
-    """Notes may hold line breaks; ``kw`` go to ``clean_incidents``."""
-    write_csv(clean_incidents(read_csv(spark, raw_path, multi_line=True), **kw), out_path)
+def clean_job(spark: SparkSession, raw_path: str, out_path: str, multi_line: bool = True, **kw) -> None:
+    """Notes may hold line breaks (``multi_line=False`` where they do not: large files are then split);
+    ``kw`` go to ``clean_incidents``."""
+    write_csv(clean_incidents(read_csv(spark, raw_path, multi_line=multi_line), **kw), out_path)
 
 
-def clean_summary_job(spark: SparkSession, clean_path: str, out_prefix: str, k: int = 10) -> dict[str, str]:
+def clean_summary_job(spark: SparkSession, clean_path: str, out_prefix: str, k: int = 10,
+                      multi_line: bool = True) -> dict[str, str]:
     """J2 over a cleaned incident file: every summary table written as Parquet."""
-    clean = read_csv(spark, clean_path, multi_line=True)
+    clean = read_csv(spark, clean_path, multi_line=multi_line)
     base = out_prefix.rstrip("/")
     out = {}
     with staged(clean, "summary_input") as inc:
@@ -102,14 +104,14 @@ def star_tables(raw: DataFrame, year: int = 2018) -> dict[str, DataFrame]:
     return build_star(classify_incidents(normalize_incidents(raw)), year)
 
 
-def star_job(spark: SparkSession, raw_path: str, prefix: str, year: int = 2018) -> StarPaths:
+def star_job(spark: SparkSession, raw_path: str, prefix: str, year: int = 2018, multi_line: bool = True) -> StarPaths:
     """Read raw incident CSV(s) as text, build and write the star schema.
 
     The classified input feeds five sinks, so it is written once to the shared
     checkpoint folder and re-read (columns pruned per sink) instead of
     re-parsing and re-classifying the CSV five times.
     """
-    raw = read_csv(spark, raw_path, multi_line=True)
+    raw = read_csv(spark, raw_path, multi_line=multi_line)
     paths = StarPaths(prefix)
     with staged(classify_incidents(normalize_incidents(raw)), "star_input") as classified:
         tables = build_star(classified, year)
@@ -148,8 +150,8 @@ def analysis_ready(incidents: DataFrame, activity: DataFrame, game_dates: DataFr
 
 
 def analysis_ready_job(spark: SparkSession, incidents_path: str, activity_path: str,
-                       game_dates_path: str, out_prefix: str, source: str = "csv", **kw) -> None:
-    """J4 runner. ``source='csv'`` reads CSV extracts (text columns);
+                       game_dates_path: str, out_prefix: str, source: str = "csv", multi_line: bool = True, **kw) -> None:
+    """J4 runner. ``source='csv'`` reads CSV extracts (text columns; incidents with ``multi_line``);
     ``source='items'`` reads the item-table exports directly (``read_items``)."""
     if source == "csv":
         read = lambda p, **kw: read_csv(spark, p, **kw)
@@ -157,7 +159,7 @@ def analysis_ready_job(spark: SparkSession, incidents_path: str, activity_path:
         read = lambda p, **kw: read_items(spark, p)
     else:
         raise ValueError(f"unknown source {source!r}")
-    inc, final = analysis_ready(read(incidents_path, multi_line=True), read(activity_path), read(game_dates_path), **kw)
+    inc, final = analysis_ready(read(incidents_path, multi_line=multi_line), read(activity_path), read(game_dates_path), **kw)
     base = out_prefix.rstrip("/")
     write_parquet(inc, f"{base}/injuries_windowed")
     write_parquet(final, f"{base}/analysis_ready")
@@ -342,7 +344,7 @@ def window_analysis_job(spark: SparkSession, incidents_path: str, activity_path:
 
 
 def report_job(spark: SparkSession, clean_path: str, raw_path: str, activity_path: str,
-               out_prefix: str, year: int = 2018) -> dict[str, str]:
+               out_prefix: str, year: int = 2018, multi_line: bool = True) -> dict[str, str]:
     """Every report table written as Parquet under ``out_prefix``.
 
     The incidents (cleaned file, else the raw file cleaned on the fly) feed
@@ -352,7 +354,7 @@ def report_job(spark: SparkSession, clean_path: str, raw_path: str, activity_pat
     act = require_columns(read_csv(spark, activity_path), ["playerName"])
     base = out_prefix.rstrip("/")
     out = {}
-    with staged(read_clean_or_raw(spark, clean_path, raw_path), "report_incidents") as inc:
+    with staged(read_clean_or_raw(spark, clean_path, raw_path, multi_line=multi_line), "report_incidents") as inc:
         with staged(report_mixes(inc, act, year), "report_mixes") as mixes:
             for name, df in yearly_report(inc, act, year, mixes=mixes).items():
                 out[name] = f"{base}/{name}"
