@@ -37,6 +37,8 @@ WIDTH = 6
 DISTANCE = 2 * CHUNKS - 1
 #: Members of a key that are compared with as many others at a time.
 BLOCK_ROWS = 512
+#: Shingles that the rows of a bin of blocks have in all, about.
+BIN_SHINGLES = 2_000_000
 #: Bits of the bitmap of documents whose sets are made: 1 MiB, whatever their number.
 BITS = 1 << 23
 _BUCKET = 1 << 15
@@ -44,7 +46,6 @@ _BUCKET = 1 << 15
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 #: Odd multipliers, one for each component, from their numbers.
 _HASHES = np.array([xxhash.xxh64_intdigest(b"component %d" % i) | 1 for i in range(CHUNKS * WIDTH)], "uint64")
-_TASK = "key bigint, main int, other int"
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -185,40 +186,59 @@ def _star_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, percent:
             .where(_confirmed(percent)("sa", "sb")).select("a", "b"))
 
 
+def _pairs_of(size: np.ndarray, group: np.ndarray, small: int = 64):
+    """Places (i, j), i < j, of rows of one group, some at a time; ``group`` is sorted, ``size`` its groups' sizes.
+    Small groups are paired side by side, all of one offset at once, large ones row by row."""
+    of = size[group]
+    few = np.flatnonzero(of <= small)
+    for d in range(1, int(of[few].max(initial=1))):
+        i = few[:-d][group[few[:-d]] == group[few[d:]]] if len(few) > d else few[:0]
+        if not len(i):
+            break
+        yield i, i + d
+    for g in np.flatnonzero(size > small):
+        own = np.flatnonzero(group == g)
+        for n, i in enumerate(own[:-1]):
+            yield np.full(len(own) - n - 1, i), own[n + 1:]
+
+
 def _compared(percent: int):
-    """Pairs of one block of a key: members of different components within the distance whose first shared key this is."""
-
-    def of_block(rows: pa.Table) -> pa.Table:
-        key, main, other = (rows[c][0].as_py() for c in ("key", "main", "other"))
-        order = np.argsort(rows["node"].to_numpy())  # the same pairs however the rows come
-        rows = rows.take(pa.array(order))
-        node, root, size, side = (rows[c].to_numpy() for c in ("node", "root", "n_shingles", "side"))
-        signed = _signatures(rows["signature"])
-        keys = None
+    """The pairs to confirm of a bin of blocks: members of different components within the distance, each pair under
+    the first key that it shares."""
+
+    def of_bin(rows: pa.Table) -> pa.Table:
+        columns = {c: rows[c].to_numpy() for c in ("key", "main", "other", "side", "node", "root", "n_shingles")}
+        order = np.lexsort([columns[c] for c in ("node", "other", "main", "key")])
+        key, main, other, side, node, root, n = (columns[c][order] for c in ("key", "main", "other", "side", "node", "root", "n_shingles"))
+        signed = _signatures(rows["signature"])[order]
+        change = np.r_[True, (key[1:] != key[:-1]) | (main[1:] != main[:-1]) | (other[1:] != other[:-1])]
+        group = np.cumsum(change) - 1
         xs, ys = [], []
-        left = np.flatnonzero(side == main)
-        right = np.flatnonzero(side == other)
-        for i in left:
-            js = right[node[right] > node[i]] if main == other else right
-            js = js[(root[js] != root[i]) & (100 * np.minimum(size[js], size[i]) >= percent * np.maximum(size[js], size[i]))]
-            js = js[(signed[js] != signed[i]).sum(axis=1) <= DISTANCE]
-            if len(js):
-                keys = _keys(signed) if keys is None else keys
-                js = js[keys[i][(keys[js] == keys[i]).argmax(axis=1)] == key]
-                xs.append(np.full(len(js), node[i]))
-                ys.append(node[js])
+        for i, j in _pairs_of(np.bincount(group), group):
+            ok = ((side[i] != side[j]) | (main[i] == other[i])) & (root[i] != root[j])
+            ok &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+            i, j = i[ok], j[ok]
+            for at in range(0, len(i), 1 << 14):
+                p, q = i[at:at + (1 << 14)], j[at:at + (1 << 14)]
+                near = (signed[p] != signed[q]).sum(axis=1) <= DISTANCE
+                p, q = p[near], q[near]
+                if len(p):
+                    a, b = _keys(signed[p]), _keys(signed[q])
+                    first = a[np.arange(len(p)), (a == b).argmax(axis=1)] == key[p]
+                    xs.append(node[p[first]])
+                    ys.append(node[q[first]])
         x, y = (np.concatenate(v) if v else np.zeros(0, "int64") for v in (xs, ys))
-        n = int(len(x) > 0)
-        return pa.table({"key": pa.array([key] * n, pa.int64()), "main": pa.array([main] * n, pa.int32()), "other": pa.array([other] * n, pa.int32()),
-                         "x": pa.array([x] * n, pa.list_(pa.int64())), "y": pa.array([y] * n, pa.list_(pa.int64()))})
+        some = int(len(x) > 0)
+        return pa.table({"bin": pa.array([rows["bin"][0].as_py()] * some, pa.int64()),
+                         "x": pa.array([x] * some, pa.list_(pa.int64())), "y": pa.array([y] * some, pa.list_(pa.int64()))})
 
-    return of_block
+    return of_bin
 
 
 def _linked(percent: int):
-    """Links among the pairs of a block, held against the full sets; pairs that links connect already are not."""
+    """Links among the pairs of a bin, held against the full sets; pairs that links connect already are not."""
 
-    def of_block(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+    def of_bin(pairs: pa.Table, sets: pa.Table) -> pa.Table:
         names = {n: np.frombuffer(s.as_buffer(), "uint64") for n, s in zip(sets["node"].to_pylist(), sets["names"].combine_chunks())}
         root = {n: n for n in names}
 
@@ -228,23 +248,24 @@ def _linked(percent: int):
             return n
 
         links = []
-        for p in pairs.to_pylist():
-            for x, y in zip(p["x"], p["y"]):
+        for xs, ys in zip(pairs["x"], pairs["y"]):
+            for x, y in zip(xs.values.to_numpy().tolist(), ys.values.to_numpy().tolist()):
                 a, b = find(x), find(y)
                 if a != b and _similar(names[x], names[y], percent):
                     root[max(a, b)] = min(a, b)
                     links.append((x, y))
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    return of_block
+    return of_bin
 
 
 def _cross_links(members: DataFrame, rooted: DataFrame, sets: DataFrame, percent: int, block_rows: int) -> DataFrame:
     """a, b: confirmed links between nodes of different components (``rooted``: node, root, signature, n_shingles).
 
     Under each key the component with most members is the main one; its blocks meet the blocks of the others, and those
-    each other. So members that are connected already cost no comparison among themselves."""
-    held = members.select("key", "node").join(rooted.select("node", "root"), "node")
+    each other. So members that are connected already cost no comparison among themselves. Small blocks are dealt by
+    hash into bins, as many as keep the sets of a bin's rows at ``BIN_SHINGLES``."""
+    held = members.select("key", "node").join(rooted.select("node", "root", "n_shingles"), "node")
     sizes = held.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = (sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("m"), F.sum("n").alias("all"))
              .where("m.n < all").select("key", F.col("m.root").alias("main_root"),
@@ -258,13 +279,14 @@ def _cross_links(members: DataFrame, rooted: DataFrame, sets: DataFrame, percent
     others = F.sequence(F.lit(0), F.col("others") - 1)
     with_others = F.transform(others, lambda o: F.struct(F.least(F.col("side"), o).alias("main"), F.greatest(F.col("side"), o).alias("other")))
     with_mains = F.transform(F.sequence(F.lit(1), F.col("mains")), lambda m: F.struct((-m).alias("main"), F.col("side").alias("other")))
-    rows = (rows.withColumn("t", F.explode(F.when(is_main, with_others).otherwise(F.concat(with_others, with_mains))))
-            .select("key", "t.main", "t.other", "side", "node", "root"))
-    rows = rows.join(rooted.select("node", "signature", "n_shingles"), "node")
-    todo = table(rows.groupBy("key", "main", "other").applyInArrow(_compared(percent), f"{_TASK}, x array<bigint>, y array<bigint>"), "minhash-pairs")
-    needed = todo.select(*[F.col(c).alias(f"_{c}") for c in ("key", "main", "other")], F.explode(F.array_union("x", "y")).alias("node"))
-    return (todo.groupBy("key", "main", "other").cogroup(needed.join(sets, "node").groupBy("_key", "_main", "_other"))
-            .applyInArrow(_linked(percent), "a bigint, b bigint"))
+    rows = table(rows.withColumn("t", F.explode(F.when(is_main, with_others).otherwise(F.concat(with_others, with_mains))))
+                 .select("key", "t.main", "t.other", "side", "node", "root", "n_shingles"), "minhash-blocks")
+    total = rows.agg(F.sum("n_shingles").alias("shingles")).first()["shingles"] or 0
+    at = F.pmod(F.xxhash64("key", "main", "other"), F.lit(total // BIN_SHINGLES + 1))
+    binned = rows.withColumn("bin", at).join(rooted.select("node", "signature"), "node")
+    todo = table(binned.groupBy("bin").applyInArrow(_compared(percent), "bin bigint, x array<bigint>, y array<bigint>"), "minhash-pairs")
+    needed = todo.select(F.col("bin").alias("_bin"), F.explode(F.array_union("x", "y")).alias("node")).join(sets, "node")
+    return todo.groupBy("bin").cogroup(needed.groupBy("_bin")).applyInArrow(_linked(percent), "a bigint, b bigint")
 
 
 def _grouped(docs: DataFrame, shingle_words: int, percent: int, block_rows: int) -> DataFrame:
