@@ -16,7 +16,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import ColumnOrName, _c
@@ -109,6 +109,85 @@ def has_label(text: ColumnOrName, rs: RuleSet, label: str) -> Column:
     return F.exists(F.array(_c(text)), pred)
 
 
+# --------------------------------------------------------------------------- one scan for many rules
+_SPACES = r"\s*"
+
+
+def _atoms(term: str) -> list[str] | None:
+    """A term as plain characters and ``\\s*``; None if it holds other regex syntax."""
+    atoms = re.findall(r"\\s\*|.", term)
+    return atoms if all(a == _SPACES or not re.match(r"[\\.^$|?*+()\[\]{}]", a) for a in atoms) else None
+
+
+def _alternation(terms: Sequence[tuple[str, ...]]) -> str:
+    """A pattern for any of the terms (as atoms), beginnings shared: the longest of several matches."""
+    heads = dict.fromkeys(t[0] for t in terms if t)
+    parts = [(a if a == _SPACES else re.escape(a)) + _alternation([t[1:] for t in terms if t and t[0] == a]) for a in heads]
+    if not parts:
+        return ""
+    return parts[0] if len(parts) == 1 and () not in terms else f"(?:{'|'.join(parts)})" + ("?" if () in terms else "")
+
+
+def _written(term: str) -> str:
+    """How a match of a term is looked up: without white space, which ``\\s*`` may match any amount of."""
+    return re.sub(r"\s", "", term.replace(_SPACES, ""))
+
+
+def one_scan(rulesets: Sequence[RuleSet]) -> tuple[str, list[dict[str, int]]] | None:
+    """One pattern that finds, at every word start, the longest term of any of the word rule tables, and for each
+    table the number of the first rule that such a match (or a shorter term at its start) satisfies. None if
+    a table cannot be scanned this way: other match kinds, or regex syntax beyond ``\\s*``.
+
+    Terms may overlap ("partial tear" holds "tear"), so matches are looked at ahead, without being consumed."""
+    terms = list(dict.fromkeys(t for rs in rulesets for _, ts in rs.rules for t in ts))
+    atoms = [_atoms(t) for t in terms]
+    if any(rs.kind != "word" for rs in rulesets) or not all(atoms) or any(not re.match(r"\w.*\w$|\w$", t, re.S) for t in terms):
+        return None
+    if len({_written(t) for t in terms}) < len(terms):
+        return None  # two terms that differ in white space alone
+    ranks = []
+    for rs in rulesets:
+        rank: dict[str, int] = {}
+        for t in terms:
+            starts = [[i for i, (_, ts) in enumerate(rs.rules) if any(re.match(rf"{x}\b", t.replace(_SPACES, gap)) for x in ts)] for gap in ("", " ")]
+            if starts[0] != starts[1]:
+                return None  # which shorter terms stand at the start depends on the text
+            if starts[0]:
+                rank[_written(t)] = min(starts[0])
+        ranks.append(rank)
+    return rf"\b(?=({_alternation([tuple(a) for a in atoms])})\b)", ranks
+
+
+def with_labels(df: DataFrame, text: ColumnOrName, **columns: RuleSet) -> DataFrame:
+    """``df`` with a label column for each rule table, equal to ``classify(text, table)``, from one scan of the text.
+
+    For long texts and several tables: one regex pass finds the terms that are there, whatever the number of rules;
+    a literal map turns each into its rule's number, and the least number is the label. Tables that ``one_scan``
+    cannot take are classified one by one."""
+    scan = one_scan(list(columns.values()))
+    if scan is None:
+        return df.select("*", *[classify(text, rs).alias(c) for c, rs in columns.items()])
+    pattern, ranks = scan
+    found = "_found"
+    while found in df.columns:
+        found = f"_{found}"
+    df = df.withColumn(found, F.regexp_extract_all(_c(text), F.lit(pattern), F.lit(1)))
+    if any(re.search(r"\s", t.replace(_SPACES, " ")) for rs in columns.values() for _, ts in rs.rules for t in ts):
+        df = df.withColumn(found, F.when(F.size(found) > 0, F.transform(found, lambda m: F.regexp_replace(m, r"\s+", ""))))
+    else:
+        df = df.withColumn(found, F.when(F.size(found) > 0, F.col(found)))
+
+    def label(rs: RuleSet, rank: dict[str, int]) -> Column:
+        numbers = F.create_map(*[F.lit(x) for kv in rank.items() for x in kv])
+        first = F.array_min(F.transform(found, lambda m: F.try_element_at(numbers, m)))
+        labels = F.array(*[F.lit(lab) for lab, _ in rs.rules])
+        return F.when(F.col(found).isNull(), rs.default).otherwise(F.coalesce(F.get(labels, first), F.lit(rs.default)))
+
+    kept = [c for c in df.columns if c != found]
+    return df.select(*[F.col(f"`{c}`") for c in kept],
+                     *[(label(rs, rank) if rank else F.lit(rs.default)).alias(c) for (c, rs), rank in zip(columns.items(), ranks)])
+
+
 # ---------------------------------------------------------------------------
 # The rule tables. Labels, terms and their order must stay
 # exactly as listed; the order is the evaluation order.

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import INCIDENT_DATE_FORMATS, parse_date
 from ..functions.rules import (CATEGORY, INJURY_TYPE, PLAY_TYPE_REPORT, PLAY_TYPE_WINDOW,
                                REGION_ETL, REGION_REPORT, SEVERITY, SEVERITY_ETL, classify,
-                               has_label)
+                               has_label, with_labels)
 from ..functions.text import initial_last, last_token, text_of
 from ..operators.joins import last_name_semi, lookup, pre_incident
 from ..operators.repair import normalize_incidents, table_profile
@@ -232,8 +232,7 @@ _label_query("play_type_report", PLAY_TYPE_REPORT, ["description", "actionType",
 def q_document_labels(spark, sf_dir):
     """Rule classifiers over whole free-text documents (long texts, four languages)."""
     d = _t(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("_t"))
-    return d.select("doc_id", classify("_t", SEVERITY).alias("severity"),
-                    classify("_t", REGION_REPORT).alias("region"))
+    return with_labels(d, "_t", severity=SEVERITY, region=REGION_REPORT).select("doc_id", "severity", "region")
 
 
 # ============================================================== J1 clean + J2 summary (D1 D8 D9 C3 G13 E7; G1 G2 G5 G6 G3 G11)

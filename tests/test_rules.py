@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sideline.functions.rules import (CATEGORY, INJURY_TYPE, PLAY_TYPE_REPORT, PLAY_TYPE_WINDOW,
                                       REGION_ETL, REGION_REPORT, RULESETS, SEVERITY, SEVERITY_ETL,
-                                      classify)
+                                      RuleSet, classify, one_scan, with_labels)
 from sideline.functions.text import text_of
 
 # Golden labels (hand-derived from the rule tables).
@@ -108,7 +108,7 @@ def test_classifier_is_native(spark, rs):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.lists(st.sampled_from(VOCAB), max_size=8).map(" ".join)), min_size=1, max_size=10),
        st.sampled_from(sorted(RULESETS)))
 def test_has_label_equals_classify(spark, texts, rs_name):
@@ -119,3 +119,46 @@ def test_has_label_equals_classify(spark, texts, rs_name):
         got = sorted(r.i for r in df.filter(has_label("t", rs, label)).collect())
         want = sorted(i for i, t in enumerate(texts) if python_first_match(t, rs) == label)
         assert got == want, label
+
+
+WORD_TABLES = [rs for rs in RULESETS.values() if rs.kind == "word"]
+PIECES = [t.replace(r"\s*", gap) for rs in WORD_TABLES for _, ts in rs.rules for t in ts for gap in ("", " ", "\n\t ")] + [
+    " ", "  ", ", ", "-", "_", ".", "\n", "é", "ear", "s", "2", "\u0301", " \u0301", "ß", "\u00a0", "\u201c", "grade", "partial", "頭", "cuff", "rotator  cuff", "ACL"]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=12).map("".join), min_size=1, max_size=40))
+def test_one_scan_equals_rule_by_rule(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, t string")
+    tables = {rs.name: rs for rs in WORD_TABLES}
+    got = with_labels(df, "t", **tables).orderBy("i").collect()
+    want = df.select("i", *[classify("t", rs).alias(n) for n, rs in tables.items()]).orderBy("i").collect()
+    assert [[r[n] for n in tables] for r in got] == [[r[n] for n in tables] for r in want]
+
+
+def test_one_scan_golden_and_plan(spark):
+    df = spark.createDataFrame([(i, g[0], g[1]) for i, g in enumerate(INJURY_GOLDEN)], "_found int, Notes string, Injury_Type string")
+    out = with_labels(df, text_of("Injury_Type", "Notes"), a=SEVERITY_ETL, b=SEVERITY, c=REGION_ETL, d=REGION_REPORT, e=CATEGORY)
+    assert out.columns == ["_found", "Notes", "Injury_Type", "a", "b", "c", "d", "e"]
+    assert [tuple(r)[3:] for r in out.orderBy("_found").collect()] == [(g[2], g[3], g[5], g[6], g[7]) for g in INJURY_GOLDEN]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and "RLIKE" not in plan
+
+
+def test_overlapping_terms(spark):
+    rs = RuleSet("r", (("A", ("left knee pain", "c")), ("B", ("knee",)), ("C", ("left", "pain")), ("D", ("knee pain",))), "none")
+    texts = ["left knee", "left knee pain", "left knees pain", "knee pain", "left  knee pain", "painleft", "knee_pain", "left-knee-pain", "abc c"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.x for r in with_labels(df, "t", x=rs).orderBy("i").collect()]
+    assert got == [r.x for r in df.select("i", classify("t", rs).alias("x")).orderBy("i").collect()]
+    assert one_scan([rs]) is not None
+
+
+def test_tables_that_one_scan_cannot_take(spark):
+    for rules in ((("A", (r"gr[ae]y",)),), (("A", (r"grade\s*2",)), ("B", ("grade",))), (("A", ("a b",)), ("B", ("ab",))), (("A", ("c++",)),)):
+        rs = RuleSet("r", rules, "none")
+        assert one_scan([rs]) is None
+        if rules[0][1][0] != "c++":
+            df = spark.createDataFrame([("grey grade 2 ab",)], "t string")
+            assert with_labels(df, "t", x=rs).first().x == df.select(classify("t", rs).alias("x")).first().x
+    assert one_scan([INJURY_TYPE]) is None
