@@ -249,6 +249,31 @@ SELECT r2.doc_id, r2.size::BIGINT AS size, r2.crc::BIGINT AS text_crc32, 'bytes'
        (started.first + row_number() OVER (PARTITION BY r2.rng, r2.by_key, r2.by_doc ORDER BY r2.key, r2.doc_id NULLS FIRST, r2.size, r2.crc) - 1)::BIGINT AS slot,
        CAST(NULL AS INTEGER) AS grown_shard
 FROM r2 JOIN started USING (rng, by_key, by_doc)
+""",
+    # all pairs that share a shingle, and what links reach
+    "op11_minhash": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, unnest(list_distinct(list_transform(range(1, greatest(len(w) - 1, 2)), lambda i: array_to_string(w[i:i + 2], ' ')))) AS shingle
+  FROM w WHERE len(w) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s AS a JOIN s AS b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL
+), e AS (
+  SELECT a, b FROM p JOIN n AS na ON na.doc_id = a JOIN n AS nb ON nb.doc_id = b WHERE 100 * shared >= 85 * (na.n + nb.n - shared)
+), g AS (
+  SELECT a, b FROM e UNION ALL SELECT b, a FROM e
+), r AS (
+  SELECT doc_id AS root, doc_id FROM documents
+  UNION
+  SELECT r.root, g.b FROM r JOIN g ON g.a = r.doc_id
+), c AS (
+  SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)
 """,
     # every prefix of every conversation spelled out; CRC-32 by bits
     "op12_prefix_trie": """

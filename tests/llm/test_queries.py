@@ -24,6 +24,7 @@ COLUMNS = {
     "op8_shard": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
     "op9_fingerprints": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
                         "near_edited double, near_next double",
+    "op11_minhash": "doc_id bigint, n_shingles bigint, component_id bigint, kept boolean",
     "op10_token_counts": "doc_id bigint, section int, start bigint, end bigint, n_tokens bigint, n_crossing bigint, doc_tokens bigint",
 }
 
@@ -54,6 +55,14 @@ def test_columns_and_one_row_per_document(results, docs, name):
     assert sorted(ids) == [r.doc_id for r in docs]
 
 
+@pytest.mark.parametrize("name,columns", [
+    ("op12_prefix_trie", "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, "
+                         "saved_tokens bigint, ends_sha256 string"),
+    ("op13_lexical", "item_id bigint, rank int, doc_id bigint, score bigint")])
+def test_columns_of_nodes_and_ranks(results, name, columns):
+    assert results(name)[0] == columns and results(name)[1]
+
+
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
