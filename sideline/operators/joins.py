@@ -10,12 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import last_token
 from .stats import closed, dedup_first, stack_label_sums
 
+#: Days up to which a window is counted by one row per incident and day.
+LONG_WINDOW = 14
+
 
 def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
@@ -174,6 +177,25 @@ def _window_cover(incidents: DataFrame, keys: list[str], incident_date: str, day
             .groupBy(*keys, F.col("_win_day").alias("_day")).agg(F.count(F.lit(1)).alias("_m")))
 
 
+def _covered(day_counts: DataFrame, incidents: DataFrame, keys: list[str], incident_date: str, days: int) -> DataFrame:
+    """``day_counts`` with ``_m``, how many incidents' windows cover the day (0: none), from two rows per
+    incident whatever the length of the window.
+
+    A window [d-days, d-1] covers a day if it ends on that day or later and does not end before it begins: so
+    ``_m`` is the sum, over the same and later days of the person, of +1 where a window ends and -1 on the day before one
+    begins. Activity days and these edges, both aggregated before they move, are sorted once per person; a
+    person has at most as many rows as there are days (and labels).
+    """
+    inc = incidents.select(*keys, F.to_date(incident_date).alias("_inc_day"))
+    edge = lambda before, w: F.struct(F.date_sub("_inc_day", before).alias("_day"), F.lit(w).cast("long").alias("_w"))
+    edges = (inc.na.drop().select(*keys, F.explode(F.array(edge(1, 1), edge(days + 1, -1))).alias("_e"))
+                .groupBy(*keys, F.col("_e._day").alias("_day")).agg(F.sum("_e._w").alias("_w")))
+    both = day_counts.withColumn("_is_day", F.lit(True)).unionByName(edges, allowMissingColumns=True)
+    later = Window.partitionBy(*keys).orderBy(F.col("_day").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return (both.na.drop(subset=keys + ["_day"]).withColumn("_m", F.coalesce(F.sum("_w").over(later), F.lit(0)).cast("long"))
+                .filter("_is_day").drop("_w", "_is_day"))
+
+
 def _label_totals(df: DataFrame, by: str, labels: Sequence[str] | None, count_col: str,
                   weight: str | None = None, share_col: str | None = None) -> DataFrame:
     """Per-label totals of day counts (optionally weighted by a cover count). With a
@@ -196,7 +218,9 @@ def pre_incident_counts(activity: DataFrame, incidents: DataFrame, on: str | Seq
     count(by) over pairs = sum over (key, day) of
     [activity rows with that label on that day] x [incidents whose window covers that day].
     Both sides are pre-aggregated (map-side partial aggregation) before the
-    shuffle, so the join sees at most one row per (key, day[, label]).
+    shuffle, so the join sees at most one row per (key, day[, label]). Windows of more than
+    ``LONG_WINDOW`` days are not written out by day: their edges are summed (``_covered``), so no
+    row count grows with ``days``.
 
     With ``labels`` (the closed label set of a rule table) the activity side is
     aggregated by (key, day) with one count per label: its hash partitioning
@@ -209,9 +233,11 @@ def pre_incident_counts(activity: DataFrame, incidents: DataFrame, on: str | Seq
         return activity.select(by).limit(0).withColumn(count_col, F.lit(0).cast("long"))
     labels = list(dict.fromkeys(labels)) if labels is not None else None
     day_counts = _day_counts(activity, keys, activity_date, by, labels)
-    cover = _window_cover(incidents, keys, incident_date, days)
-    return _label_totals(day_counts.join(cover, [*keys, "_day"], "inner"), by, labels, count_col, "_m",
-                         share_col if labels is not None else None)
+    if days > LONG_WINDOW:
+        pairs = _covered(semi(day_counts, incidents, keys), incidents, keys, incident_date, days).filter("_m > 0")
+    else:
+        pairs = day_counts.join(_window_cover(incidents, keys, incident_date, days), [*keys, "_day"], "inner")
+    return _label_totals(pairs, by, labels, count_col, "_m", share_col if labels is not None else None)
 
 
 def overall_and_window_counts(activity: DataFrame, incidents: DataFrame, on: str | Sequence[str],
@@ -227,6 +253,8 @@ def overall_and_window_counts(activity: DataFrame, incidents: DataFrame, on: str
     day_counts = semi(_day_counts(activity, keys, activity_date, by, None), incidents, keys)
     if days < 1:
         return day_counts.withColumn("_m", F.lit(0).cast("long"))
+    if days > LONG_WINDOW:
+        return _covered(day_counts, incidents, keys, incident_date, days)
     cover = _window_cover(incidents, keys, incident_date, days)
     return (day_counts.join(cover, [*keys, "_day"], "left")
             .withColumn("_m", F.coalesce("_m", F.lit(0).cast("long"))))

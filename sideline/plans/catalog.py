@@ -109,6 +109,22 @@ def q_pre_vs_all_delta(spark, sf_dir):
     return jobs.window_vs_overall(inc, act, "user_id", "incident_date", "activity_date", "event_type", DAYS)
 
 
+_EV_YEAR = tuple(c.replace(f"i.incident_date - {DAYS}", "i.incident_date - 365") for c in _EV_CTES)
+
+
+@register("pre_incident_share_365d", _with(*_EV_YEAR) + f"SELECT event_type, n, share, {sql_pct('share')} AS pct FROM ws")
+def q_pre_incident_share_365d(spark, sf_dir):
+    """A window of a year, counted from its edges."""
+    inc, act = _events_sides(spark, sf_dir)
+    return jobs.window_profile(inc, act, "user_id", "incident_date", "activity_date", "event_type", 365)
+
+
+@register("pre_vs_all_delta_365d", SQL["pre_vs_all_delta"].replace(f"i.incident_date - {DAYS}", "i.incident_date - 365"))
+def q_pre_vs_all_delta_365d(spark, sf_dir):
+    inc, act = _events_sides(spark, sf_dir)
+    return jobs.window_vs_overall(inc, act, "user_id", "incident_date", "activity_date", "event_type", 365)
+
+
 LONG_DAYS, LONG_BUCKET = 30, 7
 
 
@@ -195,6 +211,13 @@ def q_season_vs_window(spark, sf_dir):
     return jobs.season_vs_window(inc, act, DAYS)
 
 
+@register("season_vs_window_365d", SQL["season_vs_window"].replace(f"- {DAYS}", "- 365"))
+def q_season_vs_window_365d(spark, sf_dir):
+    """Closed labels over a window of a year, counted from its edges."""
+    inc, act = _j5_inputs(spark, sf_dir)
+    return jobs.season_vs_window(inc, act, 365)
+
+
 # ============================================================== rule classifiers
 def _label_query(name, rs, text_cols, source="inc"):
     if source == "inc":

@@ -245,3 +245,38 @@ def test_closed_label_shares_equal_share(spark):
     assert got == want
     empty = spark.createDataFrame([], "c string")
     assert closed_label_shares(empty, "c", ["a"]).count() == 0
+
+
+ROW = st.tuples(st.sampled_from(["p", "q", "r", None]), st.one_of(st.none(), st.integers(0, 60)))
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(ROW, st.sampled_from(["x", "y", None])), max_size=25), st.lists(ROW, max_size=12), st.sampled_from([1, 5, 15, 40]))
+def test_windows_from_their_edges_equal_days_written_out(spark, activity, incidents, days):
+    from sideline.operators import joins as J
+    day = lambda n: None if n is None else dt.date(2018, 1, 1) + dt.timedelta(n)
+    a = spark.createDataFrame([(p, day(n), lab) for (p, n), lab in activity], "pid string, a_day date, label string")
+    i = spark.createDataFrame([(p, day(n)) for p, n in incidents], "pid string, i_day date")
+    found = {}
+    short = J.LONG_WINDOW
+    for form, limit in (("edges", 0), ("days", 1000)):
+        J.LONG_WINDOW = limit
+        try:
+            found[form] = (sorted((r.label, r.n) for r in pre_incident_counts(a, i, "pid", "a_day", "i_day", "label", days).collect()),
+                           sorted((r.label, r.n) for r in pre_incident_counts(a, i, "pid", "a_day", "i_day", "label", days, labels=["x", "y"]).collect()),
+                           sorted(tuple(r) for r in J.overall_and_window_counts(a, i, "pid", "a_day", "i_day", "label", days)
+                                  .na.drop().select("pid", "_day", "label", "_n", "_m").collect()))
+        finally:
+            J.LONG_WINDOW = short
+    assert found["edges"] == found["days"]
+
+
+def test_long_windows_do_not_write_out_days(spark):
+    a = spark.createDataFrame([("p", dt.date(2018, 1, 1), "x")], "pid string, a_day date, label string")
+    i = spark.createDataFrame([("p", dt.date(2018, 6, 1))], "pid string, i_day date")
+    plans = {}
+    for days in (7, 90, 365):
+        df = pre_incident_counts(a, i, "pid", "a_day", "i_day", "label", days)
+        plans[days] = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" in plans[7] and "sequence(" not in plans[90]
+    assert pre_incident_counts(a, i, "pid", "a_day", "i_day", "label", 365).first().n == 1
