@@ -15,6 +15,7 @@ from ..functions.dates import date_key
 from ..functions.keys import hash_key, sha256_hex
 from ..functions.rules import CATEGORY, REGION_ETL, SEVERITY_ETL, classify
 from ..functions.text import text_of
+from .onepass import members, members_of
 
 # Defaults of the injury dimension attributes.
 INJURY_DEFAULTS = {"injury_category": "OTHER", "injury_region": "OTHER", "injury_severity": "UNKNOWN"}
@@ -88,13 +89,25 @@ def fact_injury(df: DataFrame) -> DataFrame:
     return keyed.select(_fact_key().alias("fact_injury_key"), *FACT_COLUMNS[1:])
 
 
-def build_star(classified: DataFrame, year: int = 2018) -> dict[str, DataFrame]:
-    """The five star-schema tables for one year; the fact carries a literal Year."""
+# Columns and types of the members of each dimension.
+DIM_MEMBERS = {"dim_player": {"Player_Name": "string"}, "dim_team": {"Team": "string"},
+               "dim_injury": dict.fromkeys(INJURY_DEFAULTS, "string"), "dim_date": {"Date": "date"}}
+
+
+def star_members(classified: DataFrame, year: int = 2018) -> DataFrame:
+    """The distinct members of all four dimensions, from one pass over the year's rows (``onepass.members``)."""
+    return members(star_input(classified, year), {t: list(cols) for t, cols in DIM_MEMBERS.items()})
+
+
+def build_star(classified: DataFrame, year: int = 2018, found: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The five star-schema tables for one year; the fact carries a literal Year. ``found``: the kept result
+    of ``star_members``, which the dimensions are then made from; without it each reads ``classified``."""
     df = star_input(classified, year)
+    of = lambda t: df if found is None else members_of(found, t, DIM_MEMBERS[t])
     return {
-        "dim_player": dim_player(df),
-        "dim_team": dim_team(df),
-        "dim_injury": dim_injury(df),
-        "dim_date": dim_date(df),
+        "dim_player": dim_player(of("dim_player")),
+        "dim_team": dim_team(of("dim_team")),
+        "dim_injury": dim_injury(of("dim_injury")),
+        "dim_date": dim_date(of("dim_date")),
         "fact_injury": fact_injury(df).withColumn("Year", F.lit(year).cast("int")),
     }

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .onepass import TABLE, VALUE, can_tag, frequencies
+
 _FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
@@ -27,7 +29,14 @@ def freq(df: DataFrame, col: str, dropna: bool = True, order: str = "count",
     ``order='key'`` sorts by label asc.
     """
     src = df.filter(F.col(col).isNotNull()) if dropna else df
-    out = src.groupBy(col).agg(F.count(F.lit(1)).alias(count_col))
+    return ordered_freq(src.groupBy(col).agg(F.count(F.lit(1)).alias(count_col)), col, dropna, order, limit, count_col)
+
+
+def ordered_freq(out: DataFrame, col: str, dropna: bool = True, order: str | None = "count",
+                 limit: int | None = None, count_col: str = "n") -> DataFrame:
+    """A frequency table in the order of ``freq``."""
+    if dropna:
+        out = out.filter(F.col(col).isNotNull())
     if order == "count":
         out = out.orderBy(F.col(count_col).desc(), F.col(col).asc_nulls_first())
     elif order == "key":
@@ -189,9 +198,22 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | No
 
 
 def count_summary(df: DataFrame, distinct_cols: Sequence[str]) -> DataFrame:
-    """One row: rows, and the exact distinct count (NULLs excluded) of each column."""
-    return df.agg(F.count(F.lit(1)).alias("rows"),
-                  *[F.countDistinct(c).alias(f"unique_{c.lower()}") for c in distinct_cols])
+    """One row: rows, and the exact distinct count (NULLs excluded) of each column.
+
+    Counted in two levels, by (column, value) and then by column (``onepass.frequencies``), so that no row is copied
+    for each counted column; columns of other than plain types are counted by Spark's own distinct aggregate.
+    """
+    if not distinct_cols or not all(can_tag(df.schema[c].dataType) for c in distinct_cols):
+        return df.agg(F.count(F.lit(1)).alias("rows"),
+                      *[F.countDistinct(c).alias(f"unique_{c.lower()}") for c in distinct_cols])
+    return summary_of(frequencies(df, {c: (c, None) for c in distinct_cols}), distinct_cols)
+
+
+def summary_of(freqs: DataFrame, distinct_cols: Sequence[str]) -> DataFrame:
+    """``count_summary`` from the frequencies of the columns."""
+    rows = F.coalesce(F.sum(F.when(F.col(TABLE) == distinct_cols[0], F.col("n"))), F.lit(0)).cast("long")
+    return freqs.agg(rows.alias("rows"), *[F.count_if((F.col(TABLE) == c) & F.col(VALUE).isNotNull()).alias(f"unique_{c.lower()}")
+                                           for c in distinct_cols])
 
 
 def sorted_distinct(df: DataFrame, col: str) -> DataFrame:

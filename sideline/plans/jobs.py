@@ -16,14 +16,15 @@ from pyspark.sql import types as T
 from ..functions.dates import INCIDENT_DATE_FORMATS, between_dates, parse_date
 from ..functions.rules import (INJURY_TYPE, PLAY_TYPE_REPORT, PLAY_TYPE_WINDOW, REGION_REPORT,
                                SEVERITY, classify, has_label)
-from ..functions.text import initial_last, text_of, title_text, to_number_or_null
+from ..functions.text import initial_last, last_token, text_of, title_text, to_number_or_null
 from ..operators.joins import (last_names, lookup, overall_and_window_counts, pre_incident,
                                pre_incident_counts, restrict_to)
 from ..operators.repair import (derive_if_missing, drop_if_present, ensure_columns, in_year,
                                 normalize_incidents, rename_if)
-from ..operators.star import build_star, classify_incidents
-from ..operators.stats import (as_percent, by_month, closed_label_mixes, count_summary, dedup_first, freq, preview, share_of_counts,
-                               sorted_distinct, with_delta)
+from ..operators.onepass import counts_of, frequencies
+from ..operators.star import build_star, classify_incidents, star_members
+from ..operators.stats import (as_percent, by_month, closed_label_mixes, count_summary, dedup_first, freq, ordered_freq, preview,
+                               share_of_counts, sorted_distinct, summary_of, with_delta)
 from ..session import staged
 from ..sources.readers import read_clean_or_raw, read_csv, read_items, read_parquet, require_columns
 from ..sources.sinks import StarPaths, write_csv, write_parquet
@@ -66,16 +67,32 @@ def clean_incidents(raw: DataFrame, null_text: str | None = None,
     return derive_if_missing(df, "Injury_Type", classify(F.lower("Notes"), INJURY_TYPE))
 
 
-def clean_summary(clean: DataFrame, k: int = 10) -> dict[str, DataFrame]:
-    """Post-clean sanity tables."""
-    return {
+def summary_frequencies(clean: DataFrame) -> DataFrame:
+    """All counts of the sanity tables from one pass (``onepass.frequencies``)."""
+    return frequencies(clean, {c: (c, None) for c in ("Player_Name", "Team", "Year", "Injury_Type")})
+
+
+def clean_summary(clean: DataFrame, k: int = 10, counts: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Post-clean sanity tables. ``counts``: the kept result of ``summary_frequencies``, of which all but the preview
+    are then made; without it each table reads ``clean``."""
+    out = {"preview": preview(clean, 5, ["Player_Name", "Date"])}
+    if counts is not None:
+        of = lambda c, **kw: ordered_freq(counts_of(counts, c, c, clean.schema[c].dataType.simpleString()), c, **kw)
+        return out | {
+            "counts": summary_of(counts, ["Player_Name", "Team"]),
+            "years": of("Year", dropna=False, order="key").select("Year"),
+            "top_players": of("Player_Name", limit=k),
+            "top_teams": of("Team", limit=k),
+            "per_year": of("Year", order="key"),
+            "injury_types": of("Injury_Type"),
+        }
+    return out | {
         "counts": count_summary(clean, ["Player_Name", "Team"]),
         "years": sorted_distinct(clean, "Year"),
         "top_players": freq(clean, "Player_Name", limit=k),
         "top_teams": freq(clean, "Team", limit=k),
         "per_year": freq(clean, "Year", order="key"),
         "injury_types": freq(clean, "Injury_Type"),
-        "preview": preview(clean, 5, ["Player_Name", "Date"]),
     }
 
 
@@ -87,12 +104,13 @@ def clean_job(spark: SparkSession, raw_path: str, out_path: str, multi_line: boo
 
 def clean_summary_job(spark: SparkSession, clean_path: str, out_prefix: str, k: int = 10,
                       multi_line: bool = True) -> dict[str, str]:
-    """J2 over a cleaned incident file: every summary table written as Parquet."""
+    """J2 over a cleaned incident file: every summary table written as Parquet. The file is parsed once for all counts
+    and once for the preview."""
     clean = read_csv(spark, clean_path, multi_line=multi_line)
     base = out_prefix.rstrip("/")
     out = {}
-    with staged(clean, "summary_input") as inc:
-        for name, df in clean_summary(inc, k).items():
+    with staged(summary_frequencies(clean), "summary_counts") as counts:  # a row per distinct value
+        for name, df in clean_summary(clean, k, counts).items():
             out[name] = f"{base}/{name}"
             write_parquet(df, out[name])
     return out
@@ -107,16 +125,16 @@ def star_tables(raw: DataFrame, year: int = 2018) -> dict[str, DataFrame]:
 def star_job(spark: SparkSession, raw_path: str, prefix: str, year: int = 2018, multi_line: bool = True) -> StarPaths:
     """Read raw incident CSV(s) as text, build and write the star schema.
 
-    The classified input feeds five sinks, so it is written once to the shared
-    checkpoint folder and re-read (columns pruned per sink) instead of
-    re-parsing and re-classifying the CSV five times.
+    The classified input is written once to the shared checkpoint folder and read twice: for the
+    members of all dimensions, which are then written from that small table, and for the fact.
     """
     raw = read_csv(spark, raw_path, multi_line=multi_line)
     paths = StarPaths(prefix)
     with staged(classify_incidents(normalize_incidents(raw)), "star_input") as classified:
-        tables = build_star(classified, year)
-        for name in ("dim_player", "dim_team", "dim_injury", "dim_date"):
-            write_parquet(tables[name], paths[name])
+        with staged(star_members(classified, year), "star_members") as found:  # a row per distinct member
+            tables = build_star(classified, year, found)
+            for name in ("dim_player", "dim_team", "dim_injury", "dim_date"):
+                write_parquet(tables[name], paths[name])
         write_parquet(tables["fact_injury"], paths.fact_injury, partitions=["Team", "Year"])
     return paths
 
@@ -289,39 +307,67 @@ def year_incidents(incidents: DataFrame, year: int = 2018) -> DataFrame:
     return inc.withColumn("region", classify(text_of("Injury_Type", "Notes"), REGION_REPORT))
 
 
-def report_mixes(incidents: DataFrame, activity: DataFrame, year: int = 2018) -> DataFrame:
+def report_frequencies(incidents: DataFrame, year: int = 2018) -> DataFrame:
+    """What the report tables count, and the last names of the severe group, from one pass over the incidents
+    (``onepass.frequencies``)."""
+    inc = year_incidents(incidents, year)
+    severe = F.col("severity") == "HIGH"
+    named = severe & F.col("Player_Name").isNotNull() & (F.col("Player_Name") != "")
+    tables = {"severity": ("severity", None), "top_regions": ("region", None), "severe_by_region": ("region", severe),
+              "severe_by_month": (F.trunc(F.col("Date"), "month"), severe), "severe_last_names": (last_token("Player_Name"), named)}
+    if "Team" in inc.columns:
+        tables["severe_by_team"] = ("Team", severe)
+    return frequencies(inc, tables)
+
+
+def report_mixes(incidents: DataFrame, activity: DataFrame, year: int = 2018, counts: DataFrame | None = None) -> DataFrame:
     """play_type, n_league, share_league, n_group, share_group: the play mix of everyone, and of players whose
     last name is that of a player with a severe incident, in one pass over activity.
 
     Activity is counted per (player, play type); the distinct last names are joined to those counts
-    as a flag, and one aggregate row holds both mixes.
+    as a flag, and one aggregate row holds both mixes. ``counts``: the kept result of ``report_frequencies``, which
+    has the last names.
     """
     require_columns(activity, ["playerName"])
-    severe = year_incidents(incidents, year).filter(F.col("severity") == "HIGH")
     act = ensure_columns(activity, ["description", "actionType", "subType"])
     ev = (act.filter(F.col("playerName").isNotNull())
              .withColumn("play_type", classify(text_of("description", "actionType", "subType"), PLAY_TYPE_REPORT)))
     per_player = ev.groupBy("playerName", "play_type").agg(F.count(F.lit(1)).alias("_n"))
-    names = last_names(severe, "Player_Name").select(F.col("_last").alias("playerName"), F.lit(True).alias("_severe"))
+    if counts is None:
+        last = last_names(year_incidents(incidents, year).filter(F.col("severity") == "HIGH"), "Player_Name")
+    else:
+        last = counts_of(counts, "severe_last_names", "_last")
+    names = last.select(F.col("_last").alias("playerName"), F.lit(True).alias("_severe"))
     return closed_label_mixes(per_player.join(names, "playerName", "left"), "play_type", PLAY_TYPE_REPORT.labels,
                               {"league": F.col("_n"), "group": F.when(F.col("_severe"), F.col("_n"))})
 
 
 def yearly_report(incidents: DataFrame, activity: DataFrame, year: int = 2018, k: int = 10,
-                  mixes: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Severity / region report for one year and league vs severe-group play mix. ``mixes``: the kept result
-    of ``report_mixes``; without it each of the three mix tables reads the activity when it is used."""
-    inc = year_incidents(incidents, year)
-    severe = inc.filter(F.col("severity") == "HIGH")
-    out = {
-        "severity": freq(inc, "severity", dropna=False),
-        "top_regions": freq(inc, "region", limit=k),
-        "severe_by_region": freq(severe, "region"),
-        "severe_by_month": by_month(severe, "Date"),
-    }
-    if "Team" in severe.columns:
-        out["severe_by_team"] = freq(severe, "Team", limit=k)
-    mixes = report_mixes(incidents, activity, year) if mixes is None else mixes
+                  mixes: DataFrame | None = None, counts: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Severity / region report for one year and league vs severe-group play mix. ``mixes`` and ``counts``: the kept
+    results of ``report_mixes`` and ``report_frequencies``; without them each table reads what it needs when it is used."""
+    if counts is not None:
+        of = lambda t, col, **kw: ordered_freq(counts_of(counts, t, col), col, **kw)
+        out = {
+            "severity": of("severity", "severity", dropna=False),
+            "top_regions": of("top_regions", "region", limit=k),
+            "severe_by_region": of("severe_by_region", "region"),
+            "severe_by_month": ordered_freq(counts_of(counts, "severe_by_month", "month", "date"), "month", order="key"),
+        }
+        if "Team" in incidents.columns:
+            out["severe_by_team"] = of("severe_by_team", "Team", limit=k)
+    else:
+        inc = year_incidents(incidents, year)
+        severe = inc.filter(F.col("severity") == "HIGH")
+        out = {
+            "severity": freq(inc, "severity", dropna=False),
+            "top_regions": freq(inc, "region", limit=k),
+            "severe_by_region": freq(severe, "region"),
+            "severe_by_month": by_month(severe, "Date"),
+        }
+        if "Team" in severe.columns:
+            out["severe_by_team"] = freq(severe, "Team", limit=k)
+    mixes = report_mixes(incidents, activity, year, counts) if mixes is None else mixes
     out["league"] = mixes_profile(mixes, "play_type", "league").drop("pct")
     out["severe_group"] = mixes_profile(mixes, "play_type", "group").drop("pct")
     out["league_vs_group"] = (mixes.filter("n_league > 0")
@@ -347,16 +393,17 @@ def report_job(spark: SparkSession, clean_path: str, raw_path: str, activity_pat
                out_prefix: str, year: int = 2018, multi_line: bool = True) -> dict[str, str]:
     """Every report table written as Parquet under ``out_prefix``.
 
-    The incidents (cleaned file, else the raw file cleaned on the fly) feed
-    five tables, so they are staged once in the shared checkpoint folder; activity is read once,
-    for the staged play mixes (a row per play type).
+    The incidents (cleaned file, else the raw file cleaned on the fly) are read once, for the staged counts of
+    five tables and the severe group's last names (a row per distinct value); activity is read once, for the staged
+    play mixes (a row per play type).
     """
     act = require_columns(read_csv(spark, activity_path), ["playerName"])
     base = out_prefix.rstrip("/")
     out = {}
-    with staged(read_clean_or_raw(spark, clean_path, raw_path, multi_line=multi_line), "report_incidents") as inc:
-        with staged(report_mixes(inc, act, year), "report_mixes") as mixes:
-            for name, df in yearly_report(inc, act, year, mixes=mixes).items():
+    inc = read_clean_or_raw(spark, clean_path, raw_path, multi_line=multi_line)
+    with staged(report_frequencies(inc, year), "report_counts") as counts:
+        with staged(report_mixes(inc, act, year, counts), "report_mixes") as mixes:
+            for name, df in yearly_report(inc, act, year, mixes=mixes, counts=counts).items():
                 out[name] = f"{base}/{name}"
                 write_parquet(df, out[name])
     return out
