@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,6 +102,23 @@ def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def words_pattern(markup: str) -> str:
+    """A license template as a regular expression over lower-case words, each after a space."""
+    phrase = lambda text: "".join(f" {w.lower()}" for w in re.findall("[A-Za-z0-9\x80-\U0010FFFF]+", text))
+    out = []
+    for i, piece in enumerate(re.split(r"<<(.*?)>>", markup, flags=re.S)):
+        kind, _, what = piece.partition("=")
+        if i % 2 == 0:
+            out.append(phrase(piece))
+        elif kind == "var;match":
+            out.append(f"({'|'.join(map(phrase, what.split('|')))})")
+        elif kind == "var;words":
+            out.append(f"( [^ ]+){{0,{what}}}")
+        else:
+            out.append({"beginOptional": "(", "endOptional": ")?"}[piece])
+    return "".join(out)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_mix": op2_mix,
@@ -117,7 +136,7 @@ QUERIES = {
 }
 
 SQL = {
-    # the templates once more, written out by hand as patterns over the words joined by one space
+    # the templates as patterns over the words joined by one space, in place of automata
     "op4_license_scan": r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -133,18 +152,7 @@ WITH d AS (
     list_filter([CASE WHEN len(mit) > 0 THEN 'mit' END, CASE WHEN len(apache) > 0 THEN 'apache' END,
                  CASE WHEN len(gpl) > 0 THEN 'gpl' END], lambda x: x IS NOT NULL) AS base,
     list_filter([
-      CASE WHEN regexp_matches(t, ' (licensed|released|distributed|available|provided) under( the terms of)? the mit license ') THEN 'mit-notice' END,
-      CASE WHEN regexp_matches(t, ' permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software ') THEN 'mit-text' END,
-      CASE WHEN regexp_matches(t, ' (licensed|released|distributed|available|provided) under( the terms of)? the apache license( the license)? version 2 0 ') THEN 'apache-2.0' END,
-      CASE WHEN regexp_matches(t, ' under( the terms of)? the( gnu)? general public license( as published by the free software foundation)?( either)? version 2 ') THEN 'gpl-2.0' END,
-      CASE WHEN regexp_matches(t, ' under( the terms of)? the( gnu)? general public license( as published by the free software foundation)?( either)? version 3 ') THEN 'gpl-3.0' END,
-      CASE WHEN regexp_matches(t, ' under( the terms of)? the( gnu)? (lesser|library) general public license ') THEN 'lgpl' END,
-      CASE WHEN regexp_matches(t, ' licensed under( a)?( creative commons)? (cc by|attribution)( international)? 4 0 ') THEN 'cc-by-4.0' END,
-      CASE WHEN regexp_matches(t, ' licensed under( a)?( creative commons)? (cc by sa|attribution sharealike) 4 0 ') THEN 'cc-by-sa-4.0' END,
-      CASE WHEN regexp_matches(t, ' licensed under( a)?( creative commons)? (cc by nc|attribution noncommercial) 4 0 ') THEN 'cc-by-nc-4.0' END,
-      CASE WHEN regexp_matches(t, ' redistribution and use in source and binary forms with or without modification are permitted( subject to the limitations in the disclaimer below)? provided that the following conditions are met ') THEN 'bsd' END,
-      CASE WHEN regexp_matches(t, ' permission to use copy modify and( or)? distribute this software for any purpose with or without fee is hereby granted ') THEN 'isc' END,
-      CASE WHEN regexp_matches(t, ' copyright( c)?( [^ ]+){0,6} all rights reserved ') THEN 'all-rights-reserved' END
+      {cases}
     ], lambda x: x IS NOT NULL) AS found
   FROM p
 )
@@ -152,7 +160,8 @@ SELECT doc_id, n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT
        array_to_string(list_sort(base), ',') AS base_labels, array_to_string(list_sort(list_concat(base, found)), ',') AS labels,
        CASE WHEN len(found) > 0 THEN 1.0::DOUBLE WHEN len(places) > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
 FROM l
-""",
+""".replace("{cases}", ",\n      ".join(
+        f"CASE WHEN regexp_matches(t, '{words_pattern(markup)} ') THEN '{label}' END" for label, markup in license_scan.TEMPLATES)),
     "op7_exact_dedup": """
 WITH t AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm

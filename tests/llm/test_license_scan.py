@@ -85,3 +85,26 @@ def test_openings_alone_are_no_license():
     assert labels("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
                   "following conditions are met: ask first") == set()
     assert labels("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted") == set()
+
+
+def test_sql_equals_the_query_on_whole_texts_openings_and_changed_clauses(spark):
+    import duckdb
+
+    from sideline.llm import queries
+
+    texts = [t for _, t, _ in odd_rows()] + ["MIT License", "mit license apache license", "Copyright (c) 2020 Some Name, all rights reserved"]
+    for label, markup in L.TEMPLATES:
+        text = filled(markup)
+        optional = re.sub(r"<<(begin|end)Optional>>", "", markup)
+        optional = re.sub(r"<<var;words=\d+>>", "", re.sub(r"<<var;match=[^>]*?([^|>]*)>>", r"\1", optional))
+        words = text.split()
+        texts += [text, f"before {text} after", optional, text.upper(), " ".join(words[:25]), " ".join(words[:-1]),
+                  " ".join([*words[:-3], "not", *words[-3:]]), " ".join(words[:-3] + words[-2:])]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: tuple(r) for r in L.summary(L.scan(table(spark, [(i, t, "s") for i, t in rows]))).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = con.execute(queries.SQL["op4_license_scan"]).fetchall()
+    assert {r[0]: r for r in want} == got
+    assert {x for r in want for x in r[6].split(",")} >= {label for label, _ in L.TEMPLATES}
