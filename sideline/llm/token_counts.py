@@ -9,7 +9,8 @@ sections of the document, and a token that crosses a boundary goes to one sectio
 * ``most``: the section that holds most of its characters, the earlier one if equal.
 
 So a document's sections always add up to its token count, which separate encoding of sections does not.
-Sections cover the text without gaps: lines (each with its line feed) unless spans are given.
+Sections are the lines of a text, each with its line feed (``section_counts``), or given fields or sections, a table of
+character spans (``span_counts``); what no span covers is a section of its own, without a field.
 """
 
 from __future__ import annotations
@@ -111,3 +112,60 @@ def section_counts(docs: DataFrame, ranks: dict[bytes, int], pattern: str, rule:
         "doc_id", "section", F.col("c.bounds")[F.col("section")].alias("start"),
         F.col("c.bounds")[F.col("section") + 1].alias("end"), F.col("n.tokens").alias("n_tokens"),
         F.col("n.crossing").alias("n_crossing"), F.col("c.total").alias("doc_tokens"))
+
+
+def segments(length: int, spans: list[tuple[int, int, str | None]]) -> tuple[np.ndarray, list[str | None]]:
+    """Bounds of a text of ``length`` characters and the field of each part: the spans in order, and what lies between them
+    (None). Spans are cut to the text; of overlapping ones the first by start, then end, then field has what they share."""
+    bounds, fields, at = [0], [], 0
+    for start, end, field in sorted(spans, key=lambda s: (s[0], s[1], s[2] is not None, s[2] or "")):
+        start, end = min(max(start, at), length), min(max(end, at), length)
+        if start > at:
+            bounds.append(start)
+            fields.append(None)
+        bounds.append(max(end, start))
+        fields.append(field)
+        at = bounds[-1]
+    if at < length or not fields:
+        bounds.append(length)
+        fields.append(None)
+    return np.array(bounds, "int64"), fields
+
+
+def span_counts(docs: DataFrame, spans: DataFrame, ranks: dict[bytes, int], pattern: str, rule: str = "start") -> DataFrame:
+    """doc_id, section, field, start, end, n_tokens, n_crossing, doc_tokens: one row per given field or section
+    of each document, and per part of its text outside all of them (field NULL).
+
+    ``spans`` (doc_id, field, start, end): code points, end exclusive. Sections are numbered by place. They are cut to
+    the text, spans that end before they begin are empty, and of overlapping ones the earlier has what they share
+    (``segments``). Spans without a doc_id, start or end, or of no document, are left out; a document without spans, or
+    without a doc_id, is one section outside; repeated documents have the same spans each, repeated spans share
+    like overlapping ones; empty tables give no rows; other columns are not read.
+
+    A document meets the list of its spans by an equi-join; the tokens are joined to it where the text is encoded.
+    """
+    if rule not in RULES:
+        raise ValueError(f"rule must be one of {RULES}")
+    small_batches(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    own = (spans.select("doc_id", F.col("start").cast("bigint"), F.col("end").cast("bigint"), F.col("field").cast("string"))
+           .na.drop(subset=["doc_id", "start", "end"]).groupBy(F.col("doc_id").alias("_doc_id"))
+           .agg(F.collect_list(F.struct("start", "end", "field")).alias("spans")))
+
+    @arrow_udf("array<struct<field string, start bigint, end bigint, n_tokens bigint, n_crossing bigint, doc_tokens bigint>>")
+    def count(texts: pa.Array, lists: pa.Array) -> pa.Array:
+        encoding, lengths, _ = _encoder(shared.value, pattern)
+        rows = []
+        for t, given in zip(texts, lists):
+            text = t.as_py() or ""
+            ids = encoding.encode_ordinary(text)
+            bounds, fields = segments(len(text), [(s["start"], s["end"], s["field"]) for s in given.as_py() or ()])
+            held, crossing = attribute(*token_spans(text, ids, lengths), bounds, rule)
+            rows.append([{"field": f, "start": a, "end": b, "n_tokens": n, "n_crossing": c, "doc_tokens": len(ids)}
+                         for f, a, b, n, c in zip(fields, bounds[:-1].tolist(), bounds[1:].tolist(), held.tolist(), crossing.tolist())])
+        kind = pa.struct([("field", pa.string()), *[(c, pa.int64()) for c in ("start", "end", "n_tokens", "n_crossing", "doc_tokens")]])
+        return pa.array(rows, pa.list_(kind))
+
+    d = docs.select("doc_id", text_of().alias("t"))
+    counted = d.join(own, d["doc_id"] == own["_doc_id"], "left").select("doc_id", count("t", "spans").alias("c"))
+    return counted.select("doc_id", F.posexplode("c").alias("section", "n")).select("doc_id", "section", "n.*")

@@ -72,3 +72,51 @@ def test_batches_are_bounded(spark):
         small_batches(spark.range(1))
         got = spark.conf.get(key)
         assert got in (value, f"{want}b")
+
+
+@pytest.mark.parametrize("rule", T.RULES)
+def test_given_fields_equal_brute_force(spark, rule):
+    rng = random.Random(2)
+    texts = [t for _, t, _ in odd_rows()] + ["title: one two three\nbody é漢 😀 text", "", "abc"]
+    texts += ["".join(rng.choices("ab é😀\n ", k=rng.randint(1, 60))) for _ in range(40)]
+    given = []
+    for k, t in enumerate(texts[:-5]):
+        for f in range(rng.randint(0, 4)):
+            a = rng.randint(-3, len(t or "") + 3)
+            given.append((k, f"field{f}", a, a + rng.randint(-1, 20)))
+    given += [given[0], (None, "x", 0, 3), (10**6, "x", 0, 3), (1, "x", None, 3), (12, None, 0, 2)]
+    spans = spark.createDataFrame([(*g, "y") for g in given], "doc_id bigint, field string, start int, end int, section string")
+    got = {}
+    docs = table(spark, [(k, t, "s") for k, t in enumerate(texts)] + [(None, "no id", "s")])
+    for r in T.span_counts(docs, spans, RANKS, PATTERN, rule).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    assert set(got) == {*range(len(texts)), None} and [(r.field, r.start, r.end) for r in got[None]] == [(None, 0, 5)]
+    enc = tiktoken.Encoding("o", pat_str=PATTERN, mergeable_ranks=RANKS, special_tokens={})
+    for k, t in enumerate(texts):
+        t = t or ""
+        rows = sorted(got[k], key=lambda r: r.section)
+        assert [r.section for r in rows] == list(range(len(rows)))
+        assert [rows[0].start, *[r.end for r in rows]] == [*[r.start for r in rows], len(t)]  # no gaps, whole texts
+        own = sorted((a, b, f or "") for d, f, a, b in given if d == k and a is not None)
+        assert sorted(r.field or "" for r in rows if r.field is not None or (k == 12 and r.start == 0)) == sorted(f for _, _, f in own)
+        holder = [None] * len(t)  # the first span that covers a character
+        for a, b, f in reversed(own):
+            holder[max(a, 0):max(b, 0)] = [f] * len(holder[max(a, 0):max(b, 0)])
+        owner = [i for i, r in enumerate(rows) for _ in range(r.start, r.end)]
+        assert [rows[i].field or "" for i in owner] == [h or "" for h in holder]
+        raw, at, held = t.encode(), 0, [0] * len(rows)
+        char = np.cumsum([(b & 0xC0) != 0x80 for b in raw]) - 1
+        ids = enc.encode_ordinary(t)
+        for token in ids:
+            n = len(enc.decode_single_token_bytes(token))
+            touched = owner[char[at]:char[at + n - 1] + 1]
+            held[touched[0] if rule == "start" else touched[-1] if rule == "end" else max(sorted(set(touched)), key=touched.count)] += 1
+            at += n
+        assert [r.n_tokens for r in rows] == held and {r.doc_tokens for r in rows} == {len(ids)}
+
+
+def test_no_spans_and_no_documents(spark):
+    none = spark.createDataFrame([], "doc_id bigint, field string, start int, end int")
+    docs = table(spark, [(1, "a b", "s"), (2, None, "s")])
+    assert sorted((r.doc_id, r.field, r.start, r.end) for r in T.span_counts(docs, none, RANKS, PATTERN).collect()) == [(1, None, 0, 3), (2, None, 0, 0)]
+    assert T.span_counts(table(spark, []), none, RANKS, PATTERN).count() == 0
