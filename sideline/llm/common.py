@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import sys
 import tempfile
 import uuid
 
@@ -35,25 +37,44 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sideline-llm-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: cuts the lineage and survives lost executors. Spark
-    removes the files once the result is no longer referenced."""
+    """Reliable checkpoint in the shared folder: cuts the lineage and survives lost executors. Where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on, Spark removes the files once the result is no
+    longer referenced; else they stay."""
     shared_dir(df.sparkSession)
     if not df.sparkSession.sparkContext.getCheckpointDir():
         df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+_folders: set[str] = set()
+
+
+def _remove(path, conf) -> None:
+    """Delete a folder when the driver ends (the session may have been stopped before)."""
+    try:
+        path.getFileSystem(conf).delete(path, True)
+    except Exception as e:  # the JVM has ended before
+        sys.stderr.write(f"{path} was not deleted: {type(e).__name__}\n")
+
+
 def table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back. Unlike ``cut``, the result has a
-    known size, so Spark's own threshold decides whether a join may broadcast it."""
-    path = f"{shared_dir(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
+    known size, so Spark's own threshold decides whether a join may broadcast it. Results are lazy, so the
+    tables of an application stay until its driver ends, and are deleted then."""
+    folder = f"{shared_dir(df.sparkSession)}/llm-{df.sparkSession.sparkContext.applicationId}"
+    if folder not in _folders:
+        _folders.add(folder)
+        sc = df.sparkSession.sparkContext
+        atexit.register(_remove, sc._jvm.org.apache.hadoop.fs.Path(folder), sc._jsc.hadoopConfiguration())
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
