@@ -19,6 +19,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files of results that are no longer referenced are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -2,6 +2,9 @@
 
 import datetime as dt
 import math
+import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -73,3 +76,12 @@ def test_results_do_not_depend_on_session_settings(spark, duck, conf):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("missing", ["xxhash", "public_tokenizers", "sideline.llm", "corpus_pipeline"])
+def test_core_queries_need_nothing_of_the_optional_part(missing):
+    code = (f"import sys, warnings; sys.modules[{missing!r}] = None; warnings.simplefilter('ignore'); import __spark_entry__ as E; "
+            "assert 'fact_injury' in E.queries() and 'fact_injury' in E.oracle_sql() and 'pipeline' not in E.queries(), sorted(E.queries())")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=repo, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-1500:]
