@@ -11,8 +11,13 @@ it). Words whose share reaches the threshold, in at least ``MIN_DOCS`` different
 wherever they stand in any document; in the sanitised text entities and such words are generalised to their kind, and
 words that give away nearly everything are removed.
 
-All is DataFrame code. Counts are partial aggregates; only documents with an entity that several texts hold have
-their words paired with it; texts move only where the words found are too many for Spark to broadcast.
+All is DataFrame code. Counts are partial aggregates, and no text moves: words are paired with entities by text,
+and the places of the words found are cut out where a text is scanned. Entities that stand in exactly the same texts
+have the same counts with every word, so they are one class, and a contact list of n addresses costs n words times its
+classes, not n times n. A word must stand in two texts of a class at least, so it stands in one besides the longest: words
+of all but the longest text are candidates, and are looked up in that one.
+
+Texts are told apart by their 64-bit XXH64, sets of texts by four aggregates of such hashes.
 """
 
 from __future__ import annotations
@@ -26,6 +31,8 @@ KINDS = ("email", "ip", "card", "phone", "term")
 THRESHOLD = 0.9
 REMOVE = 0.999
 MIN_DOCS = 2
+#: Bits of the bitmap of flagged words: 128 KiB, whatever their number.
+BITS = 1 << 20
 
 _E = "[A-Za-z0-9._%+-]"
 #: Each pattern matches what the contract's does, leftmost and without overlaps. Possessive and anchored forms keep
@@ -46,9 +53,9 @@ def _found(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def _placed(text: Column, pattern: str, found: Column, shares: Column | None = None) -> Column:
+def _placed(text: Column, pattern: str, found: Column, only: Column | None = None) -> Column:
     """start, end and value of each match, from the lengths of the matches and of the pieces between them; with
-    ``shares``, a map of words in lower case, only of those in it."""
+    ``only``, an array of words in lower case, of those in it."""
     none = F.slice(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("").alias("value"))), 1, 0)
     zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
@@ -56,8 +63,8 @@ def _placed(text: Column, pattern: str, found: Column, shares: Column | None = N
         start = acc["at"] + F.length(x["gap"])
         end = start + F.length(x["value"])
         out = F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))))
-        if shares is not None:
-            out = F.when(F.map_contains_key(shares, F.lower(x["value"])), out).otherwise(acc["out"])
+        if only is not None:
+            out = F.when(F.array_contains(only, F.lower(x["value"])), out).otherwise(acc["out"])
         return F.when(x["value"].isNull(), acc).otherwise(F.struct(end.alias("at"), out.alias("out")))
 
     def all_placed(gaps: Column) -> Column:
@@ -122,6 +129,51 @@ def word_documents(docs: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def _entity_classes(spans: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
+    """(entity, class) of the entities that ``min_docs`` different texts hold at least, and (class, tie, copies, n_e):
+    the texts of each class, how often each text occurs and in how many documents the class stands."""
+    held = table(spans.select("tie", F.explode(F.array_distinct("base.entity")).alias("entity"))
+                 .groupBy("entity", "tie").agg(F.count(F.lit(1)).alias("copies")), "held")
+    other = F.xxhash64(F.lit("set"), "tie")
+    sets = (held.groupBy("entity").agg(F.count(F.lit(1)).alias("texts"), F.sum("copies").alias("n_e"), F.min("tie").alias("low"),
+                                       F.max("tie").alias("high"), F.bit_xor(other).alias("xor"),
+                                       F.sum(other.cast("decimal(38,0)")).alias("sum"))
+            .where(F.col("texts") >= min_docs))
+    by = ["texts", "n_e", "low", "high", "xor", "sum"]
+    classes = sets.groupBy(*by).agg(F.min("entity").alias("class"))
+    named = sets.join(classes, by).select("entity", "class", "n_e")
+    named = table(named, "classes")
+    texts = held.join(named.where("entity = class"), "entity").select("class", "tie", "copies", "n_e")
+    return named.select("entity", "class"), table(texts, "class-texts")
+
+
+def _class_disclosures(texts: DataFrame, spans: DataFrame, docs: DataFrame, threshold: float, min_docs: int) -> DataFrame:
+    """class, term, share: the words that give away the entities of a class."""
+    total = float(docs.count())
+    information = F.log2(F.lit(total) / F.col("n_e"))
+    texts = texts.where(information > 0)
+    held = (spans.join(texts.select("tie").distinct(), "tie", "left_semi").select("tie", "words").dropDuplicates(["tie"]))
+    longest = (texts.join(held.select("tie", F.size("words").alias("size")), "tie").groupBy("class")
+               .agg(F.max(F.struct("size", "tie")).alias("m")).select("class", F.col("m.tie").alias("longest")))
+    marked = texts.join(longest, "class")
+    # with evidence from one text alone, the longest must give candidates as well
+    apart = (F.col("tie") != F.col("longest")) if min_docs > 1 else F.lit(True)
+    words = held.select("tie", F.explode("words").alias("term")).where("term != ''")
+    found = (marked.where(apart).join(words, "tie").groupBy("class", "term", "n_e", "longest")
+             .agg(F.sum("copies").alias("n_te"), F.count(F.lit(1)).alias("texts")))
+    # a word in more documents than this cannot reach the threshold, as n(t, e) is n(e) at most
+    enough = F.log2("n") <= F.log2(F.lit(total)) - threshold * information + 1e-9
+    found = found.join(word_documents(docs).where(F.col("n") >= min_docs), "term").where(enough)
+    if min_docs > 1:
+        there = words.select(F.col("tie").alias("longest"), "term", F.lit(1).alias("more"))
+        copies = marked.where("tie = longest").select("class", F.col("copies").alias("of_longest"))
+        found = (found.join(there, ["longest", "term"], "left").join(copies, "class")
+                 .withColumn("n_te", F.col("n_te") + F.when(F.col("more").isNotNull(), F.col("of_longest")).otherwise(0))
+                 .withColumn("texts", F.col("texts") + F.coalesce("more", F.lit(0))).where(F.col("texts") >= min_docs))
+    pmi = F.log2(F.col("n_te") * total / (F.col("n") * F.col("n_e")))
+    return found.select("class", "term", (pmi / information).alias("share")).where(F.col("share") >= threshold)
+
+
 def disclosures(spans: DataFrame, docs: DataFrame, threshold: float = THRESHOLD, min_docs: int = MIN_DOCS) -> DataFrame:
     """entity, term, share: the words that give away an entity. ``spans``: the result of ``spans_of``, kept.
 
@@ -130,40 +182,47 @@ def disclosures(spans: DataFrame, docs: DataFrame, threshold: float = THRESHOLD,
     the entity; an entity that fewer texts hold gives away no words, as any word that is nowhere else would have
     share 1 there. Words of the entity as it is written count like others.
     """
-    total = float(docs.count())
-    information = F.log2(F.lit(total) / F.col("n_e"))
-    held = (spans.select("tie", F.explode(F.array_distinct("base.entity")).alias("entity"))
-            .groupBy("entity", "tie").agg(F.count(F.lit(1)).alias("copies")))
-    n_entity = (held.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count(F.lit(1)).alias("texts"))
-                .where(F.col("texts") >= min_docs).drop("texts"))
-    held = table(held.join(n_entity, "entity").where(information > 0), "held")
-    words = (spans.join(held.select("tie").distinct(), "tie", "left_semi")
-             .select("tie", F.explode("words").alias("term")).distinct())
-    # a word in more documents than this cannot reach the threshold, as n(t, e) is n(e) at most
-    enough = F.log2("n") <= F.log2(F.lit(total)) - threshold * information + 1e-9
-    pairs = (words.join(word_documents(docs).where(F.col("n") >= min_docs), "term").join(held, "tie").where(enough)
-             .groupBy("entity", "term", "n", "n_e").agg(F.sum("copies").alias("n_te"), F.count(F.lit(1)).alias("texts"))
-             .where(F.col("texts") >= min_docs))
-    pmi = F.log2(F.col("n_te") * total / (F.col("n") * F.col("n_e")))
-    return pairs.select("entity", "term", (pmi / information).alias("share")).where(F.col("share") >= threshold)
+    named, texts = _entity_classes(spans, min_docs)
+    return (named.join(_class_disclosures(texts, spans, docs, threshold, min_docs), "class").select("entity", "term", "share"))
+
+
+def _bits(term: Column) -> list[Column]:
+    """The bits of a word in the bitmap."""
+    return [F.pmod(h, F.lit(BITS)) for h in (F.crc32(term.cast("binary")), F.xxhash64(term), F.xxhash64(F.lit("more"), term))]
+
+
+def _bitmap(terms: DataFrame) -> bytes:
+    """BITS bits; set are those of each ``term``."""
+    parts = (terms.select(F.explode(F.array(*_bits(F.col("term")))).alias("bit")).groupBy(F.shiftright("bit", 15).alias("nth"))
+             .agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits")).collect())
+    bits = {p["nth"]: bytes(p["bits"]) for p in parts}
+    return b"".join(bits.get(i, bytes(1 << 12)) for i in range(BITS >> 15))
+
+
+def _has_bits(bits: bytes, term: Column) -> Column:
+    def is_set(at: Column) -> Column:
+        byte = F.conv(F.hex(F.substring(F.lit(bits), (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        return F.getbit(byte, at.bitwiseAND(F.lit(7)).cast("int")) == 1
+
+    first, *more = [is_set(at) for at in _bits(term)]
+    for one in more:  # a word whose first bit is not set is not looked up again
+        first = first & one
+    return first
 
 
 def term_spans(docs: DataFrame, flagged: DataFrame) -> DataFrame:
     """doc_id, tie, terms: array of (start, kind number, end, share) of all places of the flagged words (term, share)
     in all documents; documents without any are left out, repeated rows are one.
 
-    ``flagged`` and the documents' words found in it are written tables, so Spark broadcasts them where they are small
-    and otherwise shuffles the words, and the texts once."""
+    One scan: a bitmap of fixed size tells which words of a text may be flagged, their places alone leave the scan,
+    and the join with ``flagged`` removes those that only had the same bits."""
+    bits = _bitmap(flagged)
     d = docs.select("doc_id", text_of().alias("t")).withColumn("tie", F.xxhash64("t"))
-    hits = (d.select("doc_id", "tie", F.explode(words_in(F.col("t"))).alias("term")).join(flagged, "term")
-            .groupBy("doc_id", "tie").agg(F.map_from_entries(F.collect_set(F.struct("term", "share"))).alias("shares")))
-    hits = table(hits, "hits").withColumnsRenamed({"doc_id": "_doc_id", "tie": "_tie"})
-    d = d.join(hits, d["doc_id"].eqNullSafe(F.col("_doc_id")) & (d["tie"] == F.col("_tie")))
-    placed = _placed(F.col("t"), WORD, _found(F.col("t"), WORD), F.col("shares"))
-    terms = F.transform(placed, lambda x: F.struct(
-        x["start"].alias("start"), F.lit(4).alias("kind"), x["end"].alias("end"),
-        F.try_element_at("shares", F.lower(x["value"])).alias("share")))
-    return d.select("doc_id", "tie", terms.alias("terms")).dropDuplicates(["doc_id", "tie"])
+    d = d.withColumn("own", F.filter(words_in(F.col("t")), lambda w: _has_bits(bits, w))).where(F.size("own") > 0)
+    placed = d.select("doc_id", "tie", F.explode(_placed(F.col("t"), WORD, _found(F.col("t"), WORD), F.col("own"))).alias("p"))
+    hits = placed.select("doc_id", "tie", "p.start", "p.end", F.lower("p.value").alias("term")).join(flagged, "term")
+    one = F.struct("start", F.lit(4).alias("kind"), "end", "share")
+    return hits.groupBy("doc_id", "tie").agg(F.collect_set(one).alias("terms"))
 
 
 def find(docs: DataFrame, threshold: float = THRESHOLD, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -175,7 +234,9 @@ def find(docs: DataFrame, threshold: float = THRESHOLD, min_docs: int = MIN_DOCS
     not read.
     """
     spans = cut(spans_of(docs))
-    flagged = table(disclosures(spans, docs, threshold, min_docs).groupBy("term").agg(F.max("share").alias("share")), "flagged")
+    _, texts = _entity_classes(spans, min_docs)
+    shares = _class_disclosures(texts, spans, docs, threshold, min_docs)
+    flagged = table(shares.groupBy("term").agg(F.max("share").alias("share")), "flagged")
     terms = term_spans(docs, flagged).withColumnsRenamed({"doc_id": "_doc_id", "tie": "_tie"})
     kind = "array<struct<start:int,kind:int,end:int,share:double>>"
     base = F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["kind"].alias("kind"), b["end"].alias("end"),

@@ -139,3 +139,81 @@ def test_plan_is_native_and_empty_table(spark):
     plan = S.find(table(spark, odd_rows()))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", plan)
     assert S.find(table(spark, [])).count() == 0
+
+
+def slow_terms(rows, threshold, min_docs):
+    """Spans of revealing words in each row, by the definition: rows (doc_id, text)."""
+    import math
+
+    texts = [t or "" for _, t in rows]
+    words = [{w.lower() for w in re.findall(r"[A-Za-z0-9\x80-\U0010FFFF]+", t)} for t in texts]
+
+    def name(kind, value):
+        return f"{kind}:{value.lower() if kind == 'email' else value if kind == 'ip' else re.sub('[^0-9]', '', value)}"
+
+    entities = [{name(list(CONTRACT)[k], t[a:b]) for a, k, b in brute(t)} for t in texts]
+    n = len(rows)
+    shares = {}
+    for e in set().union(*entities):
+        held = [i for i in range(n) if e in entities[i]]
+        if len({texts[i] for i in held}) < min_docs or len(held) == n:
+            continue
+        for w in set().union(*(words[i] for i in held)):
+            both = [i for i in held if w in words[i]]
+            if len({texts[i] for i in both}) >= min_docs:
+                n_w = sum(w in x for x in words)
+                share = math.log2(len(both) * n / (n_w * len(held))) / math.log2(n / len(held))
+                if share >= threshold:
+                    shares[w] = max(share, shares.get(w, -math.inf))
+    out = []
+    for t in texts:
+        base = brute(t)
+        out.append(sorted((m.start(), m.end(), round(shares[m.group().lower()], 9)) for m in re.finditer(r"[A-Za-z0-9\x80-\U0010FFFF]+", t)
+                          if m.group().lower() in shares and not any(a < m.end() and m.start() < b for a, _, b in base)))
+    return out
+
+
+@pytest.mark.parametrize("threshold,min_docs", [(0.9, 2), (0.5, 2), (0.6, 3), (0.7, 1)])
+def test_revealing_words_from_scratch(spark, threshold, min_docs):
+    rng = random.Random(min_docs)
+    names = ["Quill", "ÉMILE", "ac4417x", "Zebra", "wrote"]
+    mails = ["a@b.cd", "c.d@e.fg", "10.0.0.1", "+1 555 555 0100", "x@y.zz"]
+    rows = []
+    for k in range(90):
+        parts = [prose(rng, rng.randint(0, 4))]
+        if rng.random() < 0.5:
+            i = rng.randrange(5)
+            parts += [names[i], mails[i]] + ([mails[(i + 1) % 5]] if rng.random() < 0.3 else [])
+        rng.shuffle(parts)
+        rows.append((k, " ".join(parts)))
+    rows += [(100 + k, rows[3][1]) for k in range(4)] + [(5, None), (6, "")] + [(None, rows[4][1])] * 2
+    got = S.find(table(spark, [(i, t, "s") for i, t in rows]), threshold, min_docs).collect()
+    spans = lambda r: sorted((s.start, s.end, round(s.share, 9)) for s in r.spans if s.kind == 4)
+    want = slow_terms(rows, threshold, min_docs)
+    assert any(want)
+    assert sorted(map(str, ((r.doc_id, spans(r)) for r in got))) == sorted(map(str, ((i, w) for (i, _), w in zip(rows, want))))
+
+
+def test_contact_lists_stay_linear(spark):
+    rng = random.Random(8)
+    mails = [f"m{k}@list.example.org" for k in range(2000)]
+    rows = [(k, prose(rng, 20)) for k in range(40)]
+    rows += [(100 + k, " ".join(rng.sample(mails, 2000))) for k in range(2)]  # two lists of the same addresses
+    docs = table(spark, [(i, t, "s") for i, t in rows])
+    spans = S.spans_of(docs)
+    named, texts = S._entity_classes(spans, 2)
+    assert named.count() == 2000 and named.select("class").distinct().count() == 1 and texts.count() == 2
+    # one long list, and each address once more in a text of its own: words of the short texts are the candidates
+    rows = [(0, " ".join(mails))] + [(1 + k, f"{m} {prose(rng, 3)}") for k, m in enumerate(mails[:300])] + [(1000 + k, prose(rng, 4)) for k in range(50)]
+    found = {r.doc_id: [s for s in r.spans if s.kind == 4] for r in S.find(table(spark, [(i, t, "s") for i, t in rows])).collect()}
+    want = slow_terms(rows, 0.9, 2)
+    assert {i: len(found[i]) for i, _ in rows} == {i: len(w) for (i, _), w in zip(rows, want)}
+
+
+def test_bitmap_and_places(spark):
+    terms = spark.createDataFrame([(f"w{k}",) for k in range(500)] + [("é漢",)], "term string")
+    bits = S._bitmap(terms)
+    assert len(bits) == S.BITS // 8
+    df = spark.createDataFrame([(f"w{k}",) for k in range(2000)] + [("é漢",), ("",)], "term string")
+    hit = {r.term for r in df.where(S._has_bits(bits, df["term"])).collect()}
+    assert {f"w{k}" for k in range(500)} | {"é漢"} <= hit and len(hit) < 505
