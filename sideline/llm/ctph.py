@@ -8,13 +8,15 @@ sizes further apart than a factor of two are not comparable (likeness 0).
 
 Chunks are found with array operations over the whole text's bytes; edit distances are Spark's ``levenshtein``.
 
-``neighbours`` pairs each document with the next one in doc_id order without one global sort of texts: doc_ids
-are dealt into ranges of about equal width, each range is put in order in its own task, and the first document
-of each range is also sent to the range before.
+``neighbours`` pairs each document with the next one in doc_id order without one global sort of texts: Spark's range
+partitioning of the keys alone gives cuts, texts move once, to the range of their key, each range is put in order in
+its own task, and the first document of each range is also sent to the range before.
 """
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import small_batches, table, text_of
+from .common import small_batches, text_of
 
 WINDOW = 7
 MIN_BLOCK = 3
@@ -32,8 +34,9 @@ MAX_CHUNK = 4
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 #: Odd multipliers of the rolling hash, one per place in the window.
 PLACES = tuple((0x9E3779B1 * (2 * i + 1)) & 0xFFFFFFFF for i in range(WINDOW))
-#: Documents in a range of doc_ids, on average.
+#: Documents in a range of doc_ids, on average, and ranges at most (their cuts are sent to all tasks, a few MB).
 RANGE_DOCS = 2000
+MAX_RANGES = 100_000
 
 
 def _rolling(data: np.ndarray) -> np.ndarray:
@@ -97,31 +100,41 @@ def likeness(a: Column, b: Column) -> Column:
             .when(2 * block_a == block_b, alike(a[2], b[1])).otherwise(F.lit(0.0)))
 
 
+def _cuts(keyed: DataFrame, range_docs: int) -> list[tuple[bool, int, int]]:
+    """The first (doc_id is NULL, doc_id, tie) of each range of about ``range_docs`` rows, in order: as Spark's sampling
+    deals the keys, so clusters of ids, far-off ones and NULLs make no range larger. At most ``MAX_RANGES``."""
+    ranges = max(1, min(MAX_RANGES, keyed.count() // range_docs))
+    dealt = keyed.repartitionByRange(ranges, F.col("doc_id").asc_nulls_last(), F.col("tie")).withColumn("part", F.spark_partition_id())
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("first")
+    return sorted((r.first.none, r.first.doc_id or 0, r.first.tie) for r in dealt.groupBy("part").agg(first).collect())
+
+
 def neighbours(docs: DataFrame, columns: dict[str, Column], range_docs: int = RANGE_DOCS) -> DataFrame:
     """doc_id, ``columns`` of each document, and the same of the next one as ``next_*``.
 
     Ascending doc_id; the last document's next is the first (one document: itself). Repeated doc_ids are ordered
-    by a hash of the text; NULL doc_ids come last. One row per row of ``docs``.
+    by a hash of the text; NULL doc_ids come last. One row per row of ``docs``. Rows go to ranges of about
+    ``range_docs``, the first of each also to the range before; only rows that agree in doc_id and text stay together.
     """
-    n, low, high = docs.agg(F.count("doc_id"), F.min("doc_id"), F.max("doc_id")).first()
-    low, high = (0, 0) if low is None else (low, high)
-    width = max(1, (high - low + 1) * range_docs // max(n, 1))
-    past = (high - low) // width + 1  # the range of NULL doc_ids
-    place = F.coalesce(F.floor((F.col("doc_id") - low) / width).cast("bigint"), F.lit(past).cast("bigint"))
-    # the first doc_id of each range and the range before it: one row per range
-    heads = docs.select("doc_id", place.alias("range")).groupBy("range").agg(F.min("doc_id").alias("head"))
-    before = F.lag("range").over(Window.orderBy("range"))
-    last = F.max("range").over(Window.partitionBy())
-    heads = table(heads.select(F.coalesce(F.col("head").cast("string"), F.lit("null")).alias("_head"), "range",
-                               F.coalesce(before, last).alias("to"), before.isNull().alias("wraps"))
-                  .select("_head", F.struct("to", "wraps").alias("head")), "heads")
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    tie = F.xxhash64(text_of())
-    rows = docs.select("doc_id", place.alias("range"), tie.alias("tie"), key.alias("_head"),
-                       *[c.alias(name) for name, c in columns.items()]).join(heads, "_head", "left")
-    own = F.struct(F.col("range").alias("to"), F.lit(False).alias("wraps"), F.lit(True).alias("own"))
-    copy = F.struct(F.col("head.to").alias("to"), F.col("head.wraps").alias("wraps"), F.lit(False).alias("own"))
-    sent = F.explode(F.when(F.col("head").isNull(), F.array(own)).otherwise(F.array(own, copy))).alias("at")
+    keyed = docs.select("doc_id", F.xxhash64(text_of()).alias("tie"))
+    cuts = docs.sparkSession.sparkContext.broadcast(_cuts(keyed, range_docs))
+    last = max(len(cuts.value) - 1, 0)
+
+    @arrow_udf("struct<range int, first boolean>")
+    def placed(ids: pa.Array, ties: pa.Array) -> pa.Array:
+        ranges, firsts = [], []
+        for i, t in zip(ids.to_pylist(), ties.to_pylist()):
+            key = (i is None, i or 0, t)
+            ranges.append(max(bisect.bisect_right(cuts.value, key) - 1, 0))
+            firsts.append(cuts.value[ranges[-1]] == key)
+        return pa.StructArray.from_arrays([pa.array(ranges, pa.int32()), pa.array(firsts, pa.bool_())], ["range", "first"])
+
+    rows = docs.select("doc_id", F.xxhash64(text_of()).alias("tie"), *[c.alias(name) for name, c in columns.items()])
+    rows = rows.withColumn("place", placed("doc_id", "tie"))
+    at = F.col("place.range")
+    own = F.struct(at.alias("to"), F.lit(False).alias("wraps"), F.lit(True).alias("own"))
+    copy = F.struct(F.when(at == 0, last).otherwise(at - 1).alias("to"), (at == 0).alias("wraps"), F.lit(False).alias("own"))
+    sent = F.explode(F.when(F.col("place.first"), F.array(own, copy)).otherwise(F.array(own))).alias("at")
     rows = rows.select("doc_id", "tie", *columns, sent)
     order = Window.partitionBy("at.to").orderBy("at.wraps", F.col("doc_id").asc_nulls_last(), "tie", F.col("at.own").desc())
     return (rows.select("doc_id", "at.own", *columns, *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])

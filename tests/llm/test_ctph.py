@@ -1,6 +1,7 @@
 import random
 
 import pytest
+import xxhash
 from helpers import odd_rows, prose, table
 from pyspark.sql import functions as F
 
@@ -65,3 +66,52 @@ def test_repeated_rows_one_row_and_empty_table(spark):
     assert C.against_edits(table(spark, [])).count() == 0
     fps = {r.fingerprint for r in C.fingerprints(table(spark, [(1, "same", "a"), (2, "same", "b")])).collect()}
     assert len(fps) == 1
+
+
+def test_ranges_are_even_for_any_ids(spark):
+    """Dense ids, one far-off id, a cluster, repeated ids and many NULLs: no range takes much more than its share."""
+    ids = [*range(3000), 10**15, *range(10**9, 10**9 + 1500), *[7 * 10**9] * 800, *[None] * 2000]
+    docs = table(spark, [(i, f"text {k}", "a") for k, i in enumerate(ids)]).repartition(5)
+    keyed = docs.select("doc_id", F.xxhash64(F.col("text")).alias("tie"))
+    cuts = C._cuts(keyed, 200)
+    held = [0] * len(cuts)
+    for r in keyed.collect():
+        held[max(C.bisect.bisect_right(cuts, (r.doc_id is None, r.doc_id or 0, r.tie)) - 1, 0)] += 1
+    assert 20 <= len(cuts) <= 37 and max(held) < 4 * 200
+    pairs = C.neighbours(docs, {"text": F.col("text")}, 200).collect()
+    order = sorted(docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.tie))
+    want = [(r.text, order[(k + 1) % len(order)].text) for k, r in enumerate(order)]
+    assert sorted((r.text, r.next_text) for r in pairs) == sorted(want)
+
+
+def slow_fingerprint(text):
+    """Byte by byte, as the module's docstring says."""
+    raw = text.encode()
+    if not raw:
+        return "3::"
+    block = 3
+    while block * 64 < len(raw):
+        block *= 2
+
+    def ends(at, size):
+        h = sum((raw[at - i] + 1) * C.PLACES[i] for i in range(C.WINDOW) if at - i >= 0) & 0xFFFFFFFF
+        h ^= h >> 15
+        h = h * 0x85EBCA6B & 0xFFFFFFFF
+        h ^= h >> 13
+        return h % size == size - 1
+
+    def signature(size):
+        out, start = "", 0
+        for at in range(len(raw)):
+            if ends(at, size) or at + 1 - start == 4 * size or at + 1 == len(raw):
+                out += C.ALPHABET[xxhash.xxh32_intdigest(raw[start:at + 1]) % 64]
+                start = at + 1
+        return out
+
+    return f"{block}:{signature(block)}:{signature(2 * block)}"
+
+
+def test_fingerprints_equal_byte_by_byte():
+    rng = random.Random(6)
+    for t in [t or "" for _, t, _ in odd_rows()] + [prose(rng, n) for n in (1, 2, 5, 40, 700)] + ["ab" * 900, "é漢😀" * 50, "x" * 4001]:
+        assert C.fingerprint(t) == slow_fingerprint(t)
