@@ -8,11 +8,11 @@ The shuffle is on the leading bits of the variants: a fingerprint is sent to eac
 bits can take (29 rows for 7 bits instead of 2081), and the task that owns those leading bits makes the
 remaining bits of the variants, sorts them and finds equal ones. The number of leading bits grows with the
 number of fingerprints so that a task's share stays the same; shares that are still too large (dense groups)
-are sent on by their next bits. In a task, work larger than its memory bound is again split by further bits.
+are sent on by their next bits until none is. In a task, work larger than its memory bound is again split by further bits.
 
 All fingerprints that share a variant lie within the radius of each other, so each run of equal variants gives
 a star of links to its smallest member, verified bit by bit, not all pairs. Links are reduced to a forest
-within the task and joined to components over the whole corpus by alternating stars (each step a few joins and
+within the task, again and again as they come, and joined to components over the whole corpus by alternating stars (each step a few joins and
 partial aggregates over links, checkpointed). Exact copies meet as one fingerprint before all this.
 """
 
@@ -38,6 +38,7 @@ SEED = 42
 TASK_VARIANTS = 4_000_000
 CHUNK_VARIANTS = 6_000_000
 SPLIT_BITS = 6
+MOST_BITS = 60
 
 
 def fingerprint(text: str, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -71,7 +72,7 @@ def _masks(bits: int, flips: int) -> np.ndarray:
     return np.array([sum(1 << b for b in c) for k in range(flips + 1) for c in combinations(range(bits), k)], "uint64")
 
 
-def _stars(low: np.ndarray, ids: np.ndarray, spare: np.ndarray, width: int, out: list) -> None:
+def _stars(low: np.ndarray, ids: np.ndarray, spare: np.ndarray, width: int, out) -> None:
     """Links between rows of ``ids`` that share a variant of their ``width`` low bits; a row may flip
     ``spare`` bits of them. Work beyond CHUNK_VARIANTS is split by the next leading bits."""
     top = int(spare.max(initial=0))
@@ -127,32 +128,54 @@ def _roots(links: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
+class _Forest:
+    """Links among ``fps``, verified and reduced to a forest whenever as many as there are nodes (or a million) wait."""
+
+    def __init__(self, fps: np.ndarray, radius: int):
+        self.fps, self.radius = fps, radius
+        self.root = np.arange(len(fps))
+        self.waiting: list[np.ndarray] = []
+        self.held = 0
+
+    def append(self, links: np.ndarray) -> None:
+        self.waiting.append(links)
+        self.held += len(links)
+        if self.held > max(len(self.fps), 1_000_000):
+            self.reduce()
+
+    def reduce(self) -> None:
+        if self.waiting:
+            links = np.concatenate(self.waiting)
+            links = links[np.bitwise_count(self.fps[links[:, 0]] ^ self.fps[links[:, 1]]) <= self.radius]
+            own = np.stack([np.arange(len(self.root)), self.root], axis=1)
+            self.root = _roots(np.concatenate([own, links]), len(self.root))
+            self.waiting, self.held = [], 0
+
+    def links(self) -> np.ndarray:
+        self.reduce()
+        child = np.flatnonzero(self.root != np.arange(len(self.root)))
+        return np.stack([self.fps[child], self.fps[self.root[child]]], axis=1)
+
+
 def _links_of(fps: np.ndarray, part: int, lead_bits: int, radius: int, half: int) -> np.ndarray:
     """Verified links, as a forest, among fingerprints sent to one value of the leading bits."""
     fps = np.unique(fps)
     low = fps & np.uint64((1 << (64 - lead_bits)) - 1) if lead_bits else fps
     lead = (fps >> np.uint64(64 - lead_bits)) ^ np.uint64(part) if lead_bits else np.zeros(len(fps), "uint64")
     spare = half - np.bitwise_count(lead).astype("int64")
-    out: list[np.ndarray] = []
-    _stars(low, np.arange(len(fps)), spare, 64 - lead_bits, out)
-    if not out:
-        return np.zeros((0, 2), "uint64")
-    links = np.concatenate(out)
-    links = links[np.bitwise_count(fps[links[:, 0]] ^ fps[links[:, 1]]) <= radius]
-    root = _roots(links, len(fps))
-    child = np.flatnonzero(root != np.arange(len(fps)))
-    return np.stack([fps[child], fps[root[child]]], axis=1)
+    found = _Forest(fps, radius)
+    _stars(low, np.arange(len(fps)), spare, 64 - lead_bits, found)
+    return found.links()
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS, task_variants: int = TASK_VARIANTS) -> DataFrame:
-    """a, b: links among the distinct values of ``fps`` (column fp, bigint); any two values that differ in at
-    most ``max_bits`` bits are connected through links, and no link joins values of different components."""
-    if max_bits % 2:
-        raise ValueError("the radius must be even, so that both halves are equal")
+def parts_of(fps: DataFrame, max_bits: int = MAX_BITS, task_variants: int = TASK_VARIANTS) -> DataFrame:
+    """fp, part, spare, lead: each fingerprint at every value of the ``lead`` leading bits that its variants can take, with
+    the flips that are left. As many bits as keep a part at about ``task_variants`` on average; parts of over four
+    times as many variants are sent on by further bits, again and again, until none is left."""
     half = max_bits // 2
     n = fps.count()
     ball = sum(math.comb(64, k) for k in range(half + 1))
-    bits = min(24, max(0, math.ceil(math.log2(max(1, n * ball / task_variants)))))
+    bits = min(MOST_BITS, max(0, math.ceil(math.log2(max(1, n * ball / task_variants)))))
 
     def sent(lead: int, made: int, left):
         """Rows for each value that ``made`` more leading bits of the variants can take."""
@@ -166,14 +189,32 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, task_variants: int = TASK_VA
     rows = fps.select("fp", F.lit(0).cast("bigint").alias("part"), F.lit(half).alias("spare"))
     if bits:
         rows = sent(0, bits, rows)
-    width = 64 - bits
-    cost = sum((F.when(F.col("spare") == s, F.lit(sum(math.comb(width, k) for k in range(s + 1)))).otherwise(0)
-                for s in range(half + 1)), F.lit(0)).cast("bigint")
-    dense = table(rows.groupBy("part").agg(F.sum(cost).alias("cost")).where(F.col("cost") > 4 * task_variants)
-                  .select("part", F.lit(True).alias("dense")), "dense")
-    rows = rows.join(dense, "part", "left")
-    plain = rows.where("dense is null").select("fp", "part", F.lit(bits).alias("lead"))
-    spread = sent(bits, SPLIT_BITS, rows.where("dense")).select("fp", "part", F.lit(bits + SPLIT_BITS).alias("lead"))
+    done = []
+    while True:
+        width = 64 - bits
+        cost = sum((F.when(F.col("spare") == s, F.lit(sum(math.comb(width, k) for k in range(s + 1)))).otherwise(0)
+                    for s in range(half + 1)), F.lit(0)).cast("bigint")
+        dense = table(rows.groupBy("part").agg(F.sum(cost).alias("cost")).where(F.col("cost") > 4 * task_variants)
+                      .select("part", F.lit(True).alias("dense")), "dense")
+        if bits + SPLIT_BITS > MOST_BITS or dense.isEmpty():
+            done.append(rows.withColumn("lead", F.lit(bits)))
+            break
+        rows = rows.join(dense, "part", "left")
+        done.append(rows.where("dense is null").select("fp", "part", "spare", F.lit(bits).alias("lead")))
+        rows = table(sent(bits, SPLIT_BITS, rows.where("dense")), "sent-on")
+        bits += SPLIT_BITS
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def links(fps: DataFrame, max_bits: int = MAX_BITS, task_variants: int = TASK_VARIANTS) -> DataFrame:
+    """a, b: links among the distinct values of ``fps`` (column fp, bigint); any two values that differ in at
+    most ``max_bits`` bits are connected through links, and no link joins values of different components."""
+    if max_bits % 2:
+        raise ValueError("the radius must be even, so that both halves are equal")
+    half = max_bits // 2
 
     def of_part(rows: pd.DataFrame) -> pd.DataFrame:
         found = _links_of(rows["fp"].to_numpy("int64").view("uint64"), int(rows["part"].iloc[0]), int(rows["lead"].iloc[0]),
@@ -181,7 +222,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, task_variants: int = TASK_VA
         return pd.DataFrame({"a": found[:, 0].view("int64") if len(found) else np.zeros(0, "int64"),
                              "b": found[:, 1].view("int64") if len(found) else np.zeros(0, "int64")})
 
-    return plain.unionByName(spread).groupBy("lead", "part").applyInPandas(of_part, "a bigint, b bigint")
+    parts = parts_of(fps, max_bits, task_variants).drop("spare")
+    return parts.groupBy("lead", "part").applyInPandas(of_part, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -103,3 +103,41 @@ def test_documents(spark):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(least.values())
     assert S.near_groups(table(spark, [])).count() == 0 and S.keep_one(table(spark, [])).count() == 0
+
+
+def test_dense_balls_are_split_until_no_part_is_overfull(spark):
+    """Distinct fingerprints around few centres: every one of them shares most leading bits with thousands."""
+    import math
+
+    rng = random.Random(11)
+    fps = {rng.getrandbits(64) for _ in range(500)}
+    for centre in [rng.getrandbits(64) for _ in range(2)]:
+        fps |= {centre ^ sum(1 << b for b in rng.sample(range(64), rng.choice([3, 3, 4, 9]))) for _ in range(5000)}
+    signed = spark.createDataFrame([(f - 2**64 if f >= 2**63 else f,) for f in fps], "fp bigint")
+    task = 200_000
+    parts = S.parts_of(signed, 4, task).groupBy("lead", "part", "spare").count().collect()
+    cost = {}
+    for r in parts:
+        cost[r.lead, r.part] = cost.get((r.lead, r.part), 0) + r["count"] * sum(math.comb(64 - r.lead, k) for k in range(r.spare + 1))
+    leads = {lead for lead, _ in cost}
+    assert len(leads) >= 3  # sent on more than once
+    assert all(c <= 4 * task for (lead, _), c in cost.items() if lead + S.SPLIT_BITS <= S.MOST_BITS)
+    want = {}
+    for f, r in brute_components(fps).items():
+        want.setdefault(r, set()).add(f)
+    edges = S.links(signed, 4, task).collect()
+    assert len(edges) < 40 * len(fps)
+    assert brute_links([(r.a & (2**64 - 1), r.b & (2**64 - 1)) for r in edges], fps) == {frozenset(g) for g in want.values()}
+
+
+def test_links_are_reduced_as_they_come():
+    rng = np.random.default_rng(1)
+    fps = np.arange(64, dtype="uint64")
+    found = S._Forest(fps, 2)
+    for _ in range(40):
+        found.append(rng.integers(0, 64, (60_000, 2)))
+        assert found.held <= 1_000_000 + 60_000
+    links = found.links()
+    assert len(links) < 64 and (np.bitwise_count(links[:, 0] ^ links[:, 1]) <= 64).all()
+    near = [(a, b) for a in range(64) for b in range(a) if bin(a ^ b).count("1") <= 2]
+    assert brute_links(links.tolist(), range(64)) == brute_links(near, range(64))
