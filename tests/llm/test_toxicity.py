@@ -81,3 +81,54 @@ def test_the_sample_is_bounded(spark):
     sampled, counts = T.sample(table(spark, rows), labelled(spark, labels), 10, 15)
     assert sorted(sampled["toxic"].to_pylist()) == [0] * 15 + [1] * 10
     assert counts == {0: 150, 1: 50}
+
+
+def slow_model(rows, labels, steps=150, l2=1e-4):
+    """The fit once more with dense matrices over words and beginnings of words, without hashing."""
+    import math
+    import re
+
+    import numpy as np
+
+    text = dict(rows)
+    ids = [i for i, _ in labels]
+    y = np.array([t for _, t in labels], float)
+    words = lambda t: set(re.findall(r"[^\W\d_]+", t.lower()))
+    names = lambda ws: {n for w in ws for n in (w, *(w[:k] + "~" for k in T.PREFIXES if len(w) > k))}
+    own = [names(words(text[i])) for i in ids]
+    other = [names({T.SWAP.get(w, w) for w in words(text[i])}) if words(text[i]) & set(T.SWAP) else None for i in ids]
+    n1, n0 = y.sum(), len(y) - y.sum()
+    chosen = []
+    for f in sorted(set().union(*own)):
+        one, all_ = sum(f in o for o, t in zip(own, y) if t), sum(f in o for o in own)
+        p1, p0, p = (one + .5) / (n1 + 1), (all_ - one + .5) / (n0 + 1), (all_ + 1) / (n1 + n0 + 2)
+        z = (p1 - p0) / math.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
+        if all_ >= T.MIN_DOCS and abs(z) >= T.MIN_Z or f in names(T.SWAP):
+            chosen.append(f)
+    dense = lambda sets: np.array([[f in s for f in chosen] for s in sets], float).reshape(len(sets), len(chosen))
+    x = dense(own)
+    a, b = dense([o for o, s in zip(own, other) if s is not None]), dense([s for s in other if s is not None])
+    balance = np.where(y == 1, .5 / n1, .5 / n0)
+    theta, m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
+    for t in range(1, steps + 1):
+        w = theta[:-1]
+        g = balance * (1 / (1 + np.exp(-np.clip(x @ w + theta[-1], -30, 30))) - y)
+        grad = np.append(x.T @ g + l2 * w, g.sum())
+        if len(a):
+            gap = (a @ w - b @ w) / len(a)
+            grad[:-1] += a.T @ gap - b.T @ gap
+        m, v = .9 * m + .1 * grad, .99 * v + .01 * grad**2
+        theta = theta - .15 * (m / (1 - .9**t)) / (np.sqrt(v / (1 - .99**t)) + 1e-9)
+    weight = dict(zip(chosen, theta[:-1]))
+    start = theta[-1] + T.PRIOR_SHARE * math.log(n1 / n0)
+    return lambda t: 1 / (1 + math.exp(-(start + sum(weight.get(f, 0) for f in names(words(t))))))
+
+
+def test_scores_equal_a_dense_fit(spark):
+    rows, labels = corpus(random.Random(6), 160)
+    docs = table(spark, rows)
+    slow = slow_model([(i, t) for i, t, _ in rows], labels[:120])
+    got = {r.doc_id: r.score for r in T.scores(docs, T.train(docs, labelled(spark, labels[:120]))).collect()}
+    for i, t, _ in rows:
+        assert got[i] == pytest.approx(slow(t), abs=2e-4)
+    assert max(got.values()) > 0.9 and min(got.values()) < 0.1
