@@ -38,16 +38,22 @@ _CASE_IGNORABLE = (r"\p{Mn}\p{Me}\p{Cf}\p{Lm}\p{Sk}'.:\u00B7\u0387\u05F4\u2018\u
 _FINAL_SIGMA = rf"(?<=[{_CASED}])\u03A3(?![{_CASE_IGNORABLE}]*[{_CASED}])"
 
 
+# A letter after something other than a letter or a space, or any character beyond ASCII.
+_NOT_PLAIN = r"[^A-Za-z ][A-Za-z]|[^\x00-\x7F]"
+
+
 def title_case(c: ColumnOrName) -> Column:
     """Python ``str.title()`` semantics: a letter after any non-letter starts a word.
 
     ``initcap`` alone only starts words after spaces ("3pt" stays "3pt", where
     title case gives "3Pt"), so the text is split into cased/uncased runs first.
-    Capital sigmas are resolved against the whole text before the split.
+    Capital sigmas are resolved against the whole text before the split. ASCII text whose words
+    all start after a space, the usual case, is what ``initcap`` is for.
     """
     sigma = F.translate(F.regexp_replace(_c(c), _FINAL_SIGMA, "\u03C2"), "\u03A3", "\u03C3")
     runs = F.regexp_extract_all(sigma, F.lit(_CASED_OR_NOT), 1)
-    return F.array_join(F.transform(runs, lambda r: F.initcap(r)), "")
+    split = F.array_join(F.transform(runs, lambda r: F.initcap(r)), "")
+    return F.when(~_c(c).rlike(_NOT_PLAIN), F.initcap(_c(c))).otherwise(split)
 
 
 def title_text(c: ColumnOrName, null_text: str | None = None) -> Column:

@@ -62,8 +62,10 @@ def clean_incidents(raw: DataFrame, null_text: str | None = None,
         cols[c] = title_text(c, null_text)
     cols["Date"] = parse_date("Date", date_formats)
     df = df.select(*[v.alias(k) for k, v in cols.items()])
+    # the year is the same for all rows of a date: added last, so that a filter on it reaches the rows before the aggregate
+    df = dedup_first(df.drop("Year") if "Year" in raw.columns else df, ["Player_Name", "Date"],
+                     [c for c in order_by if c != "Year"] if order_by else None)
     df = df.withColumn("Year", F.year("Date").cast("int"))
-    df = dedup_first(df, ["Player_Name", "Date"], order_by)
     return derive_if_missing(df, "Injury_Type", classify(F.lower("Notes"), INJURY_TYPE))
 
 

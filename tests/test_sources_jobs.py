@@ -187,3 +187,14 @@ def test_command_line_star_and_clean(spark, tmp_dir):
     main(["clean", "--raw", f"{tmp_dir}/raw2", "--out", f"{tmp_dir}/clean"])
     main(["summary", "--clean", f"{tmp_dir}/clean", "--out-prefix", f"{tmp_dir}/summary"])
     assert spark.read.parquet(f"{tmp_dir}/summary/top_teams").count() == 10
+
+
+def test_year_filter_reaches_the_rows_before_keep_first(spark):
+    raw = spark.createDataFrame([("2018-01-02", "lal", "a b", "torn acl", "1990"), ("2018-01-02", "abc", "a b", "z", "1991"), ("n/a", "lal", "a b", "x", None),
+                                 ("2017-01-02", "lal", "a b", "x", "2018")], "Date string, Team string, Relinquished string, Notes string, Year string")
+    for order in (None, ["Year", "Notes"]):
+        got = sorted((r.Player_Name, r.Team, r.Year) for r in jobs.clean_incidents(raw, order_by=order).collect() if r.Year)
+        assert got == sorted([("A B", "Abc" if order is None else "Lal", 2018), ("A B", "Lal", 2017)])
+    year = jobs.clean_incidents(raw.drop("Year")).filter("Year = 2018")
+    plan = year._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("2018")  # the filter stands below the aggregate
