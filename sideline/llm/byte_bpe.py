@@ -163,7 +163,10 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """doc_id, ids, decoded: ``decode`` of ``encode`` in one worker per task. Apart, they take two workers, and
-    chained by Spark the encoder runs twice."""
+    chained by Spark the encoder runs twice.
+
+    NULL and empty texts have no ids and decode to no bytes; repeated rows and NULL doc_ids repeat; an empty table gives
+    no rows; other columns are not read."""
     small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 

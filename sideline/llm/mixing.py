@@ -106,7 +106,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, seed: str = SEED, max_copies: int = MA
 
 
 def sample(docs: DataFrame, weights=WEIGHTS, seed: str = SEED, max_copies: int = MAX_COPIES) -> DataFrame:
-    """The mix itself: each row of ``docs`` repeated as often as it is taken, with the columns of ``docs``."""
+    """The mix itself: each row of ``docs`` repeated as often as it is taken, with the columns of ``docs``.
+
+    NULL and empty texts have size 0 and are never taken; NULL is a source of its own; repeated rows each have their
+    own copies; an empty table gives no rows.
+    """
     s = cut(sized(docs))
     taken = copies(s, targets(s, weights, max_copies), seed, max_copies).where("copies > 0")
     key, tie, nth, times, each = (free_name(docs, n) for n in ("_key", "_tie", "_nth", "_times", "_each"))

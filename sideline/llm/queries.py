@@ -17,7 +17,7 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
 def bpe_digests(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """doc_id, n_tokens and the digests of the ids and of what they decode to."""
+    """doc_id, n_tokens and the digests of the ids and of what they decode to: a row per row, as ``round_trip``."""
     ranks = byte_bpe.read_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
     return byte_bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),

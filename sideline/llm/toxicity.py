@@ -181,6 +181,9 @@ def fit(sampled: pa.Table, counts: dict[int, int], steps: int = 150, l2: float =
 
 
 def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Model:
+    """The model of the labelled rows of ``docs``. Labels other than 0 and 1, without a doc_id or of no document are left
+    out, repeated ones count once, the worst; rows of one doc_id are each a row; NULL texts are empty. Without
+    labels, or without documents, the model scores 0; with one class alone, the share of that class."""
     return fit(*sample(docs, labels, max_toxic, max_clean))
 
 
@@ -205,5 +208,6 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` that the model does not reject (score below 0.5); same columns."""
+    """The rows of ``docs`` that the model does not reject (score below 0.5); same columns. NULL and empty texts score by
+    the intercept; repeated rows stay or go together; an empty table stays empty."""
     return docs.where(scorer(docs, model)(text_of()) < 0.5)

@@ -1,10 +1,13 @@
 import hashlib
+import random
 from collections import Counter
 
 import public_tokenizers
 import pytest
 import tiktoken
 
+from helpers import odd_rows, prose, table
+
 import corpus_pipeline as P
 from sideline.llm import block_naming, byte_bpe, mixing, queries, simhash, toxicity
 
@@ -83,3 +86,39 @@ def test_encoding(stages):
 def test_run_applies_the_stages(spark, stages):
     assert sorted(map(tuple, P.run(spark, SF).collect())) == sorted(map(tuple, stages[4][1]))
     assert {m.__name__ for m in (toxicity, block_naming, simhash)}
+
+
+def written(spark, folder, rows, labels, extra):
+    table(spark, rows, extra).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id bigint, quality bigint, toxic bigint").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("extra", [True, False])
+def test_odd_rows_through_the_whole_pipeline(spark, tmp_path, extra):
+    """NULLs in any column, empty and long texts, ties, repeated rows and labels, columns with clashing names."""
+    rng = random.Random(1)
+    near = prose(rng, 200)
+    rows = odd_rows() + odd_rows() + [(50 + k, prose(rng, rng.randint(0, 60)), rng.choice(["a", "b", None])) for k in range(40)]
+    rows += [(200, near, "a"), (201, near + " end", "b"), (None, near + " stop", None), (300, "insult " * 3, "a"), (300, "insult insult insult ", "a")]
+    sf = written(spark, tmp_path, rows, [(k, 1, 0) for k in range(50, 80)] + [(1, 1, 0), (4, 0, 1), (4, 0, 0), (50, None, None), (None, 1, 1), (999, 1, 1)], extra)
+    docs, columns = spark.read.parquet(f"{sf}/documents.parquet"), table(spark, [], extra).columns
+    for name, stage in P.STAGES[:-1]:
+        got = stage(spark, docs, sf)
+        assert got.columns == columns, name
+        kept, held = Counter(map(str, got.collect())), Counter(map(str, docs.collect()))
+        assert kept and set(kept) <= set(held)
+        if name != "mixing sources to target weights":
+            assert all(kept[r] <= held[r] for r in kept), name
+        docs = spark.createDataFrame(got.collect(), got.schema)
+    want = [tuple(r) for r in P.STAGES[-1][1](spark, docs, sf).collect()]
+    assert len(want) == docs.count()
+    assert sorted(map(str, map(tuple, P.run(spark, sf).collect()))) == sorted(map(str, want))
+    digests = {hashlib.sha256(t.encode()).hexdigest() for t in [near, near + " end", near + " stop"]}
+    assert len(digests & {r[3] for r in want}) <= 1  # one of the near copies at most
+
+
+def test_empty_tables_through_the_whole_pipeline(spark, tmp_path):
+    sf = written(spark, tmp_path, [], [], True)
+    got = P.run(spark, sf)
+    assert got.count() == 0 and got.columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
