@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -83,3 +85,26 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
         jvm = spark.sparkContext._jvm
         hpath = jvm.org.apache.hadoop.fs.Path(path)
         hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+_kept: set[str] = set()
+
+
+def _remove(path, conf) -> None:
+    """Delete a folder when the driver ends (the session may have been stopped before)."""
+    try:
+        path.getFileSystem(conf).delete(path, True)
+    except Exception as e:  # the JVM has ended before
+        sys.stderr.write(f"{path} was not deleted: {type(e).__name__}\n")
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``staged`` for results that outlive the call: the table stays until the driver ends, and is deleted then."""
+    sc = df.sparkSession.sparkContext
+    folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/sideline-kept/{sc.applicationId}"
+    if folder not in _kept:
+        _kept.add(folder)
+        atexit.register(_remove, sc._jvm.org.apache.hadoop.fs.Path(folder), sc._jsc.hadoopConfiguration())
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import kept
+
 #: Threads of the driver that read the first lines of CSV files.
 HEADER_THREADS = 16
 
@@ -181,10 +183,31 @@ def _attribute(ref: Column, kind: T.DataType) -> Column:
         return ref.getField("N").cast("string").try_cast("double")
     if tags == ["BOOL"]:
         return ref.getField("BOOL").cast("boolean")
+    if isinstance(kind, T.VariantType):
+        return _plain(ref, kind)
     if not tags:
         return F.lit(None).cast("string")
-    plain = lambda t: isinstance(fields[t], T.AtomicType)
-    return F.coalesce(*[ref.getField(t).cast("string") if plain(t) else F.to_json(ref.getField(t)) for t in tags])
+    nested = lambda t: isinstance(fields[t], (T.StructType, T.ArrayType, T.MapType))
+    return F.coalesce(*[F.to_json(ref.getField(t)) if nested(t) else _plain(ref.getField(t), fields[t]).cast("string") for t in tags])
+
+
+def _columns_of(found: str) -> str:
+    """The struct type of a variant schema. Decimals are read as DOUBLE, what is always null as text; a mix
+    of types stays VARIANT. Names are quoted where they need it and are left as they are."""
+    parts = re.split(r"(`(?:[^`]|``)*`)", found)
+    for i in range(0, len(parts), 2):
+        parts[i] = re.sub(r"\bOBJECT<", "STRUCT<", parts[i])
+        parts[i] = re.sub(r"\bDECIMAL\(\d+, ?\d+\)", "DOUBLE", parts[i])
+        parts[i] = re.sub(r"\bVOID(?=[,>])", "STRING", parts[i])
+    return "".join(parts)
+
+
+def _plain(c: Column, kind: T.DataType) -> Column:
+    """A mix of types as text: strings as they are, anything else as JSON."""
+    if not isinstance(kind, T.VariantType):
+        return c
+    return (F.when(F.is_variant_null(c), F.lit(None)).when(F.schema_of_variant(c) == "STRING", F.try_variant_get(c, "$", "string"))
+            .otherwise(F.to_json(c)))
 
 
 def read_items(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None) -> DataFrame:
@@ -193,15 +216,28 @@ def read_items(spark: SparkSession, path: str | Sequence[str], schema: T.StructT
     Two layouts are accepted: plain objects per line, or typed items
     ``{"Item": {"attr": {"S": "text"} | {"N": "1.5"} | {"BOOL": true} | {"NULL": true}}}``.
     Columns are the union of attributes over all items; an absent attribute is NULL.
-    Numbers become DOUBLE, sets, lists and maps JSON text. The whole export is read (no
-    single-page truncation).
+    Numbers become DOUBLE, sets, lists and maps JSON text, a mix of types text. The whole export is read (no
+    single-page truncation); a line that is not JSON is an error.
+
+    The JSON is parsed once: each line is a VARIANT, kept in the shared checkpoint folder until the driver ends. The
+    union of attributes is a partial aggregate over it, and the columns are read from it. With ``schema`` there
+    is nothing to find out, and the export is read as it stands.
     """
-    r = spark.read.option("primitivesAsString", False)
     if schema is not None:
-        r = r.schema(schema)
-    df = r.json(path)
+        df = spark.read.schema(schema).json(path)
+    else:
+        lines = spark.read.option("singleVariantColumn", "item").option("mode", "FAILFAST").json(path)
+        items = kept(lines.where("item IS NOT NULL"), "items")
+        found = items.agg(F.schema_of_variant_agg("item")).first()[0]
+        if not found.startswith("OBJECT<") or found == "OBJECT<>":
+            if found not in ("VOID", "OBJECT<>"):
+                raise ValueError(f"items must be JSON objects, not {found}")
+            return spark.createDataFrame([], T.StructType([]))
+        df = items.select(F.variant_get("item", "$", _columns_of(found)).alias("_r")).select("_r.*")
     if df.columns == ["Item"] and isinstance(df.schema["Item"].dataType, T.StructType):
         item = F.col("Item")
         cols = [_attribute(item.getField(f.name), f.dataType).alias(f.name) for f in df.schema["Item"].dataType.fields]
         df = df.select(*cols)
+    else:
+        df = df.select(*[_plain(F.col("`" + f.name.replace("`", "``") + "`"), f.dataType).alias(f.name) for f in df.schema.fields])
     return decimals_to_double(df)
