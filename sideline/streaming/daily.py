@@ -88,11 +88,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _partitions(spark: SparkSession, path: str) -> list[tuple[int, int]]:
-    """(batch, bucket) of the folders of a table, by one listing."""
-    fs, p = _fs(spark, f"{path}/{BATCH}=*/{BUCKET}=*")
-    names = [str(x.getPath().toString()).rsplit("/", 2)[1:] for x in fs.globStatus(p) or []]
-    return [(int(a.partition("=")[2]), int(b.partition("=")[2])) for a, b in names]
+def _partitions(spark: SparkSession, path: str) -> dict[tuple[int, int], set[str]]:
+    """(batch, bucket) of the folders of a table and the names of their files, by one listing."""
+    fs, p = _fs(spark, f"{path}/{BATCH}=*/{BUCKET}=*/*.parquet")
+    out: dict[tuple[int, int], set[str]] = {}
+    for x in fs.globStatus(p) or []:
+        batch, bucket, name = x.getPath().toString().rsplit("/", 3)[1:]
+        out.setdefault((int(batch.partition("=")[2]), int(bucket.partition("=")[2])), set()).add(name)
+    return out
 
 
 class State:
@@ -115,25 +118,35 @@ class State:
             return self.spark.createDataFrame([], "path string")
         return self.spark.read.schema("path string").parquet(*[f"{self.folder}/files-{i}" for i in range(self.run + 1)])
 
-    def finish(self, tables: dict[str, DataFrame], about: dict) -> None:
-        """Write the state of the next run, then its marker; only then drop the state before."""
-        run = self.run + 1
-        for name, df in tables.items():
-            write_parquet(df, f"{self.folder}/{name}-{run}")
-        self.spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.folder}/done-{run}")
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        """A table of the next run's state, written and read back; it counts once the run has finished."""
+        path = f"{self.folder}/{name}-{self.run + 1}"
+        write_parquet(df, path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def finish(self, about: dict) -> None:
+        """Write the marker of the next run; only then drop the state before."""
+        self.spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.folder}/done-{self.run + 1}")
         for name in ("players", "games", "done"):
             if self.run >= 0:
                 _delete(self.spark, f"{self.folder}/{name}-{self.run}")
 
 
+def _changed(now: DataFrame, before: DataFrame, key: str) -> DataFrame:
+    """Keys whose row is new, gone or another than before; one row per key on either side."""
+    one = lambda df, mark: df.select(key, F.struct(*df.columns).alias(mark))
+    both = one(now, "_now").join(one(before, "_before"), key, "full_outer")
+    return both.where(~F.col("_now").eqNullSafe(F.col("_before"))).select(key)
+
+
 def _touched(state: State, batch: int, players: DataFrame, games: DataFrame, games_landed: DataFrame, buckets: int) -> tuple[list[int], list[tuple]]:
     """Buckets to recompute in all batches, and single (batch, bucket) partitions of earlier batches."""
-    before = state.table("players", "playerNameFormatted string")
-    changed = players.exceptAll(before).unionByName(before.exceptAll(players)).distinct()
+    changed = _changed(players, state.table("players", "playerNameFormatted string"), "playerNameFormatted")
     at = F.pmod(F.xxhash64("playerNameFormatted"), F.lit(buckets)).cast("int")
     hot = sorted(r[0] for r in changed.select(at.alias("b")).distinct().collect())  # at most ``buckets``
-    old = state.table("games", "gameId string, gameDate date")
-    dated = games.exceptAll(old).unionByName(old.exceptAll(games)).select("gameId").distinct()
+    if len(hot) == buckets or not batch:
+        return hot, []
+    dated = _changed(games, state.table("games", "gameId string, gameDate date"), "gameId")
     parts = (games_landed.where((F.col(BATCH) < batch) & ~F.col(BUCKET).isin(hot)).join(dated, "gameId", "left_semi")
              .select(BATCH, BUCKET).distinct())
     return hot, sorted((r[0], r[1]) for r in parts.collect())  # at most one per partition
@@ -172,27 +185,26 @@ def run_daily(spark: SparkSession, activity_dir: str, incidents: DataFrame, game
     inc = windowed_incidents(incidents, start, end)
     write_parquet(inc, f"{base}/injuries_windowed")
     inc = spark.read.schema(inc.schema).parquet(f"{base}/injuries_windowed")
-    players = inc.select("playerNameFormatted").where("playerNameFormatted IS NOT NULL").distinct()
-    games = dedup_first(game_dates.select(F.col("GAMEID").cast("string").alias("gameId"),
-                                          parse_date("gameDate", INCIDENT_DATE_FORMATS).alias("gameDate")), ["gameId"])
+    players = state.put("players", inc.select("playerNameFormatted").where("playerNameFormatted IS NOT NULL").distinct())
+    games = game_dates.select(F.col("GAMEID").cast("string").alias("gameId"), parse_date("gameDate", INCIDENT_DATE_FORMATS).alias("gameDate"))
+    games = state.put("games", dedup_first(games.where("gameId IS NOT NULL"), ["gameId"]))
+    state.put("files", spark.createDataFrame([(f,) for f in files], "path string"))
     rows = T.StructType([*schema.fields, *_PARTS.fields])
     final_schema = T.StructType([T.StructField("gameId", T.StringType()), *[f for f in schema.fields if f.name != "gameId"],
                                  T.StructField("playerNameFormatted", T.StringType()), T.StructField("gameDate", T.DateType()), *_PARTS.fields])
     if not _exists(spark, landed):  # nothing has ever been landed
-        state.finish({"players": players, "games": games, "files": listed.limit(0)}, {"files": 0})
+        state.finish({"files": 0})
         return spark.createDataFrame([], final_schema).drop(BATCH, BUCKET)
     held = spark.read.schema(T.StructType([T.StructField("gameId", T.StringType()), *_PARTS.fields])).parquet(games_at)
     hot, parts = _touched(state, batch, players, games, held, buckets)
     activity = spark.read.schema(rows).parquet(landed).where(_where(batch, hot, parts))
-    kept = restrict_to(activity, "playerNameI", inc, "playerNameFormatted")
-    present = {(r[0], r[1]) for r in kept.select(BATCH, BUCKET).distinct().collect()}
-    final = lookup(kept, games, "gameId").select(*final_schema.names)
+    final = lookup(restrict_to(activity, "playerNameI", players, "playerNameFormatted"), games, "gameId").select(*final_schema.names)
+    before = _partitions(spark, final_at)
     (final.hint("rebalance", BATCH, BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(BATCH, BUCKET).parquet(final_at))
-    touched = set(parts)
-    for b, k in _partitions(spark, final_at):  # those that no player is left in
-        if (b >= batch or k in hot or (b, k) in touched) and (b, k) not in present:
+    after, touched = _partitions(spark, final_at), set(parts)
+    for (b, k), names in before.items():  # touched partitions that were not written: no player is left in them
+        if (b >= batch or k in hot or (b, k) in touched) and after.get((b, k)) == names:
             _delete(spark, f"{final_at}/{BATCH}={b}/{BUCKET}={k}")
-    state.finish({"players": players, "games": games, "files": spark.createDataFrame([(f,) for f in files], "path string")},
-                 {"files": len(files), "buckets": hot, "partitions": len(parts)})
+    state.finish({"files": len(files), "buckets": hot, "partitions": len(parts)})
     return spark.read.schema(final_schema).parquet(final_at).drop(BATCH, BUCKET)
