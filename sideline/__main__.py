@@ -55,7 +55,7 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--out-prefix", required=True)
     r.add_argument("--year", type=int, default=2018)
 
-    d = sub.add_parser("daily", help="land newly arrived activity files, then rebuild J4")
+    d = sub.add_parser("daily", help="land newly arrived activity files, then bring J4 up to date")
     d.add_argument("--activity-dir", required=True)
     d.add_argument("--incidents", required=True, help="incident CSV (item-table columns)")
     d.add_argument("--game-dates", required=True)
@@ -64,30 +64,34 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--start", default=jobs.SEASON_START)
     d.add_argument("--end", default=jobs.SEASON_END)
     d.add_argument("--max-files-per-trigger", type=int, default=None)
+    for job in (c, s, st, a, r, d):
+        job.add_argument("--single-line", action="store_true",
+                         help="no incident value holds a line break: large CSV files are then split over tasks")
     return p
 
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(app=f"sideline-{args.job}")
+    lines = {"multi_line": not getattr(args, "single_line", False)}
     if args.job == "clean":
         formats = {"date_formats": args.date_format} if args.date_format else {}
-        jobs.clean_job(spark, args.raw, args.out, null_text=args.null_text, **formats)
+        jobs.clean_job(spark, args.raw, args.out, null_text=args.null_text, **lines, **formats)
     elif args.job == "summary":
-        jobs.clean_summary_job(spark, args.clean, args.out_prefix, args.top)
+        jobs.clean_summary_job(spark, args.clean, args.out_prefix, args.top, **lines)
     elif args.job == "star":
-        jobs.star_job(spark, args.raw_injuries, args.clean_prefix, args.year)
+        jobs.star_job(spark, args.raw_injuries, args.clean_prefix, args.year, **lines)
     elif args.job == "analysis-ready":
         jobs.analysis_ready_job(spark, args.incidents, args.activity, args.game_dates, args.out_prefix,
-                                source=args.source, start=args.start, end=args.end)
+                                source=args.source, start=args.start, end=args.end, **lines)
     elif args.job == "window-analysis":
         jobs.window_analysis_job(spark, args.incidents, args.activity, args.out_prefix, args.days)
     elif args.job == "report":
-        jobs.report_job(spark, args.clean, args.raw, args.activity, args.out_prefix, args.year)
+        jobs.report_job(spark, args.clean, args.raw, args.activity, args.out_prefix, args.year, **lines)
     elif args.job == "daily":
         from .sources.readers import read_csv
         from .streaming.daily import run_daily
-        run_daily(spark, args.activity_dir, read_csv(spark, args.incidents, multi_line=True),
+        run_daily(spark, args.activity_dir, read_csv(spark, args.incidents, **lines),
                   read_csv(spark, args.game_dates),
                   args.out, args.checkpoint, args.start, args.end,
                   max_files_per_trigger=args.max_files_per_trigger)

@@ -185,7 +185,7 @@ def test_command_line_star_and_clean(spark, tmp_dir):
         jobs.star_tables(sv.ragged_incidents(spark, SF_SMALL), 1998)["fact_injury"].count()
     write_csv(sv.raw_incidents(spark, SF_SMALL), f"{tmp_dir}/raw2")
     main(["clean", "--raw", f"{tmp_dir}/raw2", "--out", f"{tmp_dir}/clean"])
-    main(["summary", "--clean", f"{tmp_dir}/clean", "--out-prefix", f"{tmp_dir}/summary"])
+    main(["summary", "--clean", f"{tmp_dir}/clean", "--out-prefix", f"{tmp_dir}/summary", "--single-line"])
     assert spark.read.parquet(f"{tmp_dir}/summary/top_teams").count() == 10
 
 
