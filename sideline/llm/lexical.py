@@ -30,7 +30,7 @@ from .common import small_batches, table
 TOP = 20
 #: Documents that the strata of an item's first wave hold at least, and postings of a block.
 FIRST_DOCS = 2_000
-BLOCK_POSTINGS = 1_000_000
+BLOCK_POSTINGS = 100_000
 #: Bits of the bitmap of the terms asked for: 1 MiB, whatever their number.
 BITS = 1 << 23
 _BUCKET = 1 << 15  # bits of Spark's bitmaps
