@@ -21,14 +21,17 @@ not been, over the same batch number. Nothing here may run twice at a time on on
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import INCIDENT_DATE_FORMATS, parse_date
-from ..operators.joins import lookup, restrict_to
+from ..operators.joins import lookup, semi
 from ..operators.stats import dedup_first
 from ..plans.jobs import ACTIVITY_COLUMNS, SEASON_END, SEASON_START, windowed_incidents
 from ..sources.readers import read_csv
@@ -163,6 +166,14 @@ def _where(batch: int, hot: list[int], parts: list[tuple]):
     return cond
 
 
+def _at_once(spark: SparkSession, *steps: Callable[[], DataFrame | None]) -> list[DataFrame | None]:
+    """Results of independent steps, started together: the last tasks of one leave cores to the others. All have ended
+    when this returns or raises the error of the first that failed."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [r.result() for r in running]
+
+
 def run_daily(spark: SparkSession, activity_dir: str, incidents: DataFrame, game_dates: DataFrame,
               out_prefix: str, checkpoint: str | None = None, start: str = SEASON_START,
               end: str = SEASON_END, file_format: str = "csv", schema: T.StructType = ACTIVITY_SCHEMA,
@@ -179,15 +190,23 @@ def run_daily(spark: SparkSession, activity_dir: str, incidents: DataFrame, game
     files = sorted(r.path for r in listed.join(state.landed_files(), "path", "left_anti").collect())
     for at in (landed, games_at):  # what an unfinished run left of this batch
         _delete(spark, f"{at}/{BATCH}={batch}")
-    if files:
-        land(read_activity(spark, files, file_format, schema), landed, games_at, batch, buckets)
-
+    new = read_activity(spark, files, file_format, schema) if files else None
     inc = windowed_incidents(incidents, start, end)
-    write_parquet(inc, f"{base}/injuries_windowed")
-    inc = spark.read.schema(inc.schema).parquet(f"{base}/injuries_windowed")
-    players = state.put("players", inc.select("playerNameFormatted").where("playerNameFormatted IS NOT NULL").distinct())
-    games = game_dates.select(F.col("GAMEID").cast("string").alias("gameId"), parse_date("gameDate", INCIDENT_DATE_FORMATS).alias("gameDate"))
-    games = state.put("games", dedup_first(games.where("gameId IS NOT NULL"), ["gameId"]))
+    dated = game_dates.select(F.col("GAMEID").cast("string").alias("gameId"), parse_date("gameDate", INCIDENT_DATE_FORMATS).alias("gameDate"))
+
+    def put_activity() -> None:
+        if new is not None:
+            land(new, landed, games_at, batch, buckets)
+
+    def put_players() -> DataFrame:
+        write_parquet(inc, f"{base}/injuries_windowed")
+        written = spark.read.schema(inc.schema).parquet(f"{base}/injuries_windowed")
+        return state.put("players", written.select("playerNameFormatted").where("playerNameFormatted IS NOT NULL").distinct())
+
+    def put_games() -> DataFrame:
+        return state.put("games", dedup_first(dated.where("gameId IS NOT NULL"), ["gameId"]))
+
+    _, players, games = _at_once(spark, put_activity, put_players, put_games)
     state.put("files", spark.createDataFrame([(f,) for f in files], "path string"))
     rows = T.StructType([*schema.fields, *_PARTS.fields])
     final_schema = T.StructType([T.StructField("gameId", T.StringType()), *[f for f in schema.fields if f.name != "gameId"],
@@ -198,9 +217,12 @@ def run_daily(spark: SparkSession, activity_dir: str, incidents: DataFrame, game
     held = spark.read.schema(T.StructType([T.StructField("gameId", T.StringType()), *_PARTS.fields])).parquet(games_at)
     hot, parts = _touched(state, batch, players, games, held, buckets)
     activity = spark.read.schema(rows).parquet(landed).where(_where(batch, hot, parts))
-    final = lookup(restrict_to(activity, "playerNameI", players, "playerNameFormatted"), games, "gameId").select(*final_schema.names)
+    # ``games`` has one row per game, so its share of a partition is hashed rather than all activity sorted
+    found = lookup(semi(activity, players, "playerNameI", "playerNameFormatted"), games.hint("shuffle_hash"), "gameId")
+    final = (found.hint("rebalance", BATCH, BUCKET)  # the name's second copy is added behind the shuffles
+             .withColumn("playerNameFormatted", F.col("playerNameI")).select(*final_schema.names))
     before = _partitions(spark, final_at)
-    (final.hint("rebalance", BATCH, BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (final.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
           .partitionBy(BATCH, BUCKET).parquet(final_at))
     after, touched = _partitions(spark, final_at), set(parts)
     for (b, k), names in before.items():  # touched partitions that were not written: no player is left in them
